@@ -1,11 +1,15 @@
-"""Lenient conversion of text columns: what does not parse is NULL, never an error."""
+"""Lenient conversion of text columns: what does not parse is NULL, never an error.
+
+Shapes are tested before a cast where bad text is common, as a failing ``try_cast``
+costs many times a successful one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WITH_FRACTION = r"^[+-]?\d+\.\d*$"
+_WHOLE = r"^[+-]?\d+(\.\d*)?$"
 
 
 def blank_to_null(col: Column) -> Column:
@@ -16,13 +20,12 @@ def blank_to_null(col: Column) -> Column:
 def to_int(col: Column) -> Column:
     """Integer of a trimmed text. A fraction is cut off, so ``'8.7'`` is 8."""
     text = F.trim(col)
-    whole = F.when(text.rlike(_WITH_FRACTION), F.substring_index(text, ".", 1))
-    return F.coalesce(text.try_cast("int"), whole.try_cast("int"))
+    return F.when(text.rlike(_WHOLE), F.substring_index(text, ".", 1).try_cast("int"))
 
 
 def to_double(col: Column) -> Column:
-    """Double of a trimmed text; a blank does not parse and so is NULL."""
-    return F.trim(col).try_cast("double")
+    text = F.trim(col)
+    return F.when(text != F.lit(""), text.try_cast("double"))
 
 
 def to_int_rounded(col: Column) -> Column:
