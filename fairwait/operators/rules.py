@@ -91,12 +91,12 @@ def _row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def _unique_rule(df: DataFrame, rule: Rule) -> DataFrame:
     """Counts per key are formed before the shuffle, so a hot key travels as one row per task."""
-    groups = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_n"))
     known = rule.judged()
     counts = groups.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(known, F.col("n"))), F.lit(0)).alias("judged"),
-        F.coalesce(F.sum(F.when(known & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("bad"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.when(known, F.col("_n"))), F.lit(0)).alias("judged"),
+        F.coalesce(F.sum(F.when(known & (F.col("_n") > 1), F.col("_n"))), F.lit(0)).alias("bad"),
     )
     return counts.select(
         F.inline(F.array(_result(rule, F.col("total"), F.col("judged"), F.col("bad"))))
@@ -170,11 +170,11 @@ def _tested(model: str, test: str, column: str, failures: Column, severity: str)
 
 
 def _key_test(df: DataFrame, test: KeyTest) -> DataFrame:
-    groups = df.groupBy(test.column).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(test.column).agg(F.count(F.lit(1)).alias("_n"))
     known = F.col(test.column).isNotNull()
     counts = groups.agg(
-        F.count_if(known & (F.col("n") > 1)).alias("repeated"),
-        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).alias("missing"),
+        F.count_if(known & (F.col("_n") > 1)).alias("repeated"),
+        F.coalesce(F.sum(F.when(~known, F.col("_n"))), F.lit(0)).alias("missing"),
     )
     rows = [
         _tested(test.model, "unique", test.column, F.col("repeated"), "error"),

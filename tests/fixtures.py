@@ -78,7 +78,7 @@ SIX = [
     ),
     request(
         "SR24-0005",
-        sr_type="311 INFORMATION ONLY CALL",
+        sr_type="CITY INFORMATION ONLY CALL",
         created_date="2024-01-20T12:00:00.000",
         closed_date="2024-01-20T12:05:00.000",
         last_modified_date="2024-01-20T12:05:00.000",

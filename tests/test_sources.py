@@ -1,0 +1,171 @@
+from datetime import date, datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from fairwait.plans.clean import clean
+from fairwait.plans.jobs import land_recent, land_window, load, load_plan
+from fairwait.schemas import BRONZE, SILVER
+from fairwait.sources import scans, sinks, windows
+from fixtures import SIX, bronze, census_records, request, write_census, write_records
+
+
+def test_absent_fields_and_broken_lines_read_as_null(spark, tmp_path):
+    path = tmp_path / "a.ndjson"
+    path.write_text('{"sr_number": "A1", "location": {"x": 1}, "ward": 7}\nnot json\n')
+    rows = scans.scan_json(spark, str(path)).orderBy("sr_number").collect()
+    assert [r["sr_number"] for r in rows] == [None, "A1"]
+    assert rows[1]["ward"] == "7" and rows[1]["status"] is None
+    assert rows[1].asDict().keys() == dict.fromkeys(BRONZE.names).keys()
+
+
+def test_seed_reads_empty_fields_as_null(spark, tmp_path):
+    seed = scans.scan_seed(spark, write_census(tmp_path / "census.csv"))
+    assert sorted(map(tuple, seed.collect()), key=str) == sorted(census_records(), key=str)
+
+
+@pytest.mark.parametrize("days, start", [(3, "2024-01-07"), (0, "2024-01-10"), (10, "2023-12-31")])
+def test_incremental_window(days, start):
+    assert windows.incremental_window(date(2024, 1, 10), days) == (start, "2024-01-11")
+
+
+def test_window_is_half_open_for_text_and_time(spark):
+    stamps = ["2024-01-06T23:59:59.999", "2024-01-07T00:00:00.000", "2024-01-10T23:59:59.999", "2024-01-11T00:00:00.000", None]
+    text = spark.createDataFrame([(s,) for s in stamps], "at string")
+    time = text.select(F.col("at").cast("timestamp_ntz").alias("at"))
+    for df in (text, time):
+        kept = windows.incremental_extract(df, "at", date(2024, 1, 10), 3)
+        assert [str(r["at"])[:10] for r in kept.orderBy("at").collect()] == ["2024-01-07", "2024-01-10"]
+
+
+def test_window_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).select(F.timestamp_add("DAY", F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("at")).write.parquet(path)
+    df = windows.window_extract(spark.read.parquet(path), "at", "2024-01-03", "2024-01-05")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(at," in plan and "LessThan(at," in plan
+    assert df.count() == 2
+
+
+def test_pages_cover_the_source_in_order(spark):
+    """Many equal times: the unique second key decides."""
+    df = spark.range(23).select(F.timestamp_add("DAY", (F.col("id") % 3).cast("bigint"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("at"), (F.col("id") * 7 % 23).alias("id"))
+    everything = sorted(map(tuple, df.collect()))
+    by_offset = [tuple(r) for n in range(6) for r in windows.ordered_page(df, ["at", "id"], n * 5, 5).collect()]
+    assert by_offset == everything
+
+    seen, last = [], None
+    while True:
+        page = [tuple(r) for r in windows.page_after(df, ["at", "id"], last, 5).collect()]
+        seen += page
+        if len(page) < 5:
+            break
+        last = page[-1]
+    assert seen == everything
+
+
+def test_landing_returns_the_count_and_replaces_its_window(spark, tmp_path):
+    out = str(tmp_path / "bronze")
+    source = bronze(spark, SIX)
+    assert land_window(source, "2024-01-01", "2024-01-11", out) == 4
+    assert land_window(source, "2024-01-11", "2024-02-01", out) == 2
+    assert land_window(source, "2024-01-01", "2024-01-11", out) == 4
+    assert land_window(source, "2025-01-01", "2025-02-01", out) == 0
+    landed = scans.scan_json(spark, out)
+    assert sorted(map(str, landed.collect())) == sorted(map(str, source.collect()))
+    text = spark.read.option("recursiveFileLookup", "true").text(out)
+    assert text.where(F.col("value").contains('"closed_date":null')).count() == 1
+
+
+def test_landing_the_last_days(spark, tmp_path):
+    assert land_recent(bronze(spark, SIX), date(2024, 1, 11), 1, str(tmp_path)) == 2
+
+
+def test_small_source_in_two_pages_lands_whole(spark, tmp_path):
+    source = spark.createDataFrame([(n, f"2024-01-0{i}T00:00:00.000") for i, n in enumerate(("A1", "A2", "A3"), 1)], "sr_number string, created_date string")
+    assert [windows.ordered_page(source, ["created_date", "sr_number"], o, 2).count() for o in (0, 2)] == [2, 1]
+    assert land_window(source, "2024-01-01", "2024-02-01", str(tmp_path / "b")) == 3
+    assert {r["sr_number"] for r in scans.scan_json(spark, str(tmp_path / "b")).collect()} == {"A1", "A2", "A3"}
+
+
+def test_undated_rows_go_to_the_default_partition(spark, tmp_path):
+    out = str(tmp_path / "silver")
+    cleaned = clean(bronze(spark, [*SIX, request("undated", created_date=None)]))
+    sinks.write_partitioned(cleaned, out)
+    assert (tmp_path / "silver" / "created_year=__HIVE_DEFAULT_PARTITION__").is_dir()
+    back = scans.scan_silver(spark, out)
+    assert back.columns[-2:] == ["created_year", "created_month"]
+    assert sorted(map(str, sinks.conform(back).collect())) == sorted(map(str, cleaned.collect()))
+    plan = back.where("created_year = 2024 and created_month = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(created_year" in plan
+
+
+def test_a_hot_partition_is_written_by_many_tasks(spark, tmp_path):
+    """A third of the rows in one month must not become one task's file."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        month = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 11 + 2).cast("int")
+        df = spark.range(0, 300_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"), F.lit(2024).alias("created_year"), month.alias("created_month"))
+        sinks.write_partitioned(df, str(tmp_path / "s"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "s" / "created_year=2024").iterdir()}
+    assert files["created_month=1"] > 4
+    assert scans.scan_silver(spark, str(tmp_path / "s")).count() == 300_000
+
+
+def test_load_replaces_and_reconciles(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    cleaned = clean(bronze(spark, SIX))
+    for _ in range(2):
+        assert load(cleaned, path=path) == {"source_rows": 5, "target_rows": 5, "matches": True}
+    raw = scans.scan_raw(spark, path=path)
+    assert raw.columns == [c.upper() for c in SILVER.names]
+    assert raw.select("sr_number").count() == 5
+
+
+def test_load_into_a_catalog_table(spark):
+    spark.sql("create database if not exists wait_test")
+    try:
+        cleaned = clean(bronze(spark, SIX))
+        for _ in range(2):
+            assert load(cleaned, table="wait_test.requests")["matches"] is True
+        assert scans.scan_raw(spark, "wait_test.requests").count() == 5
+    finally:
+        spark.sql("drop database wait_test cascade")
+
+
+def test_reconcile_sees_a_difference(spark):
+    assert tuple(sinks.reconcile(spark.range(3), spark.range(2)).first()) == (3, 2, False)
+
+
+def test_dry_run_lists_the_target(spark):
+    plan = load_plan(clean(bronze(spark, SIX))).orderBy("position").collect()
+    assert [r["column_name"] for r in plan] == [c.upper() for c in SILVER.names]
+    assert {r["row_count"] for r in plan} == {5}
+    assert plan[9]["column_type"] == "double" and plan[6]["column_type"] == "timestamp_ntz"
+
+
+def test_conform_reorders_and_narrows(spark):
+    df = clean(bronze(spark, SIX)).withColumn("ward", F.col("ward").cast("bigint"))
+    shuffled = df.select(*reversed(df.columns))
+    out = sinks.conform(shuffled)
+    assert out.columns == SILVER.names and out.schema["ward"].dataType.simpleString() == "int"
+
+
+def test_int_columns_skips_absent_names(spark):
+    df = spark.createDataFrame([(1.0,), (None,)], "ward double")
+    out = sinks.int_columns(df, ("ward", "created_year"))
+    assert out.dtypes == [("ward", "int")] and [r[0] for r in out.collect()] == [1, None]
+
+
+def test_timestamps_stay_local_in_the_files(spark, tmp_path):
+    load(clean(bronze(spark, [request("a", created_date="2024-01-31T23:30:00.000")])), path=str(tmp_path / "raw"))
+    row = scans.scan_raw(spark, path=str(tmp_path / "raw")).first()
+    assert row["CREATED_TS"] == datetime(2024, 1, 31, 23, 30) and row["CREATED_DATE_ONLY"] == date(2024, 1, 31)
+
+
+def test_written_records_are_read_from_every_folder(spark, tmp_path):
+    write_records(tmp_path / "x" / "one.ndjson", SIX[:2])
+    write_records(tmp_path / "y" / "deep" / "two.ndjson", SIX[2:])
+    assert scans.scan_json(spark, str(tmp_path)).count() == 6
