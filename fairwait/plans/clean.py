@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fairwait.functions.flags import is_inside, is_valid_duration
@@ -52,23 +52,24 @@ def typed_versions(
     convert. It is counted ahead of the shuffle, so a repeated task may count twice:
     good for a log line, not for a check.
     """
+    typed = {name: f"_{name}" for _, name, _ in CONVERSIONS}
+    parsed = bronze.select(
+        "*", *[convert(F.col(raw)).alias(typed[name]) for raw, name, convert in CONVERSIONS]
+    )
     if rejects is not None:
-        bronze = bronze.observe(
+        lost = {
+            raw: blank_to_null(F.col(raw)).isNotNull() & F.col(typed[name]).isNull()
+            for raw, name, convert in CONVERSIONS
+            if convert is not blank_to_null
+        }
+        parsed = parsed.observe(
             rejects,
             F.count(F.lit(1)).alias("bronze_rows"),
-            *[
-                F.count_if(_is_lost(F.col(raw), convert)).alias(f"rejected_{raw}")
-                for raw, _, convert in CONVERSIONS
-                if convert is not blank_to_null
-            ],
+            *[F.count_if(condition).alias(f"rejected_{raw}") for raw, condition in lost.items()],
         )
-    columns = [F.col(name) for name in (*UNCHANGED, *keep)]
-    columns += [convert(F.col(raw)).alias(typed) for raw, typed, convert in CONVERSIONS]
-    return bronze.where(F.col("sr_number").isNotNull()).select(*columns)
-
-
-def _is_lost(raw: Column, convert) -> Column:
-    return blank_to_null(raw).isNotNull() & convert(raw).isNull()
+    return parsed.where(F.col("sr_number").isNotNull()).select(
+        *UNCHANGED, *keep, *[F.col(typed[name]).alias(name) for _, name, _ in CONVERSIONS]
+    )
 
 
 def with_outcome(versions: DataFrame, zone: str = TIME_ZONE) -> DataFrame:

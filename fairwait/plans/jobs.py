@@ -20,9 +20,9 @@ from fairwait.operators.rules import (
     run_model_tests,
     unique,
 )
+from fairwait.operators.versions import latest_version
 from fairwait.plans import equity, star
 from fairwait.plans.clean import KEY, LATEST, TIES, typed_versions, with_outcome
-from fairwait.operators.versions import latest_version
 from fairwait.schemas import (
     AREA_BOUNDS,
     HIGH_VOLUME,
@@ -32,6 +32,7 @@ from fairwait.schemas import (
     TIME_ZONE,
 )
 from fairwait.sources import sinks
+from fairwait.sources.pages import Fetch, read_pages
 from fairwait.sources.scans import scan_json, scan_raw, scan_seed, scan_silver
 from fairwait.sources.windows import incremental_window, window_extract
 
@@ -85,6 +86,14 @@ def land_window(
     return sinks.land_json(records, f"{out}/{start}_to_{end}")
 
 
+def land_pages(
+    spark: SparkSession, fetch: Fetch, start: str, end: str, out: str, **options
+) -> int:
+    """Land a window straight from a paged service, untouched; returns the number of records."""
+    records = read_pages(spark, fetch, start, end, **options)
+    return sinks.land_text(records, f"{out}/{start}_to_{end}")
+
+
 def land_recent(
     source: DataFrame, as_of: date, days: int, out: str, on: str = "created_date"
 ) -> int:

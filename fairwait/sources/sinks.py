@@ -9,19 +9,24 @@ from pyspark.sql.types import StructType
 from fairwait.schemas import SILVER, SILVER_PARTITIONS
 
 
-def land_json(df: DataFrame, path: str) -> int:
-    """Write rows as JSON lines with explicit nulls; returns their number.
+def land_text(lines: DataFrame, path: str) -> int:
+    """Write a column of JSON lines as they are; returns their number.
 
     The number is taken while writing. For a source that is only filtered it is exact
     even when tasks are repeated.
     """
     written = Observation()
-    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
-    lines = df.select(record.alias("value")).observe(written, F.count(F.lit(1)).alias("rows"))
-    lines.write.mode("overwrite").text(path)
+    counted = lines.observe(written, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").text(path)
     return written.get["rows"]
 
 
+def land_json(df: DataFrame, path: str) -> int:
+    """Write rows as JSON lines with explicit nulls; returns their number."""
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+    return land_text(df.select(record.alias("value")), path)
+
+
 def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = SILVER_PARTITIONS) -> None:
     """Parquet in one folder per value of ``by``; NULL goes to the default partition.
 

@@ -8,7 +8,12 @@ from fairwait.plans.clean import clean
 from fairwait.plans.jobs import TABLES, Settings, build_silver, model_tests, run_all
 from fairwait.schemas import SILVER
 from fairwait.sources.scans import scan_json, scan_silver
-from fairwait.streaming.upsert import append_versions, current_silver, publish_silver
+from fairwait.streaming.upsert import (
+    append_versions,
+    compact_versions,
+    current_silver,
+    publish_silver,
+)
 from fixtures import SIX, bronze, request, write_census, write_records
 
 
@@ -90,6 +95,17 @@ def test_upsert_equals_cleaning_everything(spark, tmp_path, order):
     assert texts(scan_silver(spark, str(tmp_path / "silver")).to(SILVER)) == texts(whole)
 
 
+def test_upsert_goes_on_after_compaction(spark, tmp_path):
+    landed, log, short, progress = (str(tmp_path / p) for p in ("landed", "log", "short", "progress"))
+    first, second, third = drops(3)
+    write_records(tmp_path / "landed" / "1.ndjson", first + second)
+    append_versions(spark, landed, log, progress)
+    compact_versions(spark, log, short)
+    write_records(tmp_path / "landed" / "2.ndjson", third)
+    append_versions(spark, landed, short, progress)
+    assert texts(current_silver(spark, short)) == texts(clean(scan_json(spark, landed)))
+
+
 def test_upsert_of_many_small_batches(spark, tmp_path):
     landed, log, progress = (str(tmp_path / p) for p in ("landed", "log", "progress"))
     for i, part in enumerate(drops(2)):

@@ -4,9 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from fairwait.plans.clean import clean
-from fairwait.plans.jobs import land_recent, land_window, load, load_plan
+from fairwait.plans.jobs import land_pages, land_recent, land_window, load, load_plan
 from fairwait.schemas import BRONZE, SILVER
-from fairwait.sources import scans, sinks, windows
+from fairwait.sources import pages, scans, sinks, windows
 from fixtures import SIX, bronze, census_records, request, write_census, write_records
 
 
@@ -169,3 +169,61 @@ def test_written_records_are_read_from_every_folder(spark, tmp_path):
     write_records(tmp_path / "x" / "one.ndjson", SIX[:2])
     write_records(tmp_path / "y" / "deep" / "two.ndjson", SIX[2:])
     assert scans.scan_json(spark, str(tmp_path)).count() == 6
+
+
+def service(records, calls=None):
+    """A stand-in for a paged service: filters, orders and cuts like one."""
+
+    def fetch(condition, offset, size):
+        if calls is not None:
+            calls.append(offset)
+        low, high = condition.split("'")[1::2]
+        found = sorted((r for r in records if low <= r["created_date"] < high), key=lambda r: (r["created_date"], r["sr_number"]))
+        return found[offset : offset + size]
+
+    return fetch
+
+
+def test_pages_end_with_the_first_short_one():
+    calls = []
+    records = [{"sr_number": n, "created_date": "2024-01-01T08:00:00.000"} for n in ("A1", "A2", "A3")]
+    walked = list(pages.walk(service(records, calls), "x >= '2024-01-01' AND x < '2024-02-01'", 2))
+    assert [[r["sr_number"] for r in page] for page in walked] == [["A1", "A2"], ["A3"]]
+    assert calls == [0, 2]
+
+
+def test_a_full_last_page_is_followed_by_an_empty_one():
+    calls = []
+    records = [{"sr_number": n, "created_date": "2024-01-01"} for n in ("A1", "A2")]
+    assert len(list(pages.walk(service(records, calls), "x >= '2024-01-01' AND x < '2024-02-01'", 2))) == 1
+    assert calls == [0, 2]
+
+
+def test_slices_cover_the_window():
+    slices = pages.time_slices("2024-01-01", "2024-01-02", 7)
+    assert slices[0][0] == "2024-01-01T00:00:00" and slices[-1][1] == "2024-01-02T00:00:00"
+    assert [high for _, high in slices[:-1]] == [low for low, _ in slices[1:]]
+    assert len(slices) == 4
+
+
+def test_service_records_land_untouched(spark, tmp_path):
+    records = [{"sr_number": f"A{i}", "created_date": f"2024-01-0{1 + i % 9}T0{i % 10}:00:00.000", "place": {"x": i}} for i in range(50)]
+    fetch, out = service(records), str(tmp_path / "bronze")
+    for _ in range(2):
+        assert land_pages(spark, fetch, "2024-01-02", "2024-01-05", out, slice_hours=6, size=2) == sum("02" <= r["created_date"][8:10] < "05" for r in records)
+    landed = scans.scan_json(spark, out, "sr_number string, created_date string, place struct<x: int>")
+    expected = {(r["sr_number"], r["place"]["x"]) for r in records if "02" <= r["created_date"][8:10] < "05"}
+    assert {(r["sr_number"], r["place"]["x"]) for r in landed.collect()} == expected
+
+
+def test_failing_service_is_asked_again_then_given_up(monkeypatch):
+    waits, answers = [], [pages.URLError("down")] * 7
+    monkeypatch.setattr(pages.time, "sleep", waits.append)
+
+    def fail(*_, **__):
+        raise answers.pop()
+
+    monkeypatch.setattr(pages, "urlopen", fail)
+    with pytest.raises(RuntimeError, match="offset 100 after 5 attempts"):
+        pages.http_fetch("http://service")("x", 100, 50)
+    assert waits == [2, 4, 8, 16] and len(answers) == 2
