@@ -45,7 +45,7 @@ def page_after(df: DataFrame, order: Sequence[str], last: Sequence | None, size:
 
     The order columns must not be NULL. A short page is the final one.
     """
-    rows = df if last is None else df.where(_beyond(order, last))
+    rows = df if last is None else df.where(_beyond(df, order, last))
     return rows.orderBy(*_ascending(order)).limit(size)
 
 
@@ -53,11 +53,18 @@ def _ascending(order: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in order]
 
 
-def _beyond(order: Sequence[str], last: Sequence) -> Column:
-    """Row comparison ``order > last``; the leading column alone bounds the scan."""
+def _beyond(df: DataFrame, order: Sequence[str], last: Sequence) -> Column:
+    """Row comparison ``order > last``; the leading column alone bounds the scan.
+
+    Times pass as text, so that a zone-less one does not take on the session's zone.
+    """
+    values = [
+        F.lit(str(v) if isinstance(v, date) else v).cast(df.schema[c].dataType)
+        for c, v in zip(order, last)
+    ]
     cases = []
     for i, name in enumerate(order):
-        equal = [F.col(c) == F.lit(v) for c, v in zip(order[:i], last)]
-        cases.append(reduce(lambda a, b: a & b, [*equal, F.col(name) > F.lit(last[i])]))
+        equal = [F.col(c) == v for c, v in zip(order[:i], values)]
+        cases.append(reduce(lambda a, b: a & b, [*equal, F.col(name) > values[i]]))
     beyond = reduce(lambda a, b: a | b, cases)
-    return (F.col(order[0]) >= F.lit(last[0])) & beyond
+    return (F.col(order[0]) >= values[0]) & beyond

@@ -47,8 +47,10 @@ def test_window_filter_reaches_the_scan(spark, tmp_path):
     assert df.count() == 2
 
 
-def test_pages_cover_the_source_in_order(spark):
+@pytest.mark.parametrize("name", ["UTC", "America/Chicago", "Asia/Tokyo"])
+def test_pages_cover_the_source_in_order(spark, zone, name):
     """Many equal times: the unique second key decides."""
+    zone(name)
     df = spark.range(23).select(F.timestamp_add("DAY", (F.col("id") % 3).cast("bigint"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("at"), (F.col("id") * 7 % 23).alias("id"))
     everything = sorted(map(tuple, df.collect()))
     by_offset = [tuple(r) for n in range(6) for r in windows.ordered_page(df, ["at", "id"], n * 5, 5).collect()]
