@@ -4,7 +4,7 @@
     clean  --input BRONZE --output SILVER
     gate   --input SILVER                exits with 1 when a rule fails
     load   --input SILVER (--table T | --path P) [--dry-run]
-    build  (--table T | --path P) --seed CSV --output MARTS
+    build  (--table T | --path P) --seed CSV (--output MARTS | --database D)
     upsert --input BRONZE --log LOG --progress DIR [--output SILVER]
 """
 
@@ -48,7 +48,9 @@ def parser() -> argparse.ArgumentParser:
 
     build = commands.add_parser("build")
     build.add_argument("--seed", required=True)
-    build.add_argument("--output", required=True)
+    written = build.add_mutually_exclusive_group(required=True)
+    written.add_argument("--output")
+    written.add_argument("--database")
     build.add_argument("--at-least", type=int, default=HIGH_VOLUME)
 
     for command in (load, build):
@@ -95,7 +97,10 @@ def main(argv: list[str] | None = None) -> int:
             print(jobs.load(silver, table=args.table, path=args.path))
     elif args.job == "build":
         raw, seed = scan_raw(spark, args.table, args.path), scan_seed(spark, args.seed)
-        results = jobs.model_tests(jobs.build_marts(raw, seed, args.output, args.at_least)).collect()
+        models = jobs.build_marts(
+            raw, seed, out=args.output, database=args.database, at_least=args.at_least
+        )
+        results = jobs.model_tests(models).collect()
         for test in results:
             print(test["status"], test["model"], test["test"], test["column"], test["failures"])
         return 1 if any(test["status"] == "fail" for test in results) else 0

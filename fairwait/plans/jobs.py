@@ -137,19 +137,27 @@ def load_plan(silver: DataFrame) -> DataFrame:
 
 
 def build_marts(
-    raw: DataFrame, seed: DataFrame, out: str | None = None, at_least: int = HIGH_VOLUME
+    raw: DataFrame,
+    seed: DataFrame,
+    out: str | None = None,
+    database: str | None = None,
+    at_least: int = HIGH_VOLUME,
 ) -> dict[str, DataFrame]:
-    """All models by name. With ``out`` the tables are written there and read back.
+    """All models by name. Tables are written below ``out`` or into ``database`` and read back.
 
     Written dimensions have a known size, and each mart then reads the narrow fact.
+    Without a target everything stays lazy.
     """
+    spark = raw.sparkSession
     models = {"stg_requests": star.stg_requests(raw), "stg_census": star.stg_census(seed)}
 
     def add(name: str, model: DataFrame) -> None:
-        if out is not None:
-            path = f"{out}/{name}"
-            sinks.replace_table(model, path=path)
-            model = raw.sparkSession.read.parquet(path)
+        if database is not None:
+            sinks.replace_table(model, table=f"{database}.{name}")
+            model = spark.table(f"{database}.{name}")
+        elif out is not None:
+            sinks.replace_table(model, path=f"{out}/{name}")
+            model = spark.read.parquet(f"{out}/{name}")
         models[name] = model
 
     staged = models["stg_requests"]
@@ -163,6 +171,12 @@ def build_marts(
     return models
 
 
+def create_views(models: dict[str, DataFrame]) -> None:
+    """Make every model a temporary view of its name, for SQL."""
+    for name, model in models.items():
+        model.createOrReplaceTempView(name)
+
+
 def model_tests(models: dict[str, DataFrame]) -> DataFrame:
     return run_model_tests(models, MODEL_TESTS)
 
@@ -196,6 +210,7 @@ def run_all(
     enforce(gate(silver))
     load(silver, path=settings.raw)
     raw = scan_raw(spark, path=settings.raw)
-    models = build_marts(raw, scan_seed(spark, settings.seed), settings.marts, settings.at_least)
+    seed = scan_seed(spark, settings.seed)
+    models = build_marts(raw, seed, out=settings.marts, at_least=settings.at_least)
     enforce_tests(model_tests(models))
     return models

@@ -5,9 +5,17 @@ from pyspark.sql import functions as F
 
 from fairwait.operators.rules import GateFailed
 from fairwait.plans.clean import clean
-from fairwait.plans.jobs import TABLES, Settings, build_silver, model_tests, run_all
+from fairwait.plans.jobs import (
+    TABLES,
+    Settings,
+    build_marts,
+    build_silver,
+    create_views,
+    model_tests,
+    run_all,
+)
 from fairwait.schemas import SILVER
-from fairwait.sources.scans import scan_json, scan_silver
+from fairwait.sources.scans import scan_json, scan_seed, scan_silver
 from fairwait.streaming.upsert import (
     append_versions,
     compact_versions,
@@ -55,6 +63,27 @@ def test_full_run(spark, tmp_path):
     assert texts(run_all(spark, conf, bronze(spark, SIX))["fct_service_requests"]) == before
 
 
+def test_marts_in_a_database_answer_sql(spark, tmp_path):
+    spark.sql("create database if not exists wait_marts")
+    try:
+        seed = scan_seed(spark, write_census(tmp_path / "census.csv"))
+        models = build_marts(clean(bronze(spark, SIX)), seed, database="wait_marts", at_least=1)
+        create_views(models)
+        joined = spark.sql(
+            """select d.day_of_week, a.income_quartile, t.owner_department, s.ward
+            from wait_marts.fct_service_requests f
+            join wait_marts.dim_date d using (date_day)
+            join wait_marts.dim_community_area a using (community_area)
+            join wait_marts.dim_service_type t using (sr_type)
+            join stg_requests s using (sr_number)
+            where f.sr_number = 'SR24-0003'"""
+        )
+        assert [tuple(r) for r in joined.collect()] == [(3, 4, "CDOT", 1)]
+        assert spark.table("mart_service_equity").count() == 1
+    finally:
+        spark.sql("drop database wait_marts cascade")
+
+
 def test_failing_gate_keeps_the_last_load(spark, tmp_path):
     conf = settings(tmp_path)
     run_all(spark, conf, bronze(spark, SIX))

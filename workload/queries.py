@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,8 +80,9 @@ def latest_version(spark, sf_dir):
 def merge_pulls(spark, sf_dir):
     """Two pulls that overlap by a year; the older one lacks a column."""
     lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
-    older = windows.window_extract(lines, "l_shipdate", "1995-01-01", "1999-01-01").drop("l_tax")
-    newer = windows.window_extract(lines, "l_shipdate", "1998-01-01", "2002-01-01")
+    shipped = F.col("l_shipdate")
+    older = lines.where(shipped < F.lit("1999-01-01").cast("timestamp_ntz")).drop("l_tax")
+    newer = lines.where(shipped >= F.lit("1998-01-01").cast("timestamp_ntz"))
     return versions.merge_pulls([older, newer], LINE_KEY, "l_shipdate", (*TIES, "l_tax"))
 
 
@@ -278,11 +279,16 @@ def bronze_json_scan(spark, sf_dir):
 
 @query
 def bronze_landing_roundtrip(spark, sf_dir):
-    """Three windows that cover the table; the second is landed twice and replaced."""
+    """Windows of ten days from the first event to the last; each is landed twice and replaced."""
     path, records = shared_path(spark, "windows"), _event_records(spark, sf_dir)
-    days = ("2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01")
-    for start, end in ((0, 1), (1, 2), (1, 2), (2, 3)):
-        jobs.land_window(records, days[start], days[end], path, on="ts")
+    day = F.col("ts").cast("date")
+    first, last = table(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first()
+    start = first
+    while start <= last:
+        end = start + timedelta(days=10)
+        for _ in range(2):
+            jobs.land_window(records, start.isoformat(), end.isoformat(), path, on="ts")
+        start = end
     return _typed_events(scans.scan_json(spark, path, EVENT_TEXT))
 
 
