@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from fairwait.schemas import BRONZE, CENSUS
+from fairwait.schemas import BRONZE, CENSUS, SILVER
 
 
 def scan_json(spark: SparkSession, path: str | list[str], schema: StructType = BRONZE) -> DataFrame:
@@ -17,9 +17,14 @@ def scan_json(spark: SparkSession, path: str | list[str], schema: StructType = B
     return reader.option("recursiveFileLookup", "true").json(path)
 
 
-def scan_silver(spark: SparkSession, path: str) -> DataFrame:
-    """A partitioned Parquet dataset; the partition columns come last."""
-    return spark.read.parquet(path)
+def scan_silver(spark: SparkSession, path: str, schema: StructType | None = SILVER) -> DataFrame:
+    """A partitioned Parquet dataset; the partition columns come last.
+
+    Declaring the schema types a partition column that holds only NULL, and lets a
+    dataset without files read as empty. With ``None`` it is inferred.
+    """
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def scan_seed(spark: SparkSession, path: str, schema: StructType = CENSUS) -> DataFrame:

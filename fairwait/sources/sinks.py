@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructType
 
 from fairwait.schemas import SILVER, SILVER_PARTITIONS
 
@@ -38,7 +38,8 @@ def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = SILVER_PAR
 
 def conform(df: DataFrame, schema: StructType = SILVER) -> DataFrame:
     """Names, order and types of the declared target."""
-    return df.to(schema)
+    whole = tuple(f.name for f in schema if isinstance(f.dataType, IntegerType))
+    return int_columns(df, whole).to(schema)
 
 
 def upper_names(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from fairwait.plans.jobs import (
     build_marts,
     build_silver,
     create_views,
+    load,
     model_tests,
     run_all,
 )
@@ -44,6 +45,23 @@ def test_build_silver_counts_rows_and_rejects(spark, tmp_path):
     assert scan_silver(spark, str(tmp_path / "s")).count() == 6
 
 
+def test_empty_window_gives_empty_models(spark, tmp_path):
+    conf = settings(tmp_path)
+    models = run_all(spark, conf, bronze(spark, SIX).where("sr_number = 'none'"))
+    assert spark.read.parquet(conf.raw).count() == 0
+    assert models["dim_community_area"].count() == 77 and models["mart_service_equity"].count() == 0
+
+
+def test_only_undated_requests(spark, tmp_path):
+    write_records(tmp_path / "b" / "a.ndjson", [request("a", created_date=None)])
+    counts = build_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"))
+    assert counts["silver_rows"] == 1
+    inferred = scan_silver(spark, str(tmp_path / "s"), schema=None)
+    for silver in (scan_silver(spark, str(tmp_path / "s")), inferred):
+        assert load(silver, path=str(tmp_path / "raw"))["matches"] is True
+    assert spark.read.parquet(str(tmp_path / "raw")).schema["CREATED_YEAR"].dataType.simpleString() == "int"
+
+
 def test_full_run(spark, tmp_path):
     conf = settings(tmp_path, at_least=1)
     models = run_all(spark, conf, bronze(spark, SIX))

@@ -307,7 +307,7 @@ def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def silver_partition_roundtrip(spark, sf_dir):
     path = shared_path(spark, "orders")
     sinks.write_partitioned(_dated_orders(spark, sf_dir), path)
-    return scans.scan_silver(spark, path)
+    return scans.scan_silver(spark, path, schema=None)
 
 
 @query
@@ -316,7 +316,7 @@ def silver_partition_scan(spark, sf_dir):
     path = shared_path(spark, "orders")
     sinks.write_partitioned(_dated_orders(spark, sf_dir), path)
     return (
-        scans.scan_silver(spark, path)
+        scans.scan_silver(spark, path, schema=None)
         .groupBy("created_year", "created_month")
         .agg(F.count(F.lit(1)).alias("row_count"))
     )
