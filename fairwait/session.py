@@ -37,7 +37,7 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if not context.getCheckpointDir():
+        if configured not in (context.getCheckpointDir() or ""):
             context.setCheckpointDir(configured)
         return configured
     if context.getCheckpointDir():

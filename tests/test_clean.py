@@ -186,5 +186,10 @@ def test_pulls_may_overlap_and_lack_columns(spark):
     assert kept["SR24-0004"]["legacy_record"] is False
 
 
+def test_cleaning_takes_one_shuffle(spark):
+    plan = clean(bronze(spark, SIX))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("WindowGroupLimit") == 2
+
+
 def test_stamp_pattern_is_the_declared_one():
     assert STAMP.count(r"\d") == 7

@@ -79,6 +79,14 @@ def test_landing_returns_the_count_and_replaces_its_window(spark, tmp_path):
     assert text.where(F.col("value").contains('"closed_date":null')).count() == 1
 
 
+def test_landed_timestamps_are_read_by_cleaning(spark, tmp_path):
+    """A typed source lands in the text form that cleaning accepts."""
+    source = bronze(spark, SIX).withColumn("created_date", F.col("created_date").cast("timestamp_ntz"))
+    assert land_window(source, "2024-01-01", "2024-02-01", str(tmp_path)) == 6
+    rows = clean(scans.scan_json(spark, str(tmp_path)))
+    assert rows.where(F.col("created_ts").isNull()).count() == 0
+
+
 def test_landing_the_last_days(spark, tmp_path):
     assert land_recent(bronze(spark, SIX), date(2024, 1, 11), 1, str(tmp_path)) == 2
 

@@ -22,7 +22,7 @@ from fairwait.sources import scans, sinks, windows
 from fairwait.streaming import upsert
 from workload.views import (
     LINE_KEY,
-    TIES,
+    LINE_TIES,
     areas,
     bronze_requests,
     census_seed,
@@ -62,18 +62,18 @@ def clean_requests(spark, sf_dir):
 def build_silver(spark, sf_dir):
     """Land the raw records, run the job, read its output."""
     landed, out = shared_path(spark, "bronze"), shared_path(spark, "silver")
-    sinks.land_json(bronze_requests(spark, sf_dir).drop(*TIES), landed)
+    sinks.land_json(bronze_requests(spark, sf_dir).drop(*LINE_TIES), landed)
     jobs.build_silver(spark, landed, out)
     return dates_as_text(scans.scan_silver(spark, out))
 
 
-LINE_COLUMNS = (*LINE_KEY, "l_shipdate", *TIES, "l_quantity", "l_tax")
+LINE_COLUMNS = (*LINE_KEY, "l_shipdate", *LINE_TIES, "l_quantity", "l_tax")
 
 
 @query
 def latest_version(spark, sf_dir):
     lines = table(spark, sf_dir, "lineitem").select(*LINE_COLUMNS)
-    return versions.latest_version(lines, LINE_KEY, "l_shipdate", TIES)
+    return versions.latest_version(lines, LINE_KEY, "l_shipdate", LINE_TIES)
 
 
 @query
@@ -83,7 +83,7 @@ def merge_pulls(spark, sf_dir):
     shipped = F.col("l_shipdate")
     older = lines.where(shipped < F.lit("1999-01-01").cast("timestamp_ntz")).drop("l_tax")
     newer = lines.where(shipped >= F.lit("1998-01-01").cast("timestamp_ntz"))
-    return versions.merge_pulls([older, newer], LINE_KEY, "l_shipdate", (*TIES, "l_tax"))
+    return versions.merge_pulls([older, newer], LINE_KEY, "l_shipdate", (*LINE_TIES, "l_tax"))
 
 
 @query
@@ -417,7 +417,7 @@ LINE_RULES = (
 
 def _latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
-    return versions.latest_version(lines, LINE_KEY, "l_shipdate", TIES)
+    return versions.latest_version(lines, LINE_KEY, "l_shipdate", LINE_TIES)
 
 
 @query
@@ -497,7 +497,7 @@ def incremental_upsert(spark, sf_dir):
     def typed(batch: DataFrame) -> DataFrame:
         return batch.select(*[F.col(c).try_cast(kinds[c]).alias(c) for c in kinds])
 
-    identity = {"key": LINE_KEY, "latest": "l_shipdate", "ties": (*TIES, "l_returnflag")}
+    identity = {"key": LINE_KEY, "latest": "l_shipdate", "ties": (*LINE_TIES, "l_returnflag")}
     for flag in ("R", "A", "N"):
         drop = lines.where(F.col("l_returnflag") == flag)
         sinks.land_json(drop.select(*[F.col(c).cast("string").alias(c) for c in kinds]), f"{landed}/{flag}")

@@ -18,7 +18,7 @@ from fairwait.sources.scans import scan_silver
 from fairwait.sources.sinks import write_partitioned
 
 # Settles line items of the same key and ship date.
-TIES = ("l_extendedprice", "l_partkey", "l_suppkey")
+LINE_TIES = ("l_extendedprice", "l_partkey", "l_suppkey")
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
 
@@ -47,7 +47,7 @@ def longitude_text() -> Column:
 
 
 def bronze_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw text records, with the ``TIES`` columns besides."""
+    """Raw text records, with the ``LINE_TIES`` columns besides."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     orders = table(spark, sf_dir, "orders").join(customer, F.col("o_custkey") == F.col("c_custkey"))
     lines = table(spark, sf_dir, "lineitem")
@@ -87,12 +87,12 @@ def bronze_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")).alias("legacy_record"),
         F.when(located, latitude_text()).alias("latitude"),
         F.when(located, longitude_text()).alias("longitude"),
-        *TIES,
+        *LINE_TIES,
     )
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean(bronze_requests(spark, sf_dir), TIES)
+    return clean(bronze_requests(spark, sf_dir), LINE_TIES)
 
 
 def written_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
