@@ -48,8 +48,8 @@ def typed_versions(
 ) -> DataFrame:
     """Typed columns of every raw version that has a key; ``keep`` passes further columns on.
 
-    ``rejects`` receives the number of raw rows, and per column of the texts that did not
-    convert. It is counted ahead of the shuffle, so a repeated task may count twice:
+    ``rejects`` receives the number of raw rows, of rows without a key (broken lines among
+    them), and per column of the texts that did not convert. It is counted ahead of the shuffle, so a repeated task may count twice:
     good for a log line, not for a check.
     """
     typed = {name: f"_{name}" for _, name, _ in CONVERSIONS}
@@ -65,6 +65,7 @@ def typed_versions(
         parsed = parsed.observe(
             rejects,
             F.count(F.lit(1)).alias("bronze_rows"),
+            F.count_if(F.col("sr_number").isNull()).alias("rows_without_number"),
             *[F.count_if(condition).alias(f"rejected_{raw}") for raw, condition in lost.items()],
         )
     return parsed.where(F.col("sr_number").isNotNull()).select(

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from fairwait.operators.rules import GateFailed
+from fairwait.operators.rules import GateFailed, enforce_tests
 from fairwait.plans.clean import clean
 from fairwait.plans.jobs import (
     TABLES,
@@ -40,6 +40,7 @@ def test_build_silver_counts_rows_and_rejects(spark, tmp_path):
     write_records(tmp_path / "b" / "a.ndjson", [*SIX, request("x", community_area="abc", closed_date="soon"), request(None)])
     counts = build_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"))
     assert counts["bronze_rows"] == 8 and counts["silver_rows"] == 6
+    assert counts["rows_without_number"] == 1
     rejected = {k: v for k, v in counts.items() if k.startswith("rejected") and v}
     assert rejected == {"rejected_community_area": 1, "rejected_closed_date": 1}
     assert scan_silver(spark, str(tmp_path / "s")).count() == 6
@@ -102,6 +103,19 @@ def test_marts_in_a_database_answer_sql(spark, tmp_path):
         spark.sql("drop database wait_marts cascade")
 
 
+def test_an_unknown_area_stays_in_the_fact_only(spark, tmp_path):
+    records = [*SIX, request("far", community_area="99")]
+    seed = scan_seed(spark, write_census(tmp_path / "census.csv"))
+    models = build_marts(clean(bronze(spark, records)), seed)
+    assert models["fct_service_requests"].where("community_area = 99").count() == 1
+    assert models["mart_service_equity"].first()["request_count"] == 2
+    results = model_tests(models)
+    assert [tuple(r)[:4] for r in results.where("status <> 'pass'").collect()] == [
+        ("fct_service_requests", "relationships", "community_area", 1)
+    ]
+    enforce_tests(results)
+
+
 def test_failing_gate_keeps_the_last_load(spark, tmp_path):
     conf = settings(tmp_path)
     run_all(spark, conf, bronze(spark, SIX))

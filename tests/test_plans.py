@@ -1,0 +1,116 @@
+"""Plans as they are when no table is small: shuffles, pushed filters, columns read."""
+
+import os
+import re
+from functools import partial
+
+import pytest
+
+import __spark_entry__
+from fairwait.plans import equity
+from workload import views
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+QUERIES = __spark_entry__.queries()
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not found")
+
+
+@pytest.fixture(autouse=True, scope="module")
+def nothing_is_small(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def shuffles(plan: str) -> list[str]:
+    return re.findall(r"Exchange (\w+)", plan)
+
+
+# Shuffles by what they partition on. SinglePartition joins one row of counts per task.
+EXPECTED = {
+    "latest_version": ["hashpartitioning"],
+    "merge_pulls": ["hashpartitioning"],
+    "dim_date": ["hashpartitioning"],
+    "dim_service_type": ["hashpartitioning"] * 2,
+    "parse_timestamps": [],
+    "blank_to_null": [],
+    "resolution_hours": [],
+    "geo_flag": [],
+    "calendar_columns": [],
+    "real_request_flag": [],
+    "window_extract": [],
+    "incremental_extract": [],
+    "bronze_json_scan": [],
+    "ordered_page": [],
+    "page_after": [],
+    "expect_mostly": ["SinglePartition"],
+    "expect_in_set": ["SinglePartition"],
+    "resolution_flags": ["hashpartitioning"] * 2,
+    "incremental_upsert": ["hashpartitioning"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(EXPECTED))
+def test_shuffles(spark, name):
+    assert shuffles(plan_of(QUERIES[name](spark, SF_DIR))) == EXPECTED[name]
+
+
+@pytest.mark.parametrize("name", ["latest_version", "merge_pulls", "clean_requests"])
+def test_versions_are_reduced_before_the_shuffle(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    kept, shuffled = plan.index("row_number(), 1, Final"), plan.index("Exchange hashpartitioning")
+    assert kept < shuffled < plan.index("row_number(), 1, Partial")
+
+
+def test_type_dimension_sorts_only_distinct_combinations(spark):
+    plan = plan_of(QUERIES["dim_service_type"](spark, SF_DIR))
+    below_the_last_shuffle = plan[plan.rindex("Exchange") :]
+    assert "Sort" not in below_the_last_shuffle and "HashAggregate" in below_the_last_shuffle
+
+
+@pytest.mark.parametrize("name", ["window_extract", "incremental_extract"])
+def test_windows_reach_the_scan(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,.*LessThan\(ts,", plan)
+
+
+@pytest.mark.parametrize(
+    "name, columns",
+    [
+        ("dim_date", "o_orderstatus:string,o_orderdate:timestamp_ntz"),
+        ("dim_service_type", "p_name:string,p_brand:string,p_type:string"),
+        ("expect_in_set", "l_returnflag:string,l_linestatus:string"),
+        ("parse_timestamps", "event_id:bigint,ts:timestamp_ntz,event_type:string"),
+    ],
+)
+def test_only_needed_columns_are_read(spark, name, columns):
+    assert f"ReadSchema: struct<{columns}>" in plan_of(QUERIES[name](spark, SF_DIR))
+
+
+@pytest.mark.parametrize(
+    "compare", [equity.equity_by_quartile, partial(equity.equity_by_type, at_least=1)]
+)
+def test_facts_are_counted_once(spark, compare):
+    """The histogram's shuffle is reused, and only the area dimension is broadcast."""
+    df = compare(views.facts(spark, SF_DIR), views.areas(spark, SF_DIR))
+    assert df.collect()
+    final = plan_of(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 3
+    assert "ReusedExchange" in final
+    assert final.count("BroadcastExchange") == 1
+
+
+def test_a_mart_reads_the_columns_it_compares(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    views.facts(spark, SF_DIR).write.parquet(path)
+    plan = plan_of(equity.high_volume_types(spark.read.parquet(path), views.areas(spark, SF_DIR)))
+    read = re.search(r"FileScan parquet \[([^\]]*)\]", plan).group(1)
+    assert sorted(re.sub(r"#\d+", "", read).split(",")) == [
+        "community_area", "has_valid_resolution", "is_real_service_request", "sr_type",
+    ]
+    assert "IsNotNull(is_real_service_request)" in plan
