@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,15 +67,8 @@ MODEL_TESTS = (
     RelationTest("fct_service_requests", "sr_type", "dim_service_type", "sr_type"),
 )
 
-# Staging models stay lazy; these are written.
-TABLES = (
-    "fct_service_requests",
-    "dim_date",
-    "dim_community_area",
-    "dim_service_type",
-    "mart_service_equity",
-    "mart_equity_by_type",
-)
+# Tables written at the same time.
+BUILD_THREADS = 4
 
 
 def land_window(
@@ -145,29 +141,43 @@ def build_marts(
 ) -> dict[str, DataFrame]:
     """All models by name. Tables are written below ``out`` or into ``database`` and read back.
 
-    Written dimensions have a known size, and each mart then reads the narrow fact.
-    Without a target everything stays lazy.
+    Written dimensions have a known size, and each mart then reads the narrow fact. Tables
+    that do not need each other are written at the same time. Without a target everything
+    stays lazy.
     """
     spark = raw.sparkSession
-    models = {"stg_requests": star.stg_requests(raw), "stg_census": star.stg_census(seed)}
+    staged, census = star.stg_requests(raw), star.stg_census(seed)
 
-    def add(name: str, model: DataFrame) -> None:
+    def table(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if database is not None:
-            sinks.replace_table(model, table=f"{database}.{name}")
-            model = spark.table(f"{database}.{name}")
-        elif out is not None:
-            sinks.replace_table(model, path=f"{out}/{name}")
-            model = spark.read.parquet(f"{out}/{name}")
-        models[name] = model
-
-    staged = models["stg_requests"]
-    add("fct_service_requests", star.fct_requests(staged))
-    add("dim_date", star.dim_date(staged))
-    add("dim_community_area", star.dim_area(models["stg_census"]))
-    add("dim_service_type", star.dim_service_type(staged))
+            sinks.replace_table(build(), table=f"{database}.{name}")
+            return spark.table(f"{database}.{name}")
+        if out is not None:
+            sinks.replace_table(build(), path=f"{out}/{name}")
+            return spark.read.parquet(f"{out}/{name}")
+        return build()
+
+    def tables(builds: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        with ThreadPoolExecutor(BUILD_THREADS) as pool:
+            built = pool.map(inheritable_thread_target(spark)(table), builds.keys(), builds.values())
+            return dict(zip(builds, built))
+
+    models = {"stg_requests": staged, "stg_census": census}
+    models |= tables(
+        {
+            "fct_service_requests": lambda: star.fct_requests(staged),
+            "dim_date": lambda: star.dim_date(staged),
+            "dim_community_area": lambda: star.dim_area(census),
+            "dim_service_type": lambda: star.dim_service_type(staged),
+        }
+    )
     facts, areas = models["fct_service_requests"], models["dim_community_area"]
-    add("mart_service_equity", equity.equity_by_quartile(facts, areas))
-    add("mart_equity_by_type", equity.equity_by_type(facts, areas, at_least))
+    models |= tables(
+        {
+            "mart_service_equity": lambda: equity.equity_by_quartile(facts, areas),
+            "mart_equity_by_type": lambda: equity.equity_by_type(facts, areas, at_least),
+        }
+    )
     return models
 
 

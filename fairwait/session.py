@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings the jobs want on a cluster. Everything is runtime-adaptive: many small
@@ -22,10 +23,18 @@ CLUSTER_CONF = {
 
 
 def build_session(app: str, **conf: str) -> SparkSession:
-    """A session with ``CLUSTER_CONF``; the master is left to spark-submit."""
+    """The active session, or a new one with ``CLUSTER_CONF``.
+
+    What spark-submit was given stays as it is, the master included.
+    """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
+    given = SparkConf()
     builder = SparkSession.builder.appName(app)
     for key, value in {**CLUSTER_CONF, **conf}.items():
-        builder = builder.config(key, value)
+        if not given.contains(key):
+            builder = builder.config(key, value)
     return builder.getOrCreate()
 
 

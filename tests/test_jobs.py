@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from fairwait.operators.rules import GateFailed, enforce_tests
 from fairwait.plans.clean import clean
 from fairwait.plans.jobs import (
-    TABLES,
     Settings,
     build_marts,
     build_silver,
@@ -68,7 +67,7 @@ def test_full_run(spark, tmp_path):
     models = run_all(spark, conf, bronze(spark, SIX))
     assert [tuple(r) for r in models["mart_service_equity"].collect()] == [(4, 2, 130.3, 130.3)]
     assert models["mart_equity_by_type"].count() == 2
-    assert {name: models[name].count() for name in TABLES} == {
+    assert {name: model.count() for name, model in models.items() if name[:3] != "stg"} == {
         "fct_service_requests": 5,
         "dim_date": 5,
         "dim_community_area": 77,
