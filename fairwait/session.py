@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings the jobs want on a cluster. Everything is runtime-adaptive: many small
@@ -18,24 +17,23 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
-    "spark.ui.enabled": "false",
 }
 
 
-def build_session(app: str, **conf: str) -> SparkSession:
-    """The active session, or a new one with ``CLUSTER_CONF``.
+def build_session(app: str) -> SparkSession:
+    """The active session, or a new one with ``CLUSTER_CONF`` and without a web page.
 
     What spark-submit was given stays as it is, the master included.
     """
     active = SparkSession.getActiveSession()
     if active is not None:
         return active
-    given = SparkConf()
-    builder = SparkSession.builder.appName(app)
-    for key, value in {**CLUSTER_CONF, **conf}.items():
+    spark = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").getOrCreate()
+    given = spark.sparkContext.getConf()
+    for key, value in CLUSTER_CONF.items():
         if not given.contains(key):
-            builder = builder.config(key, value)
-    return builder.getOrCreate()
+            spark.conf.set(key, value)
+    return spark
 
 
 def shared_root(spark: SparkSession) -> str:
