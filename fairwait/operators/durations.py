@@ -59,12 +59,11 @@ def duration_stats(histogram: DataFrame, keys: list[str]) -> DataFrame:
         lambda a, b: a & b, [F.col(f"v.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, "block")]
     )
     rows = blocked.alias("v").join(wanted.alias("b"), same)
-    rows = rows.select(
-        *[F.col(f"b.{c}") for c in (*keys, "block", "before", "request_count", "known_count", "tick_sum")],
-        "tick",
-        "n",
+    totals = ("before", "request_count", "known_count", "tick_sum")
+    rows = rows.select(*[F.col(f"b.{c}") for c in (*keys, "block", *totals)], "tick", "n")
+    within = Window.partitionBy(*keys, "block").orderBy("tick").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
-    within = Window.partitionBy(*keys, "block").orderBy("tick")
     rows = rows.withColumn("rank", F.col("before") + F.sum("n").over(within))
     return rows.groupBy(*keys).agg(
         F.max("request_count").alias("request_count"),

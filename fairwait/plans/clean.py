@@ -38,9 +38,10 @@ UNCHANGED = (
     "legacy_record",
 )
 # Settles versions with the same modification time; all columns, so nothing is left open.
-TIES = tuple(
-    typed for _, typed, _ in CONVERSIONS if typed != LATEST
-) + tuple(name for name in UNCHANGED if name not in KEY)
+TIES = (
+    *[typed for _, typed, _ in CONVERSIONS if typed != LATEST],
+    *[name for name in UNCHANGED if name not in KEY],
+)
 
 
 def typed_versions(
@@ -49,8 +50,8 @@ def typed_versions(
     """Typed columns of every raw version that has a key; ``keep`` passes further columns on.
 
     ``rejects`` receives the number of raw rows, of rows without a key (broken lines among
-    them), and per column of the texts that did not convert. It is counted ahead of the shuffle, so a repeated task may count twice:
-    good for a log line, not for a check.
+    them), and per column of the texts that did not convert. It is counted ahead of the
+    shuffle, so a repeated task may count twice: good for a log line, not for a check.
     """
     typed = {name: f"_{name}" for _, name, _ in CONVERSIONS}
     parsed = bronze.select(

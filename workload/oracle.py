@@ -161,7 +161,15 @@ ONE_LINE = "partition by l_orderkey, l_linenumber order by l_shipdate desc"
 EVENT_SECONDS = f"{epoch('noon')} - {epoch('ts')}"
 
 
-def rule(kind: str, column: str, bad: str, source: str, severity: str = "error", mostly: float = 1.0, judged: str = "count(*)") -> str:
+def rule(
+    kind: str,
+    column: str,
+    bad: str,
+    source: str,
+    severity: str = "error",
+    mostly: float = 1.0,
+    judged: str = "count(*)",
+) -> str:
     return f"""select '{kind}' as rule, '{column}' as "column", count(*) as element_count,
         {bad} as unexpected_count,
         coalesce(({judged} - ({bad})) / nullif({judged}, 0)::double >= {mostly}, true) as success,
