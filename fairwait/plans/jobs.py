@@ -72,14 +72,14 @@ BUILD_THREADS = 4
 
 
 def land_window(
-    source: DataFrame, start: str, end: str, out: str, on: str = "created_date"
+    source: DataFrame, start: str, end: str, out: str, on: str = "created_date", **options: str
 ) -> int:
     """Land the records with ``start <= on < end`` in a folder of their own; returns their number.
 
-    Landing the same window again replaces it.
+    Landing the same window again replaces it. ``options`` go to ``land_json``.
     """
     records = window_extract(source, on, start, end)
-    return sinks.land_json(records, f"{out}/{start}_to_{end}")
+    return sinks.land_json(records, f"{out}/{start}_to_{end}", **options)
 
 
 def land_pages(

@@ -21,9 +21,12 @@ def land_text(lines: DataFrame, path: str) -> int:
     return written.get["rows"]
 
 
-def land_json(df: DataFrame, path: str) -> int:
-    """Write rows as JSON lines with explicit nulls; returns their number."""
-    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false"})
+def land_json(df: DataFrame, path: str, **options: str) -> int:
+    """Write rows as JSON lines with explicit nulls; returns their number.
+
+    ``options`` are those of ``to_json``, such as ``timestampNTZFormat``.
+    """
+    record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", **options})
     return land_text(df.select(record.alias("value")), path)
 
 

@@ -257,9 +257,8 @@ EVENT_TEXT = StructType(
 )
 
 
-def _event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events")
-    return events.withColumn("ts", F.translate(F.col("ts").cast("string"), " ", "T"))
+# Events carry microseconds.
+EVENT_TIME = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def _typed_events(records: DataFrame) -> DataFrame:
@@ -272,21 +271,21 @@ def _typed_events(records: DataFrame) -> DataFrame:
 @query
 def bronze_json_scan(spark, sf_dir):
     path = shared_path(spark, "events")
-    sinks.land_json(_event_records(spark, sf_dir), path)
+    sinks.land_json(table(spark, sf_dir, "events"), path, **EVENT_TIME)
     return _typed_events(scans.scan_json(spark, path, EVENT_TEXT))
 
 
 @query
 def bronze_landing_roundtrip(spark, sf_dir):
     """Windows of ten days from the first event to the last; each is landed twice and replaced."""
-    path, records = shared_path(spark, "windows"), _event_records(spark, sf_dir)
+    path, events = shared_path(spark, "windows"), table(spark, sf_dir, "events")
     day = F.col("ts").cast("date")
-    first, last = table(spark, sf_dir, "events").agg(F.min(day), F.max(day)).first()
+    first, last = events.agg(F.min(day), F.max(day)).first()
     start = first
     while start <= last:
         end = start + timedelta(days=10)
         for _ in range(2):
-            jobs.land_window(records, start.isoformat(), end.isoformat(), path, on="ts")
+            jobs.land_window(events, str(start), str(end), path, on="ts", **EVENT_TIME)
         start = end
     return _typed_events(scans.scan_json(spark, path, EVENT_TEXT))
 
