@@ -181,6 +181,6 @@ def test_a_hot_request_reaches_the_shuffle_as_one_row_per_task(spark):
     df = clean(bronze(spark, records).repartition(4))
     assert df.count() == 401
     plan = df._jdf.queryExecution().executedPlan().toString()
-    before_shuffle = plan.split("Exchange hashpartitioning(sr_number")[1]
+    before_shuffle = plan.split("Exchange hashpartitioning")[1]
     assert "row_number(), 1, Partial" in before_shuffle
     assert df.where(F.col("sr_number") == "hot").count() == 1
