@@ -9,8 +9,8 @@ from fairwait.schemas import BRONZE, CENSUS
 
 DEFAULTS = {
     "sr_type": "Pothole in Street",
-    "sr_short_code": "PHF",
-    "owner_department": "CDOT",
+    "sr_short_code": "POT",
+    "owner_department": "Transport",
     "status": "Completed",
     "origin": "Internet",
     "created_date": "2024-01-02T08:00:00.000",

@@ -96,7 +96,7 @@ def test_marts_in_a_database_answer_sql(spark, tmp_path):
             join stg_requests s using (sr_number)
             where f.sr_number = 'SR24-0003'"""
         )
-        assert [tuple(r) for r in joined.collect()] == [(3, 4, "CDOT", 1)]
+        assert [tuple(r) for r in joined.collect()] == [(3, 4, "Transport", 1)]
         assert spark.table("mart_service_equity").count() == 1
     finally:
         spark.sql("drop database wait_marts cascade")

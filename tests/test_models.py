@@ -49,7 +49,7 @@ def test_service_types(spark):
     records = [request("a", sr_type=None), request("b", sr_short_code="AAA"), request("c", sr_short_code="ZZZ", owner_department=None)]
     types = {r["sr_type"]: r for r in star.dim_service_type(star.stg_requests(clean(bronze(spark, records)))).collect()}
     assert set(types) == {None, "Pothole in Street"}
-    assert tuple(types["Pothole in Street"])[1:] == ("ZZZ", "CDOT", True)
+    assert tuple(types["Pothole in Street"])[1:] == ("ZZZ", "Transport", True)
 
 
 def test_quartiles_of_the_census(areas):
