@@ -120,10 +120,14 @@ def test_wall_clock(spark, raw, parsed):
 
 
 def test_text_conversions(spark):
-    df = spark.createDataFrame([(" 8 ",), ("8.7",), ("-3",), ("",), ("abc",), ("8e1",), ("99999999999",), (None,)], "raw string")
+    values = [" 8 ", "8.7", "-3", "", "abc", "8e1", "99999999999", None]
+    df = spark.createDataFrame([(v,) for v in values], "raw string")
     raw = F.col("raw")
     rows = df.select(
-        text.to_int(raw).alias("cut"), text.to_int_rounded(raw).alias("rounded"), text.to_double(raw).alias("number"), text.blank_to_null(raw).alias("text")
+        text.to_int(raw).alias("cut"),
+        text.to_int_rounded(raw).alias("rounded"),
+        text.to_double(raw).alias("number"),
+        text.blank_to_null(raw).alias("text"),
     ).collect()
     assert [r["cut"] for r in rows] == [8, 8, -3, None, None, None, None, None]
     assert [r["rounded"] for r in rows] == [8, 9, -3, None, None, 80, None, None]
@@ -139,7 +143,14 @@ def test_hours_equal_decimal_rounding(spark):
 
 def test_bounds_are_included(spark):
     df = spark.createDataFrame(
-        [(41.6, -87.95, True), (42.1, -87.5, True), (41.59, -87.6, False), (41.8, -87.49, False), (None, -87.6, False), (41.8, None, False)],
+        [
+            (41.6, -87.95, True),
+            (42.1, -87.5, True),
+            (41.59, -87.6, False),
+            (41.8, -87.49, False),
+            (None, -87.6, False),
+            (41.8, None, False),
+        ],
         "lat double, lon double, expected boolean",
     )
     assert df.where(is_inside(F.col("lat"), F.col("lon")) != F.col("expected")).count() == 0
@@ -161,7 +172,11 @@ def test_unknown_modification_time_loses(spark):
 
 
 def test_ties_do_not_depend_on_input_order(spark):
-    records = [request("a", closed_date=f"2024-01-0{d}T08:00:00.000", status=s) for d in (3, 5, 4) for s in ("Open", "Completed")]
+    records = [
+        request("a", closed_date=f"2024-01-0{day}T08:00:00.000", status=status)
+        for day in (3, 5, 4)
+        for status in ("Open", "Completed")
+    ]
     results = set()
     for seed in range(4):
         random.Random(seed).shuffle(records)

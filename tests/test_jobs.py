@@ -177,7 +177,14 @@ def test_upsert_of_many_small_batches(spark, tmp_path):
 
 def test_a_hot_request_reaches_the_shuffle_as_one_row_per_task(spark):
     """A third of all versions belong to one request."""
-    records = [request("hot" if i % 3 == 0 else f"N{i}", last_modified_date=f"2024-01-0{1 + i % 9}T10:00:00.000", zip_code=str(i)) for i in range(600)]
+    records = [
+        request(
+            "hot" if i % 3 == 0 else f"N{i}",
+            last_modified_date=f"2024-01-0{1 + i % 9}T10:00:00.000",
+            zip_code=str(i),
+        )
+        for i in range(600)
+    ]
     df = clean(bronze(spark, records).repartition(4))
     assert df.count() == 401
     plan = df._jdf.queryExecution().executedPlan().toString()

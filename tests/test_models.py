@@ -46,7 +46,11 @@ def test_date_dimension(staged):
 
 
 def test_service_types(spark):
-    records = [request("a", sr_type=None), request("b", sr_short_code="AAA"), request("c", sr_short_code="ZZZ", owner_department=None)]
+    records = [
+        request("a", sr_type=None),
+        request("b", sr_short_code="AAA"),
+        request("c", sr_short_code="ZZZ", owner_department=None),
+    ]
     types = {r["sr_type"]: r for r in star.dim_service_type(star.stg_requests(clean(bronze(spark, records)))).collect()}
     assert set(types) == {None, "Pothole in Street"}
     assert tuple(types["Pothole in Street"])[1:] == ("ZZZ", "Transport", True)
@@ -113,11 +117,18 @@ def test_gap_is_taken_before_rounding(spark, areas):
 def test_statistics_equal_brute_force(spark):
     """Long and short durations, one group with a third of all rows in one value."""
     pick = random.Random(7)
-    data = {g: [round(pick.expovariate(1 / s), 2) for _ in range(n)] for g, s, n in (("a", 3, 501), ("b", 4000, 800), ("c", 90, 1), ("d", 50, 2))}
+    shapes = {"a": (3, 501), "b": (4000, 800), "c": (90, 1), "d": (50, 2)}
+    data = {
+        group: [round(pick.expovariate(1 / mean), 2) for _ in range(size)]
+        for group, (mean, size) in shapes.items()
+    }
     data["a"] += [12.34] * 700
-    df = spark.createDataFrame([(g, v) for g, vs in data.items() for v in vs] + [("a", None), ("e", None)], "g string, hours double")
+    pairs = [(group, value) for group, values in data.items() for value in values]
+    df = spark.createDataFrame([*pairs, ("a", None), ("e", None)], "g string, hours double")
     histogram = df.groupBy("g", tick("hours").alias("tick")).agg(F.count(F.lit(1)).alias("n"))
-    stats = duration_stats(histogram, ["g"]).select("g", "request_count", mean_hours().alias("mean"), median_hours().alias("median"))
+    stats = duration_stats(histogram, ["g"]).select(
+        "g", "request_count", mean_hours().alias("mean"), median_hours().alias("median")
+    )
     found = {r["g"]: tuple(r)[1:] for r in stats.collect()}
 
     def half_up(value):
@@ -131,7 +142,8 @@ def test_statistics_equal_brute_force(spark):
 
 
 def test_statistics_equal_the_built_in_median(spark):
-    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), (F.pmod(F.hash("id"), F.lit(5_000_000)) / 100.0).alias("hours"))
+    hours = F.pmod(F.hash("id"), F.lit(5_000_000)) / 100.0
+    df = spark.range(20_000).select((F.col("id") % 3).alias("g"), hours.alias("hours"))
     histogram = df.groupBy("g", tick("hours").alias("tick")).agg(F.count(F.lit(1)).alias("n"))
     ours = duration_stats(histogram, ["g"]).select("g", (F.col("median_twice") / 200.0).alias("m"))
     theirs = df.groupBy("g").agg(F.median("hours").alias("m"))

@@ -30,8 +30,9 @@ def test_incremental_window(days, start):
 
 
 def test_window_is_half_open_for_text_and_time(spark):
-    stamps = ["2024-01-06T23:59:59.999", "2024-01-07T00:00:00.000", "2024-01-10T23:59:59.999", "2024-01-11T00:00:00.000", None]
-    text = spark.createDataFrame([(s,) for s in stamps], "at string")
+    inside = ["2024-01-07T00:00:00.000", "2024-01-10T23:59:59.999"]
+    outside = ["2024-01-06T23:59:59.999", "2024-01-11T00:00:00.000", None]
+    text = spark.createDataFrame([(s,) for s in inside + outside], "at string")
     time = text.select(F.col("at").cast("timestamp_ntz").alias("at"))
     for df in (text, time):
         kept = windows.incremental_extract(df, "at", date(2024, 1, 10), 3)
@@ -40,7 +41,8 @@ def test_window_is_half_open_for_text_and_time(spark):
 
 def test_window_filter_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
-    spark.range(10).select(F.timestamp_add("DAY", F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("at")).write.parquet(path)
+    day = F.timestamp_add("DAY", F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz"))
+    spark.range(10).select(day.alias("at")).write.parquet(path)
     df = windows.window_extract(spark.read.parquet(path), "at", "2024-01-03", "2024-01-05")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(at," in plan and "LessThan(at," in plan
@@ -51,7 +53,8 @@ def test_window_filter_reaches_the_scan(spark, tmp_path):
 def test_pages_cover_the_source_in_order(spark, zone, name):
     """Many equal times: the unique second key decides."""
     zone(name)
-    df = spark.range(23).select(F.timestamp_add("DAY", (F.col("id") % 3).cast("bigint"), F.lit("2024-01-01").cast("timestamp_ntz")).alias("at"), (F.col("id") * 7 % 23).alias("id"))
+    day = F.timestamp_add("DAY", F.col("id") % 3, F.lit("2024-01-01").cast("timestamp_ntz"))
+    df = spark.range(23).select(day.alias("at"), (F.col("id") * 7 % 23).alias("id"))
     everything = sorted(map(tuple, df.collect()))
     by_offset = [tuple(r) for n in range(6) for r in windows.ordered_page(df, ["at", "id"], n * 5, 5).collect()]
     assert by_offset == everything
@@ -92,7 +95,8 @@ def test_landing_the_last_days(spark, tmp_path):
 
 
 def test_small_source_in_two_pages_lands_whole(spark, tmp_path):
-    source = spark.createDataFrame([(n, f"2024-01-0{i}T00:00:00.000") for i, n in enumerate(("A1", "A2", "A3"), 1)], "sr_number string, created_date string")
+    rows = [(f"A{i}", f"2024-01-0{i}T00:00:00.000") for i in (1, 2, 3)]
+    source = spark.createDataFrame(rows, "sr_number string, created_date string")
     assert [windows.ordered_page(source, ["created_date", "sr_number"], o, 2).count() for o in (0, 2)] == [2, 1]
     assert land_window(source, "2024-01-01", "2024-02-01", str(tmp_path / "b")) == 3
     assert {r["sr_number"] for r in scans.scan_json(spark, str(tmp_path / "b")).collect()} == {"A1", "A2", "A3"}
@@ -115,7 +119,12 @@ def test_a_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
     try:
         month = F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 11 + 2).cast("int")
-        df = spark.range(0, 300_000, 1, 8).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x"), F.lit(2024).alias("created_year"), month.alias("created_month"))
+        df = spark.range(0, 300_000, 1, 8).select(
+            "id",
+            F.sha2(F.col("id").cast("string"), 256).alias("x"),
+            F.lit(2024).alias("created_year"),
+            month.alias("created_month"),
+        )
         sinks.write_partitioned(df, str(tmp_path / "s"))
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
@@ -188,7 +197,8 @@ def service(records, calls=None):
         if calls is not None:
             calls.append(offset)
         low, high = condition.split("'")[1::2]
-        found = sorted((r for r in records if low <= r["created_date"] < high), key=lambda r: (r["created_date"], r["sr_number"]))
+        found = [r for r in records if low <= r["created_date"] < high]
+        found.sort(key=lambda r: (r["created_date"], r["sr_number"]))
         return found[offset : offset + size]
 
     return fetch
@@ -217,12 +227,21 @@ def test_slices_cover_the_window():
 
 
 def test_service_records_land_untouched(spark, tmp_path):
-    records = [{"sr_number": f"A{i}", "created_date": f"2024-01-0{1 + i % 9}T0{i % 10}:00:00.000", "place": {"x": i}} for i in range(50)]
+    records = [
+        {
+            "sr_number": f"A{i}",
+            "created_date": f"2024-01-0{1 + i % 9}T0{i % 10}:00:00.000",
+            "place": {"x": i},
+        }
+        for i in range(50)
+    ]
+    wanted = [r for r in records if "02" <= r["created_date"][8:10] < "05"]
     fetch, out = service(records), str(tmp_path / "bronze")
     for _ in range(2):
-        assert land_pages(spark, fetch, "2024-01-02", "2024-01-05", out, slice_hours=6, size=2) == sum("02" <= r["created_date"][8:10] < "05" for r in records)
+        landed = land_pages(spark, fetch, "2024-01-02", "2024-01-05", out, slice_hours=6, size=2)
+        assert landed == len(wanted)
     landed = scans.scan_json(spark, out, "sr_number string, created_date string, place struct<x: int>")
-    expected = {(r["sr_number"], r["place"]["x"]) for r in records if "02" <= r["created_date"][8:10] < "05"}
+    expected = {(r["sr_number"], r["place"]["x"]) for r in wanted}
     assert {(r["sr_number"], r["place"]["x"]) for r in landed.collect()} == expected
 
 
