@@ -8,11 +8,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings the jobs want on a cluster: partitions are merged up to the advisory size at
-# run time, rather than kept small for the number of cores, and split when skewed.
+# run time, as far as all cores stay busy, and split when skewed.
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
