@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from fairwait.schemas import BRONZE, CENSUS, SILVER
@@ -28,8 +29,9 @@ def scan_silver(spark: SparkSession, path: str, schema: StructType | None = SILV
 
 
 def scan_seed(spark: SparkSession, path: str, schema: StructType = CENSUS) -> DataFrame:
-    """A CSV with header and quoted text; empty fields read as NULL."""
-    return spark.read.schema(schema).csv(path, header=True)
+    """A CSV with header and quoted text; empty fields read as NULL, quoted or not."""
+    seed = spark.read.schema(schema).csv(path, header=True)
+    return seed.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in seed.columns])
 
 
 def scan_raw(spark: SparkSession, table: str | None = None, path: str | None = None) -> DataFrame:

@@ -34,9 +34,11 @@ def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = SILVER_PAR
     """Parquet in one folder per value of ``by``; NULL goes to the default partition.
 
     The rebalance gathers a partition's rows into files of the advisory size. It splits
-    a partition that holds many rows over many tasks and merges small ones.
+    a partition that holds many rows over many tasks and merges small ones. Partitions that
+    are not written again go away, whatever the session says about overwriting.
     """
-    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
+    writer = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
+    writer.option("partitionOverwriteMode", "static").parquet(path)
 
 
 def conform(df: DataFrame, schema: StructType = SILVER) -> DataFrame:

@@ -24,6 +24,13 @@ def test_seed_reads_empty_fields_as_null(spark, tmp_path):
     assert sorted(map(tuple, seed.collect()), key=str) == sorted(census_records(), key=str)
 
 
+def test_quoted_empty_fields_are_null_too(spark, tmp_path):
+    path = tmp_path / "seed.csv"
+    path.write_text('community_area_number,community_area_name\n"","TOTAL"\n"1",""\n')
+    seed = scans.scan_seed(spark, str(path), "community_area_number string, community_area_name string")
+    assert sorted(map(tuple, seed.collect()), key=str) == [("1", None), (None, "TOTAL")]
+
+
 @pytest.mark.parametrize("days, start", [(3, "2024-01-07"), (0, "2024-01-10"), (10, "2023-12-31")])
 def test_incremental_window(days, start):
     assert windows.incremental_window(date(2024, 1, 10), days) == (start, "2024-01-11")
@@ -114,6 +121,18 @@ def test_undated_rows_go_to_the_default_partition(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(created_year" in plan
 
 
+def test_rewriting_drops_partitions_that_are_gone(spark, tmp_path):
+    out, mode = str(tmp_path / "silver"), "spark.sql.sources.partitionOverwriteMode"
+    spark.conf.set(mode, "dynamic")
+    try:
+        for month in ("01", "02"):
+            records = [request("a", created_date=f"2024-{month}-02T08:00:00.000")]
+            sinks.write_partitioned(clean(bronze(spark, records)), out)
+    finally:
+        spark.conf.unset(mode)
+    assert [r["created_month"] for r in scans.scan_silver(spark, out).collect()] == [2]
+
+
 def test_a_hot_partition_is_written_by_many_tasks(spark, tmp_path):
     """A third of the rows in one month must not become one task's file."""
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
