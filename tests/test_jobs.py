@@ -155,6 +155,21 @@ def test_upsert_equals_cleaning_everything(spark, tmp_path, order):
     assert texts(scan_silver(spark, str(tmp_path / "silver")).to(SILVER)) == texts(whole)
 
 
+def test_a_repeated_batch_replaces_its_folder(spark, tmp_path):
+    """Without its commit mark Spark takes the batch for unfinished and runs it again."""
+    landed, log, progress = (str(tmp_path / p) for p in ("landed", "log", "progress"))
+    for i, part in enumerate(drops(4)):
+        write_records(tmp_path / "landed" / f"{i}.ndjson", part)
+        append_versions(spark, landed, log, progress)
+    logged = texts(spark.read.parquet(log))
+    last = tmp_path / "progress" / "commits" / "2"
+    last.unlink()
+    last.with_name(".2.crc").unlink(missing_ok=True)
+    append_versions(spark, landed, log, progress)
+    assert last.exists()
+    assert texts(spark.read.parquet(log)) == logged
+
+
 def test_upsert_goes_on_after_compaction(spark, tmp_path):
     landed, log, short, progress = (str(tmp_path / p) for p in ("landed", "log", "short", "progress"))
     first, second, third = drops(3)
