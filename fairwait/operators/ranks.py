@@ -28,11 +28,11 @@ def with_tile(
     ascending = [F.col(c).asc_nulls_last() for c in order]
     if rows <= max_rows:
         return pinned.select("*", F.ntile(tiles).over(Window.orderBy(*ascending)).alias(name))
-    placed = _with_position(pinned.orderBy(*ascending))
+    placed = with_position(pinned.orderBy(*ascending))
     return placed.select(*df.columns, _tile_of(F.col("_position"), rows, tiles).alias(name))
 
 
-def _with_position(ordered: DataFrame) -> DataFrame:
+def with_position(ordered: DataFrame) -> DataFrame:
     """Add ``_position``, counted from 0, to a globally sorted frame.
 
     The generated id holds the partition in its upper bits and the place within the
