@@ -1,5 +1,6 @@
 """The registered queries of this package, and SQL for those that SQL can state."""
 
+from fairwait.llm.bpe import op3_byte_bpe
 from fairwait.llm.extraction import op7_extract_main_text
 from fairwait.llm.mixing import OP4_SQL, op4_mix_sources
 from fairwait.llm.pii import op9_find_personal_data
@@ -7,6 +8,7 @@ from fairwait.llm.quality import op10_quality_rules
 from fairwait.llm.secrets import op8_scan_secrets
 
 REGISTRY = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op4_mix_sources": op4_mix_sources,
     "op7_extract_main_text": op7_extract_main_text,
     "op8_scan_secrets": op8_scan_secrets,
