@@ -11,23 +11,26 @@ stay where they were written, bucketed by number.
 from __future__ import annotations
 
 import base64
+import json
+import re
 import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
-    ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType,
+    ArrayType, BinaryType, IntegerType, LongType, StructField, StructType,
 )
 
 from fairwait.llm.common import table
 from fairwait.session import shared_path
 
-BLOCK_CHARS = 32_000_000
+BLOCK_CHARS = 32_000_000  # a task holds the words of a block several times over
 
 
 class Vocabulary:
@@ -52,10 +55,29 @@ class Vocabulary:
             "words", pat_str=self.pattern, mergeable_ranks=self.ranks(), special_tokens={}
         ).encode_ordinary
 
-    def splitter(self):
-        import regex
 
-        return regex.compile(self.pattern).findall
+# A space followed by neither a sign nor a letter belongs to the white space before it.
+NO_START = re.compile(r"\x20(?:\s|$)")
+
+
+def pieces(text: str) -> list[str]:
+    """``text`` cut before every space that something other than white space follows; that
+    space is left out of all pieces but the first.
+
+    The pattern of the vocabulary takes such a space as the first character of a match
+    and never otherwise, and white space at the end of a piece matches as it does before the space.
+    So the matches of a text are those of its pieces.
+    """
+    found = text.split(" ")
+    if NO_START.search(text):
+        whole = [found[0]]
+        for piece in found[1:]:
+            if piece and not piece[0].isspace():
+                whole.append(piece)
+            else:
+                whole[-1] += " " + piece
+        return whole
+    return found
 
 
 def planes(numbers: np.ndarray) -> bytes:
@@ -67,32 +89,48 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def packed(words: list[str]) -> bytes:
+    return zlib.compress(json.dumps(words).encode(), 1)
+
+
+def numbered() -> defaultdict[str, int]:
+    index: defaultdict[str, int] = defaultdict()
+    index.default_factory = index.__len__
+    return index
+
+
 class Block:
     """Documents of one task, up to a bound of text."""
 
     def __init__(self):
-        self.index: defaultdict[str, int] = defaultdict()
-        self.index.default_factory = self.index.__len__
+        self.index = numbered()  # pieces that a space goes before
+        self.heads = numbered()  # first pieces
         self.places: list[np.ndarray] = []
+        self.first: list[int] = []
         self.keys: list[pa.StructArray] = []
         self.chars = 0
 
-    def add(self, key: pa.StructArray, text: str, split) -> None:
-        words = split(text)
-        self.places.append(np.fromiter(map(self.index.__getitem__, words), np.uint32, len(words)))
+    def add(self, key: pa.StructArray, text: str) -> None:
+        head, *rest = pieces(text)
+        self.first.append(self.heads[head])
+        self.places.append(np.fromiter(map(self.index.__getitem__, rest), np.uint32, len(rest)))
         self.keys.append(key)
         self.chars += len(text)
 
     def rows(self, number: int, parts: int) -> dict[str, pa.Array]:
         """The block's own row, part -1, then a row of distinct words for each part.
 
-        Words are numbered by frequency, so that most places are small numbers.
+        Words are numbered by frequency, so that most places are small numbers. The block
+        remembers to which part each went; a part holds them in the order of their numbers.
         """
-        words = list(self.index)
-        places = np.concatenate(self.places)
+        words = [" " + w for w in self.index] + list(self.heads)
+        places = np.concatenate(
+            [x for head, rest in zip(self.first, self.places) for x in ([len(self.index) + head], rest)]
+        ).astype(np.uint32)
+        by_count = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
         rank = np.empty(len(words), np.uint32)
-        rank[np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")] = np.arange(len(words))
-        part = np.fromiter((zlib.crc32(w.encode()) % parts for w in words), np.int64, len(words))
+        rank[by_count] = np.arange(len(words))
+        part = np.fromiter((zlib.crc32(words[i].encode()) % parts for i in by_count), np.int64, len(words))
         order = np.argsort(part, kind="stable")
         present, starts = np.unique(part[order], return_index=True)
         ends = [*starts[1:], len(words)]
@@ -102,23 +140,23 @@ class Block:
             "block": pa.array([number] * (n + 1), pa.int64()),
             "part": pa.array([-1, *present.tolist()], pa.int32()),
             "keys": pa.ListArray.from_arrays(pa.array([0, len(keys)] + [len(keys)] * n, pa.int32()), keys),
-            "lengths": pa.array([[len(p) for p in self.places], *[None] * n], pa.list_(pa.int32())),
-            "places": pa.array([planes(rank[places]) if len(places) else b"", *[None] * n], pa.binary()),
+            "lengths": pa.array([[len(p) + 1 for p in self.places], *[None] * n], pa.list_(pa.int32())),
+            "places": pa.array([planes(rank[places]), *[None] * n], pa.binary()),
+            "dealt": pa.array([planes(part), *[None] * n], pa.binary()),
             "words": pa.array(
-                [None, *[[words[i] for i in order[a:b]] for a, b in zip(starts, ends)]], pa.list_(pa.string())
+                [None, *[packed([words[i] for i in by_count[order[a:b]]]) for a, b in zip(starts, ends)]], pa.binary()
             ),
-            "codes": pa.array([None, *[rank[order[a:b]].tobytes() for a, b in zip(starts, ends)]], pa.binary()),
         }
 
 
-def blocks_of(docs: DataFrame, keep: Sequence[str], vocabulary: Vocabulary, parts: int) -> DataFrame:
+def blocks_of(docs: DataFrame, keep: Sequence[str], parts: int) -> DataFrame:
     """Blocks and their distinct words, written once to the shared folder, bucketed by block."""
     from pyspark import TaskContext
 
     limit = BLOCK_CHARS
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, number = vocabulary.splitter(), TaskContext.get().partitionId() << 32
+        number = TaskContext.get().partitionId() << 32
         block = Block()
         for batch in batches:
             keys = pa.StructArray.from_arrays(
@@ -126,7 +164,7 @@ def blocks_of(docs: DataFrame, keep: Sequence[str], vocabulary: Vocabulary, part
             )
             texts = batch.column(len(keep))
             for i in range(batch.num_rows):
-                block.add(keys.slice(i, 1), texts[i].as_py() or "", split)
+                block.add(keys.slice(i, 1), texts[i].as_py() or "")
                 if block.chars >= limit:
                     yield pa.RecordBatch.from_pydict(block.rows(number, parts))
                     block, number = Block(), number + 1
@@ -141,8 +179,8 @@ def blocks_of(docs: DataFrame, keep: Sequence[str], vocabulary: Vocabulary, part
             StructField("keys", ArrayType(StructType(fields))),
             StructField("lengths", ArrayType(IntegerType())),
             StructField("places", BinaryType()),
-            StructField("words", ArrayType(StringType())),
-            StructField("codes", BinaryType()),
+            StructField("dealt", BinaryType()),
+            StructField("words", BinaryType()),
         ]
     )
     spark = docs.sparkSession
@@ -159,7 +197,7 @@ def blocks_of(docs: DataFrame, keep: Sequence[str], vocabulary: Vocabulary, part
 
 
 def encoded_words(blocks: DataFrame, vocabulary: Vocabulary, parts: int) -> DataFrame:
-    """(block, codes, sizes, ids): the ids of each block's distinct words.
+    """(block, part, sizes, ids): the ids of each block's distinct words, part by part.
 
     A word is dealt by its checksum, so one task sees all its blocks and encodes it once. The
     task remembers the words of its share, one part in ``parts`` of all distinct words.
@@ -170,32 +208,28 @@ def encoded_words(blocks: DataFrame, vocabulary: Vocabulary, parts: int) -> Data
         known: dict[str, list[int]] = {}
         for batch in batches:
             sizes, ids = [], []
-            for words in batch.column(2).to_pylist():
+            for words in batch.column(2):
                 found = []
-                for word in words:
+                for word in json.loads(zlib.decompress(words.as_py())):
                     tokens = known.get(word)
                     if tokens is None:
                         tokens = known[word] = encoder(word)
                     found.append(tokens)
-                sizes.append(np.fromiter(map(len, found), "<u4", len(found)).tobytes())
-                ids.append(np.array([t for tokens in found for t in tokens], "<u4").tobytes())
+                sizes.append(zlib.compress(planes(np.fromiter(map(len, found), np.int64, len(found))), 1))
+                ids.append(zlib.compress(planes(np.array(list(chain.from_iterable(found)), np.int64)), 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(3), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
-                names=["block", "codes", "sizes", "ids"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
+                names=["block", "part", "sizes", "ids"],
             )
 
-    words = blocks.where("part >= 0").select("block", "part", "words", "codes")
+    words = blocks.where("part >= 0").select("block", "part", "words")
     return words.repartition(parts, "part").mapInArrow(
-        encode, "block long, codes binary, sizes binary, ids binary"
+        encode, "block long, part int, sizes binary, ids binary"
     )
 
 
-def put_together(keys: pa.Array, lengths, places: np.ndarray, codes, sizes, ids) -> Iterator[pa.Table]:
+def put_together(keys: pa.Array, lengths, places: np.ndarray, size, start, ids) -> Iterator[pa.Table]:
     """Documents of one block from the ids of its words, some at a time."""
-    size = np.zeros(len(codes), np.int64)
-    size[codes] = sizes
-    start = np.zeros(len(codes), np.int64)
-    start[codes] = np.cumsum(sizes) - sizes
     ends = np.cumsum(lengths)
     first = 0
     while first < len(lengths):
@@ -204,9 +238,9 @@ def put_together(keys: pa.Array, lengths, places: np.ndarray, codes, sizes, ids)
         own = places[base : int(ends[last - 1])]
         taken = size[own]
         upto = np.concatenate([[0], np.cumsum(taken)])
-        flat = ids[np.repeat(start[own] - upto[:-1], taken) + np.arange(upto[-1])] if len(own) else ids[:0]
+        flat = ids[np.repeat(start[own] - upto[:-1], taken) + np.arange(upto[-1])]
         offsets = upto[np.concatenate([[0], ends[first:last] - base])]
-        column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.astype(np.int32)))
+        column = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
         part = keys.slice(first, last - first)
         yield pa.table([*part.flatten(), column], names=[*[f.name for f in part.type], "ids"])
         first = last
@@ -220,24 +254,28 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: Sequence[str] = ("doc_
     A very long text is a block of its own.
     """
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    blocks = blocks_of(docs, keep, vocabulary, parts)
-    whole = blocks.where("part = -1").select("block", "keys", "lengths", "places")
+    blocks = blocks_of(docs, keep, parts)
+    whole = blocks.where("part = -1").select("block", "keys", "lengths", "places", "dealt")
     fields = [docs.schema[c] for c in keep]
     schema = StructType([*fields, StructField("ids", ArrayType(IntegerType()))])
 
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
-        column = lambda name: np.frombuffer(
-            b"".join(right.column(name).to_pylist()), "<u4"
-        )
-        codes, sizes, ids = column("codes"), column("sizes"), column("ids")
+        def column(name):
+            by_part = sorted(zip(right.column("part").to_pylist(), right.column(name)), key=lambda x: x[0])
+            return np.concatenate([from_planes(zlib.decompress(x.as_py())) for _, x in by_part])
+
+        sizes, ids = column("sizes"), column("ids").astype(np.int32)
         tables = []
         for k in range(left.num_rows):  # one row: a block is written once
-            keys = left.column("keys").combine_chunks()
+            order = np.argsort(from_planes(left.column("dealt")[k].as_py()), kind="stable")
+            size, start = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+            size[order] = sizes
+            start[order] = np.cumsum(sizes, dtype=np.int64) - sizes
+            own = left.column("keys")[k].values
             lengths = np.array(left.column("lengths")[k].values)
             places = from_planes(left.column("places")[k].as_py())
-            own = keys.values.slice(keys.offsets[k].as_py(), len(lengths))
-            tables += put_together(own, lengths, places, codes, sizes, ids)
-        return pa.concat_tables(tables).combine_chunks()
+            tables += put_together(own, lengths, places, size, start, ids)
+        return pa.concat_tables(tables)
 
     words = encoded_words(blocks, vocabulary, parts)
     return whole.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(join, schema)
@@ -253,11 +291,14 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     at = columns.index("ids")
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_rank = {rank: token for token, rank in vocabulary.ranks().items()}
+        ranks = vocabulary.ranks()
+        by_rank = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            by_rank[rank] = token
         for batch in batches:
             data = [
-                None if ids is None else b"".join(map(by_rank.__getitem__, ids))
-                for ids in batch.column(at).to_pylist()
+                None if not ids.is_valid else b"".join(map(by_rank.__getitem__, ids.values.to_numpy().tolist()))
+                for ids in batch.column(at)
             ]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(data, pa.binary())], names=[*columns, "data"]
