@@ -30,7 +30,7 @@ from pyspark.sql.types import (
 from fairwait.llm.common import table
 from fairwait.session import shared_path
 
-BLOCK_CHARS = 32_000_000  # a task holds the words of a block several times over
+BLOCK_CHARS = 14_000_000  # a task holds the words of a block several times over
 
 
 class Vocabulary:
