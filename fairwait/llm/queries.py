@@ -3,11 +3,13 @@
 from fairwait.llm.bpe import op3_byte_bpe
 from fairwait.llm.extraction import op7_extract_main_text
 from fairwait.llm.mixing import OP4_SQL, op4_mix_sources
+from fairwait.llm.near_vectors import op1_near_vectors
 from fairwait.llm.pii import op9_find_personal_data
 from fairwait.llm.quality import op10_quality_rules
 from fairwait.llm.secrets import op8_scan_secrets
 
 REGISTRY = {
+    "op1_near_vectors": op1_near_vectors,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mix_sources": op4_mix_sources,
     "op7_extract_main_text": op7_extract_main_text,
