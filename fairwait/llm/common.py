@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,16 +52,75 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             )
         seen = state
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        larger = (
-            both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).where("u <> v").distinct()
-        least = larger.groupBy("u").agg(F.min("v").alias("m"))
-        smaller = larger.join(least, "u").where("v <> m")
+        larger = _to_least(both, both.where("v > u")).distinct()
+        larger = staged(larger.where("u <> v"), "components")
+        smaller = _to_least(larger, larger)
         pairs = staged(
-            smaller.select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(least.select("u", "m"))
-            .distinct(),
-            "components",
+            smaller.where("u <> v").union(larger.groupBy("u").agg(F.min("v"))).distinct(), "components"
         )
     raise RuntimeError(f"components not settled after {rounds} rounds")
+
+
+def _to_least(edges: DataFrame, moved: DataFrame) -> DataFrame:
+    """``moved`` with each neighbour v of u handed to the smallest node among u and its neighbours.
+
+    The minima are written before they are joined. Both sides of the join are then plain
+    shuffles, which Spark can split where a node has very many neighbours.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(least.select("u", F.least("u", "m").alias("m")), "components")
+    return moved.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+
+
+def in_pieces(members: DataFrame, keys: list[str], rows: int) -> DataFrame:
+    """``members`` (id, keys) of groups with more than one row, dealt for comparison within groups.
+
+    A group of more than ``rows`` rows is cut in pieces by a hash of the id, and each pair of
+    pieces, a piece with itself included, is a task's business of its own: ``low`` and
+    ``high`` name the pair, ``piece`` the row's own piece. Smaller groups are one pair, (0, 0).
+    """
+    pieces = F.ceil(F.col("_rows") / F.lit(rows)).cast("int")
+    sizes = members.groupBy(*keys).agg(F.count("*").alias("_rows")).where("_rows > 1")
+    sizes = staged(sizes.select(*keys, pieces.alias("_pieces")), "pieces")
+    return (
+        members.join(sizes, keys)
+        .withColumn("piece", F.pmod(F.xxhash64("id"), F.col("_pieces")).cast("int"))
+        .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_pieces") - 1)))
+        .withColumn("low", F.least("piece", "_other"))
+        .withColumn("high", F.greatest("piece", "_other"))
+        .drop("_pieces", "_other")
+    )
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Groups of consecutive rows with equal ``keys``, across batches."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if rest is None else pa.concat_tables([rest, table])
+        if not table.num_rows:
+            continue
+        rows = list(zip(*[table.column(k).to_pylist() for k in keys]))
+        bounds = [0] + [i for i in range(1, len(rows)) if rows[i] != rows[i - 1]]
+        for start, end in zip(bounds, bounds[1:]):
+            yield table.slice(start, end - start)
+        rest = table.slice(bounds[-1])
+    if rest is not None:
+        yield rest
+
+
+class Forest:
+    """Groups of the numbers 0 to n - 1, each with its smallest number as root."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def root(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = self.up[self.up[i]]
+            i = self.up[i]
+        return i
+
+    def join(self, i: int, j: int) -> None:
+        a, b = self.root(i), self.root(j)
+        self.up[max(a, b)] = min(a, b)

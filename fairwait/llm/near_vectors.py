@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fairwait.llm.common import components, staged, table
+from fairwait.llm.common import Forest, components, in_pieces, runs, staged, table
 
 LEAST_COSINE = 0.95
 TABLES = 28
@@ -58,23 +58,6 @@ def hashes(rows: list[np.ndarray], seed: int, tables: int, projections: int, wid
     return out
 
 
-class Forest:
-    """Groups of the numbers 0 to n - 1."""
-
-    def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        a, b = self.root(i), self.root(j)
-        self.up[max(a, b)] = min(a, b)
-
-
 def compare(ids, units, signatures, weights, at: int, pieces: np.ndarray, least: float):
     """Links within one bucket: per row the number that it has, and edges that connect them.
 
@@ -161,80 +144,38 @@ def linked(
         ),
         "signatures",
     )
-    # Buckets by table and hash; those with one row are no business of the comparison.
     placed = signed.select("id", F.posexplode("signature").alias("at", "bucket"))
-    sizes = placed.groupBy("at", "bucket").agg(F.count("*").alias("rows")).where("rows > 1")
-    pieces = F.ceil(F.col("rows") / F.lit(bucket_rows)).cast("int")
-    own = F.pmod(F.xxhash64("id"), F.col("pieces")).cast("int")
-    others = F.sequence(F.lit(0), F.col("pieces") - 1)
-    members = (
-        placed.join(sizes.select("at", "bucket", pieces.alias("pieces")), ["at", "bucket"])
-        .withColumn("piece", own)
-        .select("id", "at", "bucket", "piece", F.explode(others).alias("other"))
-        .select(
-            "id", "at", "bucket", "piece",
-            F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high"),
-        )
-    )
-    groups = members.join(signed, "id").withColumn(
-        "place", F.xxhash64("at", "bucket", "low", "high")
-    )
+    groups = in_pieces(placed, ["at", "bucket"], bucket_rows).join(signed, "id")
+    keys = ["at", "bucket", "low", "high"]
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows come sorted by group; a group may go on in the next batch."""
-
-        def finished(rows: pa.Table):
-            ids = rows.column("id").to_pylist()
+        for rows in runs(batches, keys):
+            piece = rows.column("piece").to_numpy()
             units = [np.frombuffer(u.as_buffer(), np.float64) for u in rows.column("unit")]
+            at, _, low, high = (rows.column(k)[0].as_py() for k in keys)
+            alone = low < high and piece.min() == piece.max()
+            if len(units) < 2 or alone or len({len(u) for u in units}) > 1:
+                continue
+            ids = rows.column("id").to_pylist()
             signatures = np.array(rows.column("signature").to_pylist(), np.int64)
-            weights = np.array(rows.column("members").to_pylist(), np.int64)
-            piece = np.array(rows.column("piece").to_pylist())
-            at, low, high = (rows.column(c)[0].as_py() for c in ("at", "low", "high"))
-            if len({len(u) for u in units}) > 1 or (low < high and piece.min() == piece.max()):
-                return [], []
+            weights = rows.column("members").to_numpy()
             links, edges = compare(ids, np.stack(units), signatures, weights, at, piece, least)
             some = np.flatnonzero(links)
-            return [(ids[i], int(links[i])) for i in some], edges
-
-        rest = None
-        for batch in with_end(batches):
-            current = pa.Table.from_batches([batch]) if batch is not None else None
-            if rest is not None:
-                current = rest if current is None else pa.concat_tables([rest, current])
-            if current is None:
-                return
-            keys = list(zip(*[current.column(c).to_pylist() for c in ("at", "bucket", "low", "high")]))
-            counts, edges, start = [], [], 0
-            for i in range(1, len(keys) + 1):
-                if i == len(keys) and batch is not None:
-                    break
-                if i == len(keys) or keys[i] != keys[start]:
-                    if i - start > 1:
-                        more, joined = finished(current.slice(start, i - start))
-                        counts += more
-                        edges += joined
-                    start = i
-            rest = current.slice(start) if start < len(keys) else None
-            ids = [c[0] for c in counts] + [e[0] for e in edges]
-            if ids:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, current.schema.field("id").type),
-                        pa.array([c[1] for c in counts] + [0] * len(edges), pa.int64()),
-                        pa.array([None] * len(counts) + [e[1] for e in edges], current.schema.field("id").type),
-                    ],
-                    names=["id", "links", "to"],
-                )
-
-    def with_end(batches):
-        yield from batches
-        yield None
+            kind = rows.schema.field("id").type
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([ids[i] for i in some] + [a for a, _ in edges], kind),
+                    pa.array(links[some].tolist() + [0] * len(edges), pa.int64()),
+                    pa.array([None] * len(some) + [b for _, b in edges], kind),
+                ],
+                names=["id", "links", "to"],
+            )
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = staged(
-        groups.repartition(parts, "place")
-        .sortWithinPartitions("place", "at", "bucket", "low", "high")
-        .select("id", "at", "bucket", "piece", "low", "high", "members", "unit", "signature")
+        groups.repartition(parts, *keys)
+        .sortWithinPartitions(*keys)
+        .select("id", "piece", "members", "unit", "signature", *keys)
         .mapInArrow(meet, f"id {id_type}, links long, to {id_type}"),
         "links",
     )
