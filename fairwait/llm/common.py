@@ -92,20 +92,21 @@ def in_pieces(members: DataFrame, keys: list[str], rows: int) -> DataFrame:
     )
 
 
-def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Groups of consecutive rows with equal ``keys``, across batches."""
-    rest = None
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, list]]:
+    """Groups of consecutive rows with equal ``keys``, across batches: values by column."""
+    rest: dict[str, list] = {}
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if rest is None else pa.concat_tables([rest, table])
-        if not table.num_rows:
+        if not batch.num_rows:
             continue
-        rows = list(zip(*[table.column(k).to_pylist() for k in keys]))
+        columns = {
+            name: rest.get(name, []) + batch.column(k).to_pylist() for k, name in enumerate(batch.schema.names)
+        }
+        rows = list(zip(*[columns[k] for k in keys]))
         bounds = [0] + [i for i in range(1, len(rows)) if rows[i] != rows[i - 1]]
         for start, end in zip(bounds, bounds[1:]):
-            yield table.slice(start, end - start)
-        rest = table.slice(bounds[-1])
-    if rest is not None:
+            yield {name: values[start:end] for name, values in columns.items()}
+        rest = {name: values[bounds[-1] :] for name, values in columns.items()}
+    if rest:
         yield rest
 
 

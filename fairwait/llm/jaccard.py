@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fairwait.llm.common import components, in_pieces, runs, staged, table
 
@@ -28,6 +29,9 @@ SINGLES = 32  # smaller sets list shingles instead of groups
 MANY_COPIES = 256
 CELL_ROWS = 2_048
 LEAF = 32
+FEW = 8  # rows that are compared without a tree
+TREE_GROUPS = 256  # of the tree; pairs that it leaves are bounded again by their full points
+FULL = 255
 
 _random = np.random.default_rng(5)
 BYTE = _random.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -130,28 +134,40 @@ def listed(shingles: np.ndarray) -> np.ndarray:
 
 
 def point(shingles: np.ndarray) -> np.ndarray:
-    """Counts per group; more groups for larger sets, as their counts even out."""
-    size = 1 << max(5, min(11, (len(shingles) >> 3).bit_length()))
+    """Counts per group. There are about as many groups as shingles, so that what two sets do
+    not share seldom falls together and the bound is close."""
+    size = 1 << max(5, min(14, len(shingles).bit_length() - 1))
     counts = np.bincount((shingles & np.uint64(size - 1)).astype(np.int64), minlength=size)
-    return np.minimum(counts, 65_535).astype("<u2")
+    return np.minimum(counts, FULL).astype(np.uint8)
 
 
-def folded(points: list[np.ndarray]) -> np.ndarray:
-    """Points as rows with as many groups as the coarsest of them; groups are low bits, so they add up."""
-    size = min(map(len, points))
-    return np.stack([p.astype(np.int64).reshape(-1, size).sum(axis=0) for p in points])
+def folded(points: list[np.ndarray], most: int = 1 << 14) -> np.ndarray:
+    """Points as rows with as many groups as the coarsest of them, ``most`` at most.
+
+    Groups are low bits, so they add up. A full count bounds nothing and is taken as without limit.
+    """
+    size = min(most, *map(len, points))
+    return np.stack(
+        [np.where(p == FULL, 1 << 30, p.astype(np.int64)).reshape(-1, size).sum(axis=0) for p in points]
+    )
+
+
+def overlap(p: np.ndarray, q: np.ndarray) -> int:
+    """The sum of the smaller counts: two sets share no more."""
+    if len(p) != len(q) or p.max() == FULL or q.max() == FULL:
+        p, q = folded([p, q])
+    return int(np.minimum(p, q).sum(dtype=np.int64))
 
 
 class Tree:
     """Points packed by size into leaves; a node keeps the largest count per group below it.
 
-    The sum of minima of a point and a node's counts bounds that of all points below. A
-    saturated count bounds nothing, so it is taken as without limit.
+    The sum of minima of a point and a node's counts bounds that of all points below.
     """
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray):
         self.order = np.argsort(sizes, kind="stable")
-        self.points = np.where(points >= 65_535, 2**40, points)[self.order]
+        self.points = points[self.order]
         self.sizes = sizes[self.order]
         self.levels = []
         top, largest = self.points, self.sizes
@@ -282,9 +298,8 @@ def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             for n, p, m, q in zip(*[batch.column(k).to_pylist() for k in range(3, 7)]):
                 ok = 9 * min(n, m) >= 4 * (n + m)
                 if ok:
-                    a, b = folded([np.frombuffer(p, "<u2"), np.frombuffer(q, "<u2")])
-                    full = max(a.max(), b.max()) >= 65_535
-                    ok = full or 9 * int(np.minimum(a, b).sum()) >= 4 * (n + m)
+                    shared = overlap(np.frombuffer(p, np.uint8), np.frombuffer(q, np.uint8))
+                    ok = 9 * shared >= 4 * (n + m)
                 keep.append(ok)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k).filter(pa.array(keep, pa.bool_())) for k in range(3)], names=["src", "dst", "same"]
@@ -304,33 +319,50 @@ def across(cells: DataFrame, groups: DataFrame, sets: DataFrame, id_type: str, c
     """Candidate pairs (src, dst) between different components within cells, by the tree."""
     labelled = cells.select("cell", "id").join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
+    # Documents that share much share many cells; of cells with the same rows one is enough.
     mixed_cells = (
         labelled.groupBy("cell")
-        .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .agg(
+            F.min("component").alias("low"),
+            F.max("component").alias("high"),
+            F.count("*").alias("rows"),
+            F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("one"),
+            F.sum(F.xxhash64("id", F.lit(1)).cast("decimal(38,0)")).alias("two"),
+        )
         .where("low <> high")
+        .groupBy("rows", "one", "two")
+        .agg(F.min("cell").alias("cell"))
         .select("cell")
     )
     left = staged(labelled.join(staged(mixed_cells, "cells"), "cell").distinct(), "candidates")
     dealt = in_pieces(left, ["cell"], cell_rows).join(sets.select("id", "n", "point"), "id")
     keys = ["cell", "low", "high"]
+    kind = to_arrow_type(cells.schema["id"].dataType)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, keys):
-            ids, component = rows.column("id").to_pylist(), rows.column("component").to_pylist()
-            piece = rows.column("piece").to_pylist()
-            two = rows.column("low")[0] != rows.column("high")[0]
+            ids, component, piece, sizes = rows["id"], rows["component"], rows["piece"], rows["n"]
             if len(ids) < 2 or len(set(component)) < 2:
                 continue
-            points = folded([np.frombuffer(p.as_buffer(), "<u2") for p in rows.column("point")])
-            tree = Tree(points, rows.column("n").to_numpy())
+            two = rows["low"][0] != rows["high"][0]
+            points = [np.frombuffer(p, np.uint8) for p in rows["point"]]
+            if len(ids) <= FEW:  # a leaf
+                order, near = range(len(ids)), lambda i: range(i + 1, len(ids))  # noqa: B023
+            else:
+                tree = Tree(folded(points, TREE_GROUPS), np.array(sizes))
+                order, near = tree.order.tolist(), lambda i: tree.near(i).tolist()  # noqa: B023
             pairs = []
-            for i in range(len(ids)):
-                a = int(tree.order[i])
-                for b in tree.order[tree.near(i)].tolist():
-                    if component[a] != component[b] and not (two and piece[a] == piece[b]):
+            for i, a in enumerate(order):
+                for b in (order[k] for k in near(i)):
+                    n, m = sizes[a], sizes[b]
+                    if (
+                        component[a] != component[b]
+                        and not (two and piece[a] == piece[b])
+                        and 9 * min(n, m) >= 4 * (n + m)
+                        and 9 * overlap(points[a], points[b]) >= 4 * (n + m)
+                    ):
                         pairs.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
             if pairs:
-                kind = rows.schema.field("id").type
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p[k] for p in pairs], kind) for k in (0, 1)], names=["src", "dst"]
                 )
@@ -353,9 +385,9 @@ def grouped(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     * Rows that repeat a doc_id are one node, linked by any of their texts; each has a row of its own in the
       result. An empty table gives an empty one.
 
-    First every document of a cell is compared with the cell's first one. What that links is a
-    component, and cells within one component are done: a group of copies costs a
-    comparison per copy, not per pair. In the cells that still hold several components, the
+    First every document is compared with one other, that which comes first in most of its cells.
+    What that links is a component, and cells within one component are done: a group of
+    copies costs a comparison per copy, not per pair. In the cells that still hold several components, the
     tree searches all pairs across components. Cells of many rows are cut in pieces. Groups of
     many equal sets are represented by one of them; which sets are equal is aggregated before.
     """
@@ -369,7 +401,14 @@ def grouped(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     copies = with_crowd.where("least <> id").select(F.col("id").alias("src"), F.col("least").alias("dst"))
 
     cells = staged(shared_cells(alone, id_type), "cells")
-    firsts = cells.where("first <> id").select(F.col("first").alias("src"), F.col("id").alias("dst")).distinct()
+    firsts = (
+        cells.where("first <> id")
+        .groupBy("id", "first")
+        .agg(F.count("*").alias("shared"))
+        .groupBy("id")
+        .agg(F.max(F.struct("shared", "first"))["first"].alias("src"))
+        .select("src", F.col("id").alias("dst"))
+    )
     sides = known.select("id", "n", "digest", "point")
     near = staged(bounded(firsts, sides), "bounded")
     sure = near.where("same").select("src", "dst")

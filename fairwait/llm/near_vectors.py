@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from fairwait.llm.common import Forest, components, in_pieces, runs, staged, table
 
@@ -148,20 +149,19 @@ def linked(
     groups = in_pieces(placed, ["at", "bucket"], bucket_rows).join(signed, "id")
     keys = ["at", "bucket", "low", "high"]
 
+    kind = to_arrow_type(vectors.schema["vec_id"].dataType)
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in runs(batches, keys):
-            piece = rows.column("piece").to_numpy()
-            units = [np.frombuffer(u.as_buffer(), np.float64) for u in rows.column("unit")]
-            at, _, low, high = (rows.column(k)[0].as_py() for k in keys)
-            alone = low < high and piece.min() == piece.max()
-            if len(units) < 2 or alone or len({len(u) for u in units}) > 1:
+            ids, piece = rows["id"], np.array(rows["piece"])
+            alone = rows["low"][0] < rows["high"][0] and piece.min() == piece.max()
+            if len(ids) < 2 or alone or len(set(map(len, rows["unit"]))) > 1:
                 continue
-            ids = rows.column("id").to_pylist()
-            signatures = np.array(rows.column("signature").to_pylist(), np.int64)
-            weights = rows.column("members").to_numpy()
-            links, edges = compare(ids, np.stack(units), signatures, weights, at, piece, least)
+            units = np.frombuffer(b"".join(rows["unit"]), np.float64).reshape(len(ids), -1)
+            signatures = np.array(rows["signature"], np.int64)
+            weights = np.array(rows["members"], np.int64)
+            links, edges = compare(ids, units, signatures, weights, rows["at"][0], piece, least)
             some = np.flatnonzero(links)
-            kind = rows.schema.field("id").type
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([ids[i] for i in some] + [a for a, _ in edges], kind),
