@@ -3,6 +3,7 @@
 from fairwait.llm.bpe import op3_byte_bpe
 from fairwait.llm.extraction import op7_extract_main_text
 from fairwait.llm.jaccard import op5_jaccard_join
+from fairwait.llm.line_runs import op6_line_runs
 from fairwait.llm.mixing import OP4_SQL, op4_mix_sources
 from fairwait.llm.near_vectors import op1_near_vectors
 from fairwait.llm.pii import op9_find_personal_data
@@ -14,6 +15,7 @@ REGISTRY = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mix_sources": op4_mix_sources,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_line_runs": op6_line_runs,
     "op7_extract_main_text": op7_extract_main_text,
     "op8_scan_secrets": op8_scan_secrets,
     "op9_find_personal_data": op9_find_personal_data,
