@@ -146,7 +146,9 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
     ``n_chars``, where present, is counted again.
     """
-    kept = judged(docs).where("kept")
+    # The row number keeps the filter above the measures. Pushed below, it would repeat each of
+    # them inside the next, which takes the optimizer forever.
+    kept = judged(docs).withColumn("_row", F.monotonically_increasing_id()).where("kept and _row >= 0")
     good = F.filter(F.split("_body", "\n"), lambda x: ~x.rlike(WORD) | line_passes(x))
     text = F.array_join(good, "\n")
     columns = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
