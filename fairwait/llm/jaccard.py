@@ -29,6 +29,7 @@ SINGLES = 32  # smaller sets list shingles instead of groups
 MANY_COPIES = 256
 CELL_ROWS = 2_048
 LEAF = 32
+OWN_CELLS = 64  # a pair is compared in the first cell of both; beyond so many, perhaps again
 FEW = 8  # rows that are compared without a tree
 TREE_GROUPS = 256  # of the tree; pairs that it leaves are bounded again by their full points
 FULL = 255
@@ -316,7 +317,11 @@ def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def across(cells: DataFrame, groups: DataFrame, sets: DataFrame, id_type: str, cell_rows: int) -> DataFrame:
-    """Candidate pairs (src, dst) between different components within cells, by the tree."""
+    """Candidate pairs (src, dst) between different components within cells, by the tree.
+
+    A pair that shares many cells is compared in the lowest one. Documents carry their lowest
+    cells for that; the lowest cell that two share is never skipped.
+    """
     labelled = cells.select("cell", "id").join(groups.select(F.col("node").alias("id"), "component"), "id", "left")
     labelled = labelled.withColumn("component", F.coalesce("component", "id"))
     # Documents that share much share many cells; of cells with the same rows one is enough.
@@ -335,7 +340,10 @@ def across(cells: DataFrame, groups: DataFrame, sets: DataFrame, id_type: str, c
         .select("cell")
     )
     left = staged(labelled.join(staged(mixed_cells, "cells"), "cell").distinct(), "candidates")
-    dealt = in_pieces(left, ["cell"], cell_rows).join(sets.select("id", "n", "point"), "id")
+    # The smallest cells of a document tell in which cell a pair is to be compared.
+    lowest = left.groupBy("id").agg(F.slice(F.sort_array(F.collect_set("cell")), 1, OWN_CELLS).alias("own"))
+    about = sets.select("id", "n", "point").join(lowest, "id")
+    dealt = in_pieces(left, ["cell"], cell_rows).join(about, "id")
     keys = ["cell", "low", "high"]
     kind = to_arrow_type(cells.schema["id"].dataType)
 
@@ -351,12 +359,14 @@ def across(cells: DataFrame, groups: DataFrame, sets: DataFrame, id_type: str, c
             else:
                 tree = Tree(folded(points, TREE_GROUPS), np.array(sizes))
                 order, near = tree.order.tolist(), lambda i: tree.near(i).tolist()  # noqa: B023
-            pairs = []
+            pairs, cell = [], rows["cell"][0]
+            lower = [frozenset(x for x in own if x < cell) for own in rows["own"]]
             for i, a in enumerate(order):
                 for b in (order[k] for k in near(i)):
                     n, m = sizes[a], sizes[b]
                     if (
                         component[a] != component[b]
+                        and lower[a].isdisjoint(lower[b])
                         and not (two and piece[a] == piece[b])
                         and 9 * min(n, m) >= 4 * (n + m)
                         and 9 * overlap(points[a], points[b]) >= 4 * (n + m)
@@ -371,7 +381,7 @@ def across(cells: DataFrame, groups: DataFrame, sets: DataFrame, id_type: str, c
     return (
         dealt.repartition(parts, *keys)
         .sortWithinPartitions(*keys)
-        .select("id", "component", "piece", "n", "point", *keys)
+        .select("id", "component", "piece", "n", "point", "own", *keys)
         .mapInArrow(search, f"src {id_type}, dst {id_type}")
         .distinct()
     )
