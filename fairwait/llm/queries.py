@@ -9,9 +9,11 @@ from fairwait.llm.near_vectors import op1_near_vectors
 from fairwait.llm.pii import op9_find_personal_data
 from fairwait.llm.quality import op10_quality_rules
 from fairwait.llm.secrets import op8_scan_secrets
+from fairwait.llm.token_files import op2_token_files
 
 REGISTRY = {
     "op1_near_vectors": op1_near_vectors,
+    "op2_token_files": op2_token_files,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_mix_sources": op4_mix_sources,
     "op5_jaccard_join": op5_jaccard_join,
