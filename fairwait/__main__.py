@@ -72,7 +72,7 @@ def landing_window(args: argparse.Namespace) -> tuple[str, str]:
         return incremental_window(datetime.now(timezone.utc).date(), args.incremental)
     if args.start and args.end:
         return args.start, args.end
-    parser().error("provide either --incremental N, or both --start and --end")
+    parser().error("which days? give --start with --end, or --incremental with a number of days")
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -92,17 +92,23 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "load":
         silver = scan_silver(spark, args.input)
         if args.dry_run:
-            jobs.load_plan(silver).orderBy("position").show(100, truncate=False)
+            plan = jobs.load_plan(silver).orderBy("position")
+            plan.show(len(silver.columns), truncate=False)
         else:
             print(jobs.load(silver, table=args.table, path=args.path))
     elif args.job == "build":
         raw, seed = scan_raw(spark, args.table, args.path), scan_seed(spark, args.seed)
-        models = jobs.build_marts(
-            raw, seed, out=args.output, database=args.database, at_least=args.at_least
+        results = []
+
+        def check(models):
+            results.extend(jobs.model_tests(models).collect())
+            for test in results:
+                print(test["status"], test["model"], test["test"], test["column"], test["failures"])
+            return all(test["status"] != "fail" for test in results)
+
+        jobs.build_marts(
+            raw, seed, out=args.output, database=args.database, at_least=args.at_least, check=check
         )
-        results = jobs.model_tests(models).collect()
-        for test in results:
-            print(test["status"], test["model"], test["test"], test["column"], test["failures"])
         return 1 if any(test["status"] == "fail" for test in results) else 0
     elif args.job == "upsert":
         append_versions(spark, args.input, args.log, args.progress)

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_WHOLE = r"^[+-]?\d+(\.\d*)?$"
+_NUMBER = r"^\s*[+-]?(\d+(\.\d*)?|\.\d+)\s*$"
+_WHOLE = r"^\s*([+-]?\d*)"
 
 
 def blank_to_null(col: Column) -> Column:
@@ -18,9 +19,11 @@ def blank_to_null(col: Column) -> Column:
 
 
 def to_int(col: Column) -> Column:
-    """Integer of a trimmed text. A fraction is cut off, so ``'8.7'`` is 8."""
-    text = F.trim(col)
-    return F.when(text.rlike(_WHOLE), F.substring_index(text, ".", 1).try_cast("int"))
+    """Integer of a text with any white space around it. A fraction is cut off, so ``'8.7'`` is 8
+    and ``'.5'`` is 0."""
+    whole = F.regexp_extract(col, _WHOLE, 1)
+    whole = F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int"))
+    return F.when(col.rlike(_NUMBER), whole)
 
 
 def to_double(col: Column) -> Column:

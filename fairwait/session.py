@@ -19,9 +19,14 @@ CLUSTER_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Shuffles of a full load carry some 10 TB: half a GB per partition, merged at run time where
+# there is less. A local session goes without.
+WIDE = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+
 
 def build_session(app: str) -> SparkSession:
-    """The active session, or a new one with ``CLUSTER_CONF`` and without a web page.
+    """The active session, or a new one with ``CLUSTER_CONF`` and without a web page; on a cluster
+    also with ``WIDE``.
 
     What spark-submit was given stays as it is, the master included.
     """
@@ -30,7 +35,8 @@ def build_session(app: str) -> SparkSession:
         return active
     spark = SparkSession.builder.appName(app).config("spark.ui.enabled", "false").getOrCreate()
     given = spark.sparkContext.getConf()
-    for key, value in CLUSTER_CONF.items():
+    local = spark.sparkContext.master.startswith("local")
+    for key, value in (CLUSTER_CONF if local else CLUSTER_CONF | WIDE).items():
         if not given.contains(key):
             spark.conf.set(key, value)
     return spark
@@ -44,7 +50,9 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        if configured not in (context.getCheckpointDir() or ""):
+        # Spark puts a folder of its own name below the one it is given.
+        current = (context.getCheckpointDir() or "").rstrip("/").rpartition("/")[0]
+        if _plain(current) != _plain(configured):
             context.setCheckpointDir(configured)
         return configured
     if context.getCheckpointDir():
@@ -55,6 +63,15 @@ def shared_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def _plain(path: str) -> str:
+    return path.removeprefix("file:").replace("///", "/").rstrip("/")
+
+
 def shared_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has used before."""
-    return f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A path below the shared folder that nothing has used before, deleted when the session ends."""
+    place = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(place)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path.getParent())
+    files.deleteOnExit(path)
+    return place

@@ -11,7 +11,8 @@ import json
 import time
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
-from urllib.error import URLError
+from http.client import HTTPException
+from urllib.error import HTTPError, URLError
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
@@ -91,9 +92,13 @@ def http_fetch(
             try:
                 with urlopen(Request(f"{url}?{asked}", headers=headers or {}), timeout=TIMEOUT) as answer:
                     return json.load(answer)
-            except (URLError, TimeoutError, ConnectionError, json.JSONDecodeError):
-                if attempt < ATTEMPTS:
-                    time.sleep(min(2**attempt, LONGEST_WAIT))
+            except HTTPError as refused:
+                if refused.code != 429 and refused.code < 500:  # asking again would not help
+                    raise
+            except (URLError, HTTPException, TimeoutError, ConnectionError, json.JSONDecodeError):
+                pass
+            if attempt < ATTEMPTS:
+                time.sleep(min(2**attempt, LONGEST_WAIT))
         raise RuntimeError(f"no page at offset {offset} after {ATTEMPTS} attempts")
 
     return fetch

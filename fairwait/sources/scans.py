@@ -28,10 +28,17 @@ def scan_silver(spark: SparkSession, path: str, schema: StructType | None = SILV
     return reader.parquet(path)
 
 
-def scan_seed(spark: SparkSession, path: str, schema: StructType = CENSUS) -> DataFrame:
-    """A CSV with header and quoted text; empty fields read as NULL, quoted or not."""
-    seed = spark.read.schema(schema).csv(path, header=True)
-    return seed.select(*[F.nullif(F.col(c), F.lit("")).alias(c) for c in seed.columns])
+def scan_seed(spark: SparkSession, path: str, schema: StructType | str = CENSUS) -> DataFrame:
+    """A CSV with quoted text; empty fields read as NULL, quoted or not.
+
+    Columns are found by the names in the header, so their order does not matter and others
+    are left out; a declared column that the header lacks is an error.
+    """
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    seed = spark.read.csv(path, header=True)
+    return seed.select(
+        *[F.nullif(F.col(f"`{f.name}`"), F.lit("")).try_cast(f.dataType).alias(f.name) for f in schema]
+    )
 
 
 def scan_raw(spark: SparkSession, table: str | None = None, path: str | None = None) -> DataFrame:

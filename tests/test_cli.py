@@ -1,3 +1,5 @@
+from datetime import datetime, timedelta, timezone
+
 import pytest
 
 from fairwait import __main__ as cli
@@ -37,7 +39,8 @@ def test_upsert_job(spark, tmp_path):
 def test_landing_window():
     args = cli.parser().parse_args(["land", "--url", "u", "--out", "o", "--incremental", "3"])
     start, end = cli.landing_window(args)
-    assert start < end and len(start) == len(end) == 10
+    today = datetime.now(timezone.utc).date()
+    assert (start, end) == (str(today - timedelta(days=3)), str(today + timedelta(days=1)))
     bad = cli.parser().parse_args(["land", "--url", "u", "--out", "o", "--incremental", "0"])
     with pytest.raises(SystemExit):
         cli.landing_window(bad)

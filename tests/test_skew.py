@@ -5,11 +5,11 @@ from pathlib import Path
 
 import pytest
 
-import __spark_entry__
 import compare
+from workload.oracle import ORACLE
+from workload.queries import REGISTRY
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = __spark_entry__.queries()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not found")
 
@@ -35,8 +35,8 @@ def skewed(tmp_path_factory):
         yield str(out), con
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(REGISTRY))
 def test_query_on_skewed_tables(spark, skewed, name):
     folder, con = skewed
-    df = QUERIES[name](spark, folder)
-    assert compare.differences(df, con, __spark_entry__.oracle_sql()[name]) == []
+    df = REGISTRY[name](spark, folder)
+    assert compare.differences(df, con, ORACLE[name]) == []

@@ -1,8 +1,11 @@
 from datetime import date, datetime
+from urllib.error import HTTPError
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from fairwait.plans import jobs
 from fairwait.plans.clean import clean
 from fairwait.plans.jobs import land_pages, land_recent, land_window, load, load_plan
 from fairwait.schemas import BRONZE, SILVER
@@ -275,3 +278,40 @@ def test_failing_service_is_asked_again_then_given_up(monkeypatch):
     with pytest.raises(RuntimeError, match="offset 100 after 5 attempts"):
         pages.http_fetch("http://service")("x", 100, 50)
     assert waits == [2, 4, 8, 16] and len(answers) == 2
+
+
+def test_seed_columns_are_found_by_name(spark, tmp_path):
+    path = tmp_path / "seed.csv"
+    path.write_text("name,area\nRiverdale,54\n")
+    assert [tuple(r) for r in scans.scan_seed(spark, str(path), "area string, name string").collect()] == [
+        ("54", "Riverdale")
+    ]
+
+
+def test_windows_are_landed_at_once(spark, tmp_path):
+    rows = [(i, f"2024-01-{1 + i:02d}" if i % 5 else None) for i in range(28)]
+    df = spark.createDataFrame(rows, "id int, day string").withColumn("day", F.col("day").cast("date"))
+    out = str(tmp_path / "w")
+    for _ in range(2):
+        jobs.land_windows(df, out, 10, on="day")
+    back = scans.scan_json(spark, out, StructType.fromDDL("id int, day date"))
+    assert sorted(r.id for r in back.collect()) == list(range(28))
+
+
+def test_only_errors_that_may_pass_are_asked_again(monkeypatch):
+    calls = []
+
+    def refuse(code):
+        def urlopen(*_, **__):
+            calls.append(code)
+            raise HTTPError("u", code, "no", None, None)
+
+        return urlopen
+
+    monkeypatch.setattr(pages.time, "sleep", lambda _: None)
+    for code, asked in ((404, 1), (429, pages.ATTEMPTS), (503, pages.ATTEMPTS)):
+        calls.clear()
+        monkeypatch.setattr(pages, "urlopen", refuse(code))
+        with pytest.raises((HTTPError, RuntimeError)):
+            pages.http_fetch("http://u.example")("c", 0, 1)
+        assert len(calls) == asked

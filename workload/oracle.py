@@ -263,7 +263,8 @@ ORACLE: dict[str, str] = {
     "incremental_upsert": f"""select {LINES}, l_returnflag from lineitem
         qualify row_number() over ({ONE_LINE}, {NEWEST}, l_returnflag desc) = 1""",
     "merge_pulls": f"""with pulls as (
-            select * replace (null::double as l_tax) from lineitem where l_shipdate < timestamp '1999-01-01'
+            select * replace (null::double as l_tax) from lineitem
+                where l_shipdate is null or l_shipdate < timestamp '1999-01-01'
             union all select * from lineitem where l_shipdate >= timestamp '1998-01-01')
         select {LINES} from pulls
         qualify row_number() over ({ONE_LINE}, {NEWEST}, l_tax desc nulls last) = 1""",
