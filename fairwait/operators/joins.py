@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A broadcast side holds a key and one or two narrow columns, so this is a few MB.
+# Both bounds hold for a broadcast side: its rows, and the bytes of its values as text.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 16 << 20
 
 
-def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than one row beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows and ``max_bytes`` bytes; reads no more than one
+    row beyond."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    size = df.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("bytes")).first()
+    return size["n"] <= max_rows and (size["bytes"] or 0) <= max_bytes
 
 
 def count_by_dimension(
@@ -23,7 +29,7 @@ def count_by_dimension(
 ) -> DataFrame:
     """Rows of ``facts`` per ``by`` columns, which may come from either side of the join.
 
-    Facts without a match drop out. A dimension within ``max_rows`` is broadcast, and
+    Facts without a match drop out. A dimension within ``max_rows`` and ``BROADCAST_BYTES`` is broadcast, and
     the facts are counted before their only shuffle. A larger one is joined to facts
     that are already counted per join key, so a hot key meets it as few rows.
     """

@@ -76,41 +76,50 @@ def _result(rule: Rule, total: Column, judged: Column, bad: Column) -> Column:
     )
 
 
-def _row_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """All rules that judge a row by itself, in one pass."""
-    counts = [F.count(F.lit(1)).alias("total")]
+def _one_pass(df: DataFrame, rules: Sequence[Rule], key: Rule | None = None) -> DataFrame:
+    """All rules that judge a row by itself and, with ``key``, one ``unique`` rule, in one scan.
+
+    With ``key`` every count is formed per key ahead of the only shuffle, so a hot key travels as
+    one row per task, and the counts per key are then summed.
+    """
+    counts = [F.count(F.lit(1)).alias("__total")]
     for i, rule in enumerate(rules):
-        counts.append(F.count_if(rule.judged()).alias(f"judged{i}"))
-        counts.append(F.count_if(rule.broken()).alias(f"bad{i}"))
+        if rule.kind != "not_null":
+            counts.append(F.count_if(rule.judged()).alias(f"__judged{i}"))
+        counts.append(F.count_if(rule.broken()).alias(f"__bad{i}"))
+    if key is None:
+        totals = df.agg(*counts)
+    else:
+        n = F.col("__total")
+        groups = df.groupBy(*key.columns).agg(*counts)
+        names = [c for c in groups.columns if c not in key.columns]
+        totals = groups.agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
+            F.coalesce(F.sum(F.when(key.judged(), n)), F.lit(0)).alias("__judged_key"),
+            F.coalesce(F.sum(F.when(key.judged() & (n > 1), n)), F.lit(0)).alias("__bad_key"),
+        )
+    total = F.col("__total")
     results = [
-        _result(rule, F.col("total"), F.col(f"judged{i}"), F.col(f"bad{i}"))
+        _result(
+            rule, total, total if rule.kind == "not_null" else F.col(f"__judged{i}"), F.col(f"__bad{i}")
+        )
         for i, rule in enumerate(rules)
     ]
-    return df.agg(*counts).select(F.inline(F.array(*results)))
-
-
-def _unique_rule(df: DataFrame, rule: Rule) -> DataFrame:
-    """Counts per key are formed before the shuffle, so a hot key travels as one row per task."""
-    groups = df.groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_n"))
-    known = rule.judged()
-    counts = groups.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum(F.when(known, F.col("_n"))), F.lit(0)).alias("judged"),
-        F.coalesce(F.sum(F.when(known & (F.col("_n") > 1), F.col("_n"))), F.lit(0)).alias("bad"),
-    )
-    return counts.select(
-        F.inline(F.array(_result(rule, F.col("total"), F.col("judged"), F.col("bad"))))
-    )
+    if key is not None:
+        results.append(_result(key, total, F.col("__judged_key"), F.col("__bad_key")))
+    return totals.select(F.inline(F.array(*results)))
 
 
 def report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``rule, column, element_count, unexpected_count, success, severity`` per rule.
 
-    An empty table passes every rule.
+    An empty table passes every rule. Row rules are counted along with the first ``unique`` rule;
+    each further ``unique`` rule is a scan and a shuffle of its own.
     """
     by_row = [rule for rule in rules if rule.kind != "unique"]
-    parts = [_row_rules(df, by_row)] if by_row else []
-    parts += [_unique_rule(df, rule) for rule in rules if rule.kind == "unique"]
+    keys = [rule for rule in rules if rule.kind == "unique"]
+    parts = [_one_pass(df, by_row, keys[0] if keys else None)]
+    parts += [_one_pass(df, (), key) for key in keys[1:]]
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -37,6 +37,8 @@ UNCHANGED = (
     "duplicate",
     "legacy_record",
 )
+RAW = (*[raw for raw, _, _ in CONVERSIONS], *UNCHANGED)
+SEEN = "seen_"  # heads the name of an observed flag per raw column
 # Settles versions with the same modification time; all columns, so nothing is left open.
 TIES = (
     *[typed for _, typed, _ in CONVERSIONS if typed != LATEST],
@@ -50,8 +52,9 @@ def typed_versions(
     """Typed columns of every raw version that has a key; ``keep`` passes further columns on.
 
     ``rejects`` receives the number of raw rows, of rows without a key (broken lines among
-    them), and per column of the texts that did not convert. It is counted ahead of the
-    shuffle, so a repeated task may count twice: good for a log line, not for a check.
+    them), per column of the texts that did not convert, and whether a column has any value.
+    Counts are taken ahead of the shuffle, so a repeated task may count twice: good for a log
+    line, not for a check. Whether there is a value stays true however often it is asked.
     """
     typed = {name: f"_{name}" for _, name, _ in CONVERSIONS}
     parsed = bronze.select(
@@ -68,6 +71,7 @@ def typed_versions(
             F.count(F.lit(1)).alias("bronze_rows"),
             F.count_if(F.col("sr_number").isNull()).alias("rows_without_number"),
             *[F.count_if(condition).alias(f"rejected_{raw}") for raw, condition in lost.items()],
+            *[F.bool_or(F.col(raw).isNotNull()).alias(f"{SEEN}{raw}") for raw in RAW],
         )
     return parsed.where(F.col("sr_number").isNotNull()).select(
         *UNCHANGED, *keep, *[F.col(typed[name]).alias(name) for _, name, _ in CONVERSIONS]

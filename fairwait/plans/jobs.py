@@ -25,7 +25,7 @@ from fairwait.operators.rules import (
 )
 from fairwait.operators.versions import latest_version
 from fairwait.plans import equity, star
-from fairwait.plans.clean import KEY, LATEST, TIES, typed_versions, with_outcome
+from fairwait.plans.clean import KEY, LATEST, SEEN, TIES, typed_versions, with_outcome
 from fairwait.schemas import (
     AREA_BOUNDS,
     HIGH_VOLUME,
@@ -36,7 +36,7 @@ from fairwait.schemas import (
 )
 from fairwait.sources import sinks
 from fairwait.sources.pages import Fetch, read_pages
-from fairwait.sources.scans import scan_json, scan_raw, scan_seed, scan_silver
+from fairwait.sources.scans import absent_fields, scan_json, scan_raw, scan_seed, scan_silver
 from fairwait.sources.windows import incremental_window, window_extract
 
 # The rules cleaned data must pass before it is loaded.
@@ -71,6 +71,10 @@ MODEL_TESTS = (
 BUILD_THREADS = 4
 
 
+class AbsentField(RuntimeError):
+    """A declared field occurs in no landed record."""
+
+
 class LoadMismatch(RuntimeError):
     """The loaded table and its source differ in their number of rows."""
 
@@ -124,14 +128,21 @@ def build_silver(
 ) -> dict[str, int]:
     """Clean all landed pulls into the partitioned dataset; returns row and reject counts.
 
-    One pass over the raw text. ``silver_rows`` is taken in the writing tasks and exact.
+    One pass over the raw text. ``silver_rows`` is taken in the writing tasks and exact. Where a
+    column held no value at all, the text is searched for its name: a field that occurs in no
+    record was renamed or left out by the source, and ``AbsentField`` names it.
     """
     raw_counts, clean_counts = Observation(), Observation()
     versions = typed_versions(scan_json(spark, bronze), rejects=raw_counts)
     silver = with_outcome(latest_version(versions, KEY, LATEST, TIES), zone)
     counted = silver.observe(clean_counts, F.count(F.lit(1)).alias("silver_rows"))
     sinks.write_partitioned(counted, out)
-    return {**raw_counts.get, **clean_counts.get}
+    counts = {**raw_counts.get, **clean_counts.get}
+    unseen = [name.removeprefix(SEEN) for name, seen in counts.items() if name.startswith(SEEN) and seen is False]
+    absent = absent_fields(spark, bronze, unseen) if unseen else []
+    if absent:
+        raise AbsentField(f"in no record below {bronze}: {', '.join(absent)}")
+    return {name: n for name, n in counts.items() if not name.startswith(SEEN)}
 
 
 def gate(silver: DataFrame) -> DataFrame:

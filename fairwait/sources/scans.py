@@ -18,6 +18,17 @@ def scan_json(spark: SparkSession, path: str | list[str], schema: StructType = B
     return reader.option("recursiveFileLookup", "true").json(path)
 
 
+def absent_fields(spark: SparkSession, path: str | list[str], names: list[str]) -> list[str]:
+    """Those of ``names`` that no landed line mentions as a field. A field that is there and
+    always null is not absent. One pass over the text without parsing it."""
+    reader = spark.read.option("recursiveFileLookup", "true")
+    mentioned = reader.text(path).agg(
+        *[F.bool_or(F.col("value").contains(f'"{name}"')).alias(name) for name in names]
+    )
+    row = mentioned.first()
+    return [name for name in names if row[name] is False]
+
+
 def scan_silver(spark: SparkSession, path: str, schema: StructType | None = SILVER) -> DataFrame:
     """A partitioned Parquet dataset; the partition columns come last.
 

@@ -42,7 +42,10 @@ def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = SILVER_PAR
 
 
 def conform(df: DataFrame, schema: StructType = SILVER) -> DataFrame:
-    """Names, order and types of the declared target."""
+    """Names, order and types of the declared target; a column that is absent is an error."""
+    absent = [c for c in schema.names if c not in df.columns]
+    if absent:
+        raise ValueError(f"columns not found: {', '.join(absent)}")
     whole = tuple(f.name for f in schema if isinstance(f.dataType, IntegerType))
     return int_columns(df, whole).to(schema)
 
