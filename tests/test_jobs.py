@@ -48,6 +48,18 @@ def test_build_silver_counts_rows_and_rejects(spark, tmp_path):
     assert scan_silver(spark, str(tmp_path / "s")).count() == 6
 
 
+def test_a_renamed_field_stops_the_run(spark, tmp_path):
+    renamed = [{("lat" if k == "latitude" else k): v for k, v in record.items()} for record in SIX]
+    write_records(tmp_path / "b" / "a.ndjson", renamed)
+    with pytest.raises(jobs.AbsentField, match=": latitude$"):
+        build_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"))
+
+
+def test_a_field_that_is_always_null_is_not_absent(spark, tmp_path):
+    write_records(tmp_path / "b" / "a.ndjson", [{**record, "latitude": None} for record in SIX])
+    assert build_silver(spark, str(tmp_path / "b"), str(tmp_path / "s"))["silver_rows"] == 5
+
+
 def test_empty_window_gives_empty_models(spark, tmp_path):
     conf = settings(tmp_path)
     models = run_all(spark, conf, bronze(spark, SIX).where("sr_number = 'none'"))

@@ -73,6 +73,23 @@ def test_type_dimension_sorts_only_distinct_combinations(spark):
     assert "Sort" not in below_the_last_shuffle and "HashAggregate" in below_the_last_shuffle
 
 
+@pytest.mark.parametrize("name, scans, windows", [("gate_report", 1, 0), ("gate_verdict", 2, 1)])
+def test_a_gate_is_one_scan_and_one_shuffle(spark, name, scans, windows):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert plan.count("FileScan parquet") == scans
+    assert plan.count("row_number(), 1, Final") == windows
+    # All versions are counted per key, the latest ones where they were found.
+    assert shuffles(plan).count("hashpartitioning") == max(scans, 1)
+
+
+def test_model_tests_read_a_column_of_a_table_once(spark):
+    plan = plan_of(QUERIES["model_tests"](spark, SF_DIR))
+    reads = re.findall(r"FileScan parquet \[([^\]]*)\].*?Location: [^\[]*\[([^\]]*)\]", plan)
+    used = [(re.sub(r"#\d+", "", columns), place.rsplit("/", 1)[-1]) for columns, place in reads]
+    dimensions = [use for use in used if "dim_" in use[1]]
+    assert len(set(used) - set(dimensions)) == len(used) - len(dimensions)
+
+
 @pytest.mark.parametrize("name", ["window_extract", "incremental_extract"])
 def test_windows_reach_the_scan(spark, name):
     plan = plan_of(QUERIES[name](spark, SF_DIR))

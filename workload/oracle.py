@@ -144,17 +144,21 @@ areas as (
     from census
 )"""
 
-BASE = f"""{SILVER}, {AREAS},
+COMPARED = f"""{AREAS},
 base as (
     select sr_type, income_quartile, (resolution_hours * 100)::bigint as ticks
     from silver join areas using (community_area)
     where is_real_service_request and has_valid_resolution
 )"""
+BASE, BASE_ALL_TIES = f"{SILVER}, {COMPARED}", f"{SILVER_ALL_TIES}, {COMPARED}"
 
 SUMMARY = """count(*) as request_count,
     ((2 * sum(ticks) + 10 * count(*)) // (20 * count(*)))::bigint / 10.0::double as avg_resolution_hours,
     ((2 * median(ticks))::bigint + 10) // 20 / 10.0::double as median_resolution_hours"""
 
+BOTH_MARTS = f"""select sr_type, income_quartile, {SUMMARY} from base group by sr_type, income_quartile
+    union all select null, income_quartile, {SUMMARY} from base group by income_quartile"""
+
 EVENTS = "select event_id, ts, user_id, event_type, value, props from events"
 LINES = "l_orderkey, l_linenumber, l_shipdate, l_extendedprice, l_partkey, l_suppkey, l_quantity, l_tax"
 ONE_LINE = "partition by l_orderkey, l_linenumber order by l_shipdate desc"
@@ -255,6 +259,30 @@ DATED_ORDERS = """select o_orderkey, o_totalprice,
     case when o_orderstatus <> 'P' then month(o_orderdate) end::integer as created_month
     from orders"""
 
+
+def tests_of(source: str) -> str:
+    """The tests of all models that are built from ``source``."""
+    return f"{AREAS}, types as (select distinct sr_type from {source})" + union(
+        key_tests("stg_requests", "sr_number", source),
+        key_tests("stg_census", "community_area", "census"),
+        key_tests(
+            "dim_date", "date_day",
+            f"(select distinct created_date_only as date_day from {source} where created_date_only is not null)",
+        ),
+        key_tests("dim_community_area", "community_area", "areas"),
+        key_tests("dim_service_type", "sr_type", "types"),
+        key_tests("fct_service_requests", "sr_number", source),
+        relation(
+            "fct_service_requests", "community_area", "dim_community_area", "community_area",
+            "warn", source=source, parent_source="areas",
+        ),
+        relation(
+            "fct_service_requests", "sr_type", "dim_service_type", "sr_type",
+            source=source, parent_source="types",
+        ),
+    )
+
+
 ORACLE: dict[str, str] = {
     "clean_requests": f"{SILVER} select {SILVER_COLUMNS} from silver",
     "build_silver": f"{SILVER_ALL_TIES} select {SILVER_COLUMNS} from silver",
@@ -324,6 +352,25 @@ ORACLE: dict[str, str] = {
         group by sr_type, income_quartile order by sr_type, income_quartile""",
     "high_volume_types": f"""{BASE} select sr_type, count(*) as request_count from base
         group by sr_type having count(*) >= 1000""",
+    "high_volume_types_on_edge": f"""{BASE}, volumes as (
+            select sr_type, count(*) as request_count from base group by sr_type)
+        select * from volumes
+        where request_count >= (select quantile_disc(request_count, 0.5) from volumes)""",
+    "equity_by_type_on_edge": f"""{BASE}, volumes as (
+            select sr_type, count(*) as n from base group by sr_type)
+        select sr_type, income_quartile, {SUMMARY} from base
+        where sr_type in (select sr_type from volumes
+            where n >= (select quantile_disc(n, 0.5) from volumes))
+        group by sr_type, income_quartile order by sr_type, income_quartile""",
+    "build_marts": f"{BASE} {BOTH_MARTS}",
+    "run_all": f"{BASE_ALL_TIES} {BOTH_MARTS}",
+    "mart_views": f"""{BASE},
+        by_type as (select sr_type, income_quartile, {SUMMARY} from base group by all),
+        whole as (select income_quartile, {SUMMARY} from base group by all)
+        select t.sr_type, t.income_quartile, t.request_count, s.request_count as of_quartile,
+            (select count(*) from areas a where a.income_quartile = t.income_quartile) as areas,
+            t.median_resolution_hours > s.median_resolution_hours as is_slower
+        from by_type t join whole s using (income_quartile)""",
     "equity_gap": f"""{BASE}, medians as (
             select sr_type, count(*) as n,
                 (2 * median(ticks) filter (where income_quartile = 1))::bigint as low,
@@ -350,8 +397,14 @@ ORACLE: dict[str, str] = {
             target(position, column_name, column_type)""",
     "warehouse_reload": f"""{SILVER} select sr_number, status, community_area, resolution_hours
         from silver""",
-    "load_reconcile": """select n as source_rows, n as target_rows, true as matches from (
-        select count(*) as n from (select distinct l_orderkey, l_linenumber from lineitem))""",
+    "load_reconcile": f"""{SILVER}, sides as (
+            select (select count(*) from (select distinct l_orderkey, l_linenumber from lineitem)) as source_rows,
+                (select count(*) from silver) as target_rows)
+        select *, source_rows = target_rows as matches from sides""",
+    "reconcile_difference": """with sides as (
+            select count(*) as source_rows, count(distinct (l_orderkey, l_linenumber)) as target_rows
+            from lineitem)
+        select *, source_rows = target_rows as matches from sides""",
     "row_counts": """select 'bronze' as stage, count(*) as row_count from lineitem
         union all select 'silver', count(*) from (select distinct l_orderkey, l_linenumber from lineitem)
         union all select 'orders', count(*) from orders""",
@@ -403,26 +456,10 @@ ORACLE: dict[str, str] = {
             severity="warn",
         ),
     ),
-    "model_tests": f"{SILVER}, {AREAS}, types as (select distinct sr_type from silver)"
-    + union(
-        key_tests("stg_requests", "sr_number", "silver"),
-        key_tests("stg_census", "community_area", "census"),
-        key_tests(
-            "dim_date", "date_day",
-            "(select distinct created_date_only as date_day from silver where created_date_only is not null)",
-        ),
-        key_tests("dim_community_area", "community_area", "areas"),
-        key_tests("dim_service_type", "sr_type", "types"),
-        key_tests("fct_service_requests", "sr_number", "silver"),
-        relation(
-            "fct_service_requests", "community_area", "dim_community_area", "community_area",
-            "warn", source="silver", parent_source="areas",
-        ),
-        relation(
-            "fct_service_requests", "sr_type", "dim_service_type", "sr_type",
-            source="silver", parent_source="types",
-        ),
-    ),
+    "model_tests": f"{SILVER}, {tests_of('silver')}",
+    "model_tests_failing": f"""with {TYPED}, latest as (select * from typed), {OUTCOME},
+        broken as (select * replace (case when sr_number not like '%-7' then sr_number end as sr_number,
+            nullif(sr_type, '1-URGENT') as sr_type) from silver), {tests_of('broken')}""",
     "test_relationships": union(
         relation("orders", "o_custkey", "customer", "c_custkey"),
         relation("documents", "doc_id", "labels", "doc_id", "warn"),

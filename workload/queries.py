@@ -16,6 +16,8 @@ from fairwait.functions.text import to_double, to_int
 from fairwait.functions.time import elapsed_seconds, seconds_to_hours, wall_clock
 from fairwait.operators import rules, versions
 from fairwait.plans import equity, jobs, star
+from fairwait.plans.clean import typed_versions, with_outcome
+from fairwait.schemas import LATITUDE_BOUNDS
 from fairwait.session import shared_path
 from fairwait.sources import scans, sinks, windows
 from fairwait.streaming import upsert
@@ -246,6 +248,24 @@ def high_volume_types(spark, sf_dir):
     return equity.high_volume_types(facts(spark, sf_dir), areas(spark, sf_dir))
 
 
+def _middle_volume(spark: SparkSession, sf_dir: str) -> int:
+    """Requests of the middle type by volume: as a threshold it keeps that type, on the edge."""
+    volumes = equity.high_volume_types(facts(spark, sf_dir), areas(spark, sf_dir), 1)
+    return int(volumes.agg(F.expr("percentile_disc(0.5) within group (order by request_count)")).first()[0] or 1)
+
+
+@query
+def high_volume_types_on_edge(spark, sf_dir):
+    at_least = _middle_volume(spark, sf_dir)
+    return equity.high_volume_types(facts(spark, sf_dir), areas(spark, sf_dir), at_least)
+
+
+@query
+def equity_by_type_on_edge(spark, sf_dir):
+    at_least = _middle_volume(spark, sf_dir)
+    return equity.equity_by_type(facts(spark, sf_dir), areas(spark, sf_dir), at_least)
+
+
 @query
 def equity_gap(spark, sf_dir):
     return equity.equity_gap(facts(spark, sf_dir), areas(spark, sf_dir))
@@ -383,6 +403,14 @@ def load_reconcile(spark, sf_dir):
     return sinks.reconcile(cleaned, scans.scan_raw(spark, path=path))
 
 
+@query
+def reconcile_difference(spark, sf_dir):
+    """All versions were to be loaded, and the target holds the latest ones."""
+    path = shared_path(spark, "raw")
+    sinks.replace_table(sinks.conform(written_silver(spark, sf_dir)), path=path)
+    return sinks.reconcile(table(spark, sf_dir, "lineitem"), scans.scan_raw(spark, path=path))
+
+
 @query
 def row_counts(spark, sf_dir):
     """Rows of every stage."""
@@ -459,9 +487,72 @@ def expect_in_set(spark, sf_dir):
 
 @query
 def model_tests(spark, sf_dir):
-    """All models from written silver, and the tests over them."""
-    models = jobs.build_marts(written_silver(spark, sf_dir), census_seed(spark, sf_dir))
-    return jobs.model_tests(models)
+    """Staging, dimensions and the fact, written from silver, and the tests over them."""
+    return jobs.model_tests(_models(spark, written_silver(spark, sf_dir), sf_dir, marts=False))
+
+
+def _models(spark: SparkSession, raw: DataFrame, sf_dir: str, marts: bool = True) -> dict[str, DataFrame]:
+    """Models written to the shared folder and read back."""
+    out, seed = shared_path(spark, "models"), census_seed(spark, sf_dir)
+    return jobs.build_marts(raw, seed, out=out, at_least=1, check=lambda models: marts)
+
+
+@query
+def model_tests_failing(spark, sf_dir):
+    """The same over all versions: numbers repeat, those of the seventh lines are missing, and
+    urgent requests have no type."""
+    versions_ = with_outcome(typed_versions(bronze_requests(spark, sf_dir)))
+    raw, path = shared_path(spark, "raw"), shared_path(spark, "versions")
+    sinks.write_partitioned(versions_, path)
+    cleaned = scans.scan_silver(spark, path).withColumns(
+        {
+            "sr_number": F.when(~F.col("sr_number").endswith("-7"), F.col("sr_number")),
+            "sr_type": F.nullif("sr_type", F.lit("1-URGENT")),
+        }
+    )
+    sinks.replace_table(sinks.upper_names(sinks.conform(cleaned)), path=raw)
+    return jobs.model_tests(_models(spark, scans.scan_raw(spark, path=raw), sf_dir, marts=False))
+
+
+def _both_marts(models: dict[str, DataFrame]) -> DataFrame:
+    """Rows of the mart by type, and those of the mart by quartile without a type."""
+    by_type, whole = models["mart_equity_by_type"], models["mart_service_equity"]
+    return by_type.unionByName(whole.withColumn("sr_type", F.lit(None).cast("string")))
+
+
+@query
+def build_marts(spark, sf_dir):
+    """Silver loaded, all models written, the marts read back."""
+    raw = shared_path(spark, "raw")
+    jobs.load(written_silver(spark, sf_dir), path=raw)
+    return _both_marts(_models(spark, scans.scan_raw(spark, path=raw), sf_dir))
+
+
+@query
+def mart_views(spark, sf_dir):
+    """SQL over the views of all models: types against all requests, with the areas of a quartile."""
+    jobs.create_views(_models(spark, written_silver(spark, sf_dir), sf_dir))
+    return spark.sql("""
+        select t.sr_type, t.income_quartile, t.request_count, s.request_count as of_quartile,
+            a.areas, t.median_resolution_hours > s.median_resolution_hours as is_slower
+        from mart_equity_by_type t
+        join mart_service_equity s on t.income_quartile = s.income_quartile
+        join (select income_quartile, count(*) as areas from dim_community_area group by income_quartile) a
+            on t.income_quartile = a.income_quartile""")
+
+
+@query
+def run_all(spark, sf_dir):
+    """Land in monthly windows, clean, gate, load, model and test; then the marts as written.
+
+    Coordinates outside the box are left out of the raw records, which would stop the gate.
+    """
+    places = {name: shared_path(spark, name) for name in ("bronze", "silver", "raw", "marts", "seed")}
+    inside = F.col("latitude").cast("double").between(*LATITUDE_BOUNDS)
+    records = bronze_requests(spark, sf_dir).drop(*LINE_TIES)
+    jobs.land_windows(records.withColumn("latitude", F.when(inside, F.col("latitude"))), places["bronze"], 31)
+    census_seed(spark, sf_dir).write.option("quoteAll", True).csv(places["seed"], header=True)
+    return _both_marts(jobs.run_all(spark, jobs.Settings(**places, at_least=1)))
 
 
 @query
