@@ -17,7 +17,7 @@ from datetime import datetime, timezone
 from fairwait.plans import jobs
 from fairwait.schemas import HIGH_VOLUME
 from fairwait.session import build_session
-from fairwait.sources.pages import http_fetch
+from fairwait.sources.pages import AT_ONCE, http_count, http_fetch
 from fairwait.sources.scans import scan_raw, scan_seed, scan_silver
 from fairwait.sources.windows import incremental_window
 from fairwait.streaming.upsert import append_versions, publish_silver
@@ -33,7 +33,9 @@ def parser() -> argparse.ArgumentParser:
     land.add_argument("--start", help="first day, YYYY-MM-DD")
     land.add_argument("--end", help="day after the last one")
     land.add_argument("--incremental", type=int, metavar="DAYS")
-    land.add_argument("--slice-hours", type=int, default=24)
+    land.add_argument("--slice-hours", type=float, default=24)
+    land.add_argument("--at-once", type=int, default=AT_ONCE, help="slices fetched at the same time")
+    land.add_argument("--verify", action="store_true", help="compare each slice with the service's count")
 
     clean = commands.add_parser("clean")
     clean.add_argument("--input", required=True)
@@ -81,7 +83,10 @@ def main(argv: list[str] | None = None) -> int:
     spark = build_session(f"fairwait {args.job}")
     if args.job == "land":
         fetch = http_fetch(args.url)
-        print(jobs.land_pages(spark, fetch, *window, args.out, slice_hours=args.slice_hours))
+        options = {"slice_hours": args.slice_hours, "at_once": args.at_once}
+        if args.verify:
+            options["count"] = http_count(args.url)
+        print(jobs.land_pages(spark, fetch, *window, args.out, **options))
     elif args.job == "clean":
         print(jobs.build_silver(spark, args.input, args.output))
     elif args.job == "gate":

@@ -130,18 +130,22 @@ def build_silver(
 
     One pass over the raw text. ``silver_rows`` is taken in the writing tasks and exact. Where a
     column held no value at all, the text is searched for its name: a field that occurs in no
-    record was renamed or left out by the source, and ``AbsentField`` names it.
+    record was renamed or left out by the source. ``AbsentField`` names it, and ``out`` stays as it was.
     """
     raw_counts, clean_counts = Observation(), Observation()
     versions = typed_versions(scan_json(spark, bronze), rejects=raw_counts)
     silver = with_outcome(latest_version(versions, KEY, LATEST, TIES), zone)
     counted = silver.observe(clean_counts, F.count(F.lit(1)).alias("silver_rows"))
-    sinks.write_partitioned(counted, out)
+
+    def no_absent_field() -> None:
+        seen = {name.removeprefix(SEEN): yes for name, yes in raw_counts.get.items() if name.startswith(SEEN)}
+        unseen = [name for name, yes in seen.items() if yes is False]
+        absent = absent_fields(spark, bronze, unseen) if unseen else []
+        if absent:
+            raise AbsentField(f"in no record below {bronze}: {', '.join(absent)}")
+
+    sinks.write_partitioned(counted, out, check=no_absent_field)
     counts = {**raw_counts.get, **clean_counts.get}
-    unseen = [name.removeprefix(SEEN) for name, seen in counts.items() if name.startswith(SEEN) and seen is False]
-    absent = absent_fields(spark, bronze, unseen) if unseen else []
-    if absent:
-        raise AbsentField(f"in no record below {bronze}: {', '.join(absent)}")
     return {name: n for name, n in counts.items() if not name.startswith(SEEN)}
 
 
@@ -256,8 +260,9 @@ def run_all(
 ) -> dict[str, DataFrame]:
     """Land (if a source is given), clean, gate, load, model and test.
 
-    A failing rule stops the run before the load, so the raw table keeps its last good state. A
-    load that does not match stops it before the models, and a failing test before the marts.
+    A failing rule stops the run before the load, so the raw table keeps its last good state. Every
+    folder is replaced when its successor is complete. A load
+    that does not match stops it before the models, and a failing test before the marts.
     """
     if source is not None:
         land_window(source, settings.start, settings.end, settings.bronze)

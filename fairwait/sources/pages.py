@@ -25,11 +25,19 @@ ATTEMPTS = 5
 LONGEST_WAIT = 30
 TIMEOUT = 60
 
+AT_ONCE = 16  # slices that are fetched at the same time
+
 # Condition, offset and size of a page; gives its records.
 Fetch = Callable[[str, int, int], list[dict]]
+# Condition; gives the number of its records.
+Count = Callable[[str], int]
+
+
+class SliceIncomplete(RuntimeError):
+    """The pages of a slice hold another number of records than the service counts."""
 
 
-def time_slices(start: str, end: str, hours: int) -> list[tuple[str, str]]:
+def time_slices(start: str, end: str, hours: float) -> list[tuple[str, str]]:
     """Consecutive half-open slices of ``start <= t < end`` in ISO form."""
     low, stop = datetime.fromisoformat(start), datetime.fromisoformat(end)
     bounds = []
@@ -56,12 +64,17 @@ def read_pages(
     start: str,
     end: str,
     on: str = "created_date",
-    slice_hours: int = 24,
+    slice_hours: float = 24,
     size: int = PAGE_SIZE,
+    at_once: int = AT_ONCE,
+    count: Count | None = None,
 ) -> DataFrame:
-    """Records with ``start <= on < end`` as JSON text, untouched; one task per slice.
+    """Records with ``start <= on < end`` as JSON text, untouched.
 
-    Take ``slice_hours`` short enough for the busiest time: a slice is fetched in sequence.
+    Take ``slice_hours`` short enough for the busiest time, below an hour if need be: a slice is
+    fetched in sequence. ``at_once`` tasks share the slices, so no more calls than that reach the
+    service together. With ``count`` every slice is compared with the service's own number,
+    since a walk ends early where the service gives shorter pages than it was asked for.
     """
     slices = time_slices(start, end, slice_hours)
 
@@ -69,11 +82,15 @@ def read_pages(
         for batch in batches:
             for index in batch["id"]:
                 low, high = slices[index]
-                for page in walk(fetch, f"{on} >= '{low}' AND {on} < '{high}'", size):
+                condition, found = f"{on} >= '{low}' AND {on} < '{high}'", 0
+                for page in walk(fetch, condition, size):
+                    found += len(page)
                     yield pd.DataFrame({"value": [json.dumps(record) for record in page]})
+                if count is not None and (expected := count(condition)) != found:
+                    raise SliceIncomplete(f"{found} of {expected} records where {condition}")
 
-    one_each = spark.range(0, len(slices), 1, max(len(slices), 1))
-    return one_each.mapInPandas(extract, "value string")
+    dealt = spark.range(0, len(slices), 1, max(min(len(slices), at_once), 1))
+    return dealt.mapInPandas(extract, "value string")
 
 
 def http_fetch(
@@ -85,20 +102,34 @@ def http_fetch(
     """
 
     def fetch(condition: str, offset: int, size: int) -> list[dict]:
-        asked = urlencode(
-            {"$limit": size, "$offset": offset, "$order": order, "$where": condition}
-        )
-        for attempt in range(1, ATTEMPTS + 1):
-            try:
-                with urlopen(Request(f"{url}?{asked}", headers=headers or {}), timeout=TIMEOUT) as answer:
-                    return json.load(answer)
-            except HTTPError as refused:
-                if refused.code != 429 and refused.code < 500:  # asking again would not help
-                    raise
-            except (URLError, HTTPException, TimeoutError, ConnectionError, json.JSONDecodeError):
-                pass
-            if attempt < ATTEMPTS:
-                time.sleep(min(2**attempt, LONGEST_WAIT))
-        raise RuntimeError(f"no page at offset {offset} after {ATTEMPTS} attempts")
+        asked = {"$limit": size, "$offset": offset, "$order": order, "$where": condition}
+        return _ask(url, asked, headers, f"page at offset {offset}")
 
     return fetch
+
+
+def http_count(url: str, headers: dict[str, str] | None = None) -> Count:
+    """The number of records of a condition, as the service at ``url`` counts them."""
+
+
+    def count(condition: str) -> int:
+        asked = {"$select": "count(*) as n", "$where": condition}
+        return int(_ask(url, asked, headers, "number of records")[0]["n"])
+
+    return count
+
+
+def _ask(url: str, parameters: dict, headers: dict[str, str] | None, what: str) -> list[dict]:
+    asked = urlencode(parameters)
+    for attempt in range(1, ATTEMPTS + 1):
+        try:
+            with urlopen(Request(f"{url}?{asked}", headers=headers or {}), timeout=TIMEOUT) as answer:
+                return json.load(answer)
+        except HTTPError as refused:
+            if refused.code != 429 and refused.code < 500:  # asking again would not help
+                raise
+        except (URLError, HTTPException, TimeoutError, ConnectionError, json.JSONDecodeError):
+            pass
+        if attempt < ATTEMPTS:
+            time.sleep(min(2**attempt, LONGEST_WAIT))
+    raise RuntimeError(f"no {what} after {ATTEMPTS} attempts")

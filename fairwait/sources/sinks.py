@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
@@ -30,15 +34,49 @@ def land_json(df: DataFrame, path: str, **options: str) -> int:
     return land_text(df.select(record.alias("value")), path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: tuple[str, ...] = SILVER_PARTITIONS) -> None:
+@contextmanager
+def replaced(spark: SparkSession, path: str) -> Iterator[str]:
+    """A folder beside ``path`` that takes its place when the block ends without an error.
+
+    Until then, and when the block fails, ``path`` keeps its last good state. The switch is two
+    renames: at once on a file system that has folders, a copy on an object store without them.
+    """
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    target = jvm_path(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    tag = f"{target.getName()}-{uuid.uuid4().hex}"
+    parent = target.getParent()
+    beside, old = jvm_path(parent, f"_new-{tag}"), jvm_path(parent, f"_old-{tag}")
+    try:
+        yield beside.toString()
+        if files.exists(target) and not files.rename(target, old):
+            raise OSError(f"cannot replace {path}")
+        if not files.rename(beside, target):
+            files.rename(old, target)
+            raise OSError(f"cannot replace {path}")
+        files.delete(old, True)
+    finally:
+        files.delete(beside, True)
+
+
+def write_partitioned(
+    df: DataFrame,
+    path: str,
+    by: tuple[str, ...] = SILVER_PARTITIONS,
+    check: Callable[[], None] | None = None,
+) -> None:
     """Parquet in one folder per value of ``by``; NULL goes to the default partition.
 
     The rebalance gathers a partition's rows into files of the advisory size. It splits
     a partition that holds many rows over many tasks and merges small ones. Partitions that
-    are not written again go away, whatever the session says about overwriting.
+    are not written again go away, whatever the session says about overwriting. The folder is
+    replaced when it is complete and ``check`` did not raise.
     """
     writer = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
-    writer.option("partitionOverwriteMode", "static").parquet(path)
+    with replaced(df.sparkSession, path) as beside:
+        writer.option("partitionOverwriteMode", "static").parquet(beside)
+        if check is not None:
+            check()
 
 
 def conform(df: DataFrame, schema: StructType = SILVER) -> DataFrame:
@@ -68,13 +106,15 @@ def replace_table(
 ) -> None:
     """Full reload of a catalog table, a path, or another Spark sink.
 
-    For a database: ``source="jdbc", truncate="true", url=..., dbtable=...``.
+    For a database: ``source="jdbc", truncate="true", url=..., dbtable=...``. A path is replaced
+    when its successor is complete.
     """
     writer = df.write.format(source).mode("overwrite").options(**options)
     if table:
         writer.saveAsTable(table)
     elif path:
-        writer.save(path)
+        with replaced(df.sparkSession, path) as beside:
+            writer.save(beside)
     else:
         writer.save()
 

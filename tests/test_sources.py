@@ -315,3 +315,42 @@ def test_only_errors_that_may_pass_are_asked_again(monkeypatch):
         with pytest.raises((HTTPError, RuntimeError)):
             pages.http_fetch("http://u.example")("c", 0, 1)
         assert len(calls) == asked
+
+
+def test_slices_may_be_shorter_than_an_hour():
+    slices = pages.time_slices("2024-01-01", "2024-01-01T01:00:00", 0.25)
+    assert [low[14:16] for low, _ in slices] == ["00", "15", "30", "45"]
+
+
+def test_a_service_that_shortens_pages_is_noticed(spark, tmp_path):
+    records = [{"sr_number": f"A{i}", "created_date": f"2024-01-02T0{i}:00:00.000"} for i in range(9)]
+    whole = service(records)
+
+    def short(condition, offset, size):
+        return whole(condition, offset, min(size, 3))
+
+    def count(condition):
+        return len(whole(condition, 0, 1_000))
+
+    out, days = str(tmp_path / "bronze"), ("2024-01-02", "2024-01-03")
+    assert land_pages(spark, whole, *days, out, size=5, at_once=1, slice_hours=1, count=count) == 9
+    with pytest.raises(Exception, match="3 of 9 records"):
+        land_pages(spark, short, *days, out, size=5, count=count)
+
+
+def test_a_folder_is_replaced_only_when_its_successor_is_complete(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.replace_table(spark.range(3), path=path)
+    broken = spark.range(5).select(F.raise_error(F.lit("stop")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_table(broken, path=path)
+    assert spark.read.parquet(path).count() == 3
+
+    def refuse():
+        raise ValueError("no")
+
+    with pytest.raises(ValueError):
+        sinks.write_partitioned(spark.range(5).withColumn("k", F.col("id") % 2), path, ("k",), check=refuse)
+    assert spark.read.parquet(path).count() == 3
+    sinks.replace_table(spark.range(4), path=path)
+    assert spark.read.parquet(path).count() == 4 and [p.name for p in tmp_path.iterdir() if p.is_dir()] == ["t"]
