@@ -145,6 +145,23 @@ def test_runs_go_as_by_comparing_all_lines(spark):
     assert [found[i] for i in range(len(texts))] == plain_runs(texts, line_runs.LEAST_WORDS)
 
 
+def test_a_short_line_goes_wherever_it_occurs_again(spark):
+    short = "The nine words of a line that documents share."
+    texts = [f"Own {i} one.\n  {short}\nOwn {i} two.\nYes.\n{short}" for i in range(20)]
+    found = {r.doc_id: (r.text, r._lines, r._deleted) for r in line_runs.without_repeats(documents(spark, texts)).collect()}
+    assert found[0] == (f"Own 0 one.\n  {short}\nOwn 0 two.\nYes.", 5, 1)
+    assert all(found[i] == (f"Own {i} one.\nOwn {i} two.", 5, 3) for i in range(1, 20))
+
+
+@pytest.mark.parametrize("least", [4, 10])
+def test_longer_runs_go_as_by_comparing_all_lines(spark, least):
+    rng = random.Random(8)
+    pool = ["a b", "c", " d e f", "one line of very many words that counts on its own", "", "g h i", "  ", "j"]
+    texts = ["\n".join(rng.choice(pool) for _ in range(rng.randint(0, 14))) for _ in range(60)] + [None]
+    found = {r.doc_id: r.text for r in line_runs.without_repeats(documents(spark, texts), least).collect()}
+    assert [found[i] for i in range(len(texts))] == plain_runs(texts, least)
+
+
 def test_line_runs_on_awkward_rows(spark):
     rows = line_runs.without_repeats(awkward(spark)).collect()
     assert len(rows) == 11 and next(r.text for r in rows if r.doc_id == 1) is None
