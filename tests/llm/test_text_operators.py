@@ -210,6 +210,58 @@ def test_copies_of_an_article_stay(spark):
     assert texts_of(spark, [(f"http://c.example/{i}", html) for i in range(20)]) == ["The same article"] * 20
 
 
+def plain_low(pages):
+    """Low branches of one site by plain recursion over its branches."""
+    kinds = defaultdict(lambda: defaultdict(Counter))
+    below = defaultdict(set)
+    for html in pages:
+        for path, parent, kind, feature in extraction.statistics(html):
+            kinds[path][kind][feature] += 1
+            below[parent].add(path)
+    pages_of = lambda path: sum(kinds[path]["style"].values())
+
+    def value(path):
+        found, scale = kinds[path], np.log2(pages_of(path))
+        bits = sum(n * np.log2(n) for n in found["style"].values())
+        style = 1 - bits / pages_of(path) / scale if scale else 1.0
+        own = None
+        if found["text"]:
+            own = 1 - sum(map(np.log2, found["text"].values())) / len(found["text"]) / scale if scale else 1.0
+        if below[path]:
+            mean = sum(pages_of(c) * value(c) for c in below[path]) / sum(map(pages_of, below[path]))
+            share = extraction.DECAY ** len(below[path])
+            mixed = (1 - share) * style + share * mean
+            own = mixed if own is None else max(mixed, own)
+        return 1.0 if own is None else own
+
+    return {p for p in list(kinds) if pages_of(p) >= extraction.LEAST_PAGES and value(p) < extraction.LEAST_IMPORTANCE}
+
+
+def test_a_site_is_no_group_of_one_task(spark, monkeypatch):
+    from pyspark.sql import GroupedData
+
+    def gathers(*_):
+        raise AssertionError("all branches of a site meet in one task")
+
+    for name in ("applyInPandas", "applyInArrow"):
+        monkeypatch.setattr(GroupedData, name, gathers)
+    rng = random.Random(9)
+    slogans = ["Same slogan everywhere", "Another slogan"]
+    html = []
+    for i in range(60):
+        boxes = "".join(
+            f"<div class='c{rng.randint(0, 3)}'><p>{rng.choice(slogans)}</p><ul><li>One<li><b>Two</b></ul></div>"
+            for _ in range(rng.randint(0, 4))
+        )
+        deep = "<div>" * rng.randint(0, 5) + f"<p>Deep {rng.randint(0, 9)}</p>" + "</div>" * 5
+        html.append(f"<body><div id='post-{i}'><h1>Story {i}</h1><p>{slogans[0]}</p></div>{boxes}<section>{deep}</section>")
+    low = frozenset(plain_low(html))
+    want = [extraction.extract(h, low) for h in html]
+    assert want != [extraction.extract(h, frozenset()) for h in html]
+    assert texts_of(spark, [(f"http://d.example/{i}", h) for i, h in enumerate(html)]) == want
+    assert texts_of(spark, [(None, h) for h in html]) == want
+
+
 def test_no_pages(spark):
     assert extraction.main_text(page_rows_empty(spark)).count() == 0
 
