@@ -53,6 +53,12 @@ def digits_of(text: str) -> str:
     return "".join(c for c in text if "0" <= c <= "9")
 
 
+def in_byte(digits: str) -> bool:
+    """Whether a number is 255 at most; a run of digits may be too long for ``int``."""
+    digits = digits.lstrip("0")
+    return len(digits) <= 3 and int(digits or "0") <= 255
+
+
 def emails(text: str) -> Iterator[tuple[int, int]]:
     """Every start in the run before an at sign meets the same sign, so the first one decides."""
     done, at = 0, text.find("@")
@@ -71,7 +77,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns by start, then kind."""
     found = [("email", *span) for span in emails(text)]
     found += [
-        ("ip", *m.span()) for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))
+        ("ip", *m.span()) for m in IP.finditer(text) if all(map(in_byte, m[0].split(".")))
     ]
     for m in CARD.finditer(text):
         digits = digits_of(m[0])
