@@ -32,10 +32,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: that with the smallest doc_id. Rows with a
-    NULL doc_id, and rows that repeat one, are not told apart by it and stay with it."""
-    others = grouped(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(others.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of similar ones: the first by doc_id, then row; a NULL doc_id comes first.
+
+    Rows are numbered and written first, and told apart by that number, so rows that repeat a doc_id, or
+    have none, stay or go each by its own text.
+    """
+    rows = staged(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    groups = grouped(rows.select(F.col("_row").alias("doc_id"), "text"))
+    groups = groups.select(F.col("doc_id").alias("_row"), "component_id")
+    members = groups.join(rows.select("_row", "doc_id").hint("merge"), "_row")
+    firsts = members.groupBy("component_id").agg(F.min(F.struct("doc_id", "_row"))["_row"].alias("_row"))
+    firsts = staged(firsts.select("_row"), "firsts")
+    return rows.join(firsts.hint("merge"), "_row", "left_semi").select(*docs.columns)
 
 
 def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

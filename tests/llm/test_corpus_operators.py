@@ -290,3 +290,16 @@ def test_pipeline_matches_its_stages_in_plain_python(spark, tiktoken_encoding):
     found = corpus_pipeline.run(spark, SMALL).collect()
     assert sorted((r.doc_id, r.source, digest(r.ids)) for r in found) == want
     assert all(r.n_tokens == len(r.ids) for r in found)
+
+
+def test_rows_with_one_id_or_none_stay_or_go_by_their_own_text(spark):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcd")
+    rows = [(1, a), (2, f"{a} more"), (2, b), (None, c), (None, c), (3, c), (None, d), (4, None), (4, None), (5, b)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 1) for i, t in rows], empty(spark).schema)
+    found = corpus_pipeline.near_duplicates(spark, docs, SMALL)
+    assert found.columns == docs.columns
+    want = [(1, a), (2, b), (None, c), (None, d), (4, None), (4, None)]
+    assert sorted(map(str, found.select("doc_id", "text").collect())) == sorted(
+        map(str, spark.createDataFrame(want, "doc_id long, text string").collect())
+    )
+    assert corpus_pipeline.near_duplicates(spark, empty(spark), SMALL).count() == 0
