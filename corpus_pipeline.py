@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fairwait.llm.bpe import default_vocabulary, encode
+from fairwait.llm.bpe import decode, default_vocabulary, encode
 from fairwait.llm.common import staged, table
 from fairwait.llm.jaccard import grouped
 from fairwait.llm.line_runs import without_repeats
@@ -52,9 +52,22 @@ def target_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, ids and their number for every row."""
-    found = encode(docs, default_vocabulary(), keep=("doc_id", "source"))
-    return found.select("doc_id", "source", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """doc_id, source, ids and their number for every row, and the digest of the bytes that the ids decode to.
+
+    A row whose bytes are not those of its text is an error. NULL text counts as empty.
+    """
+    vocabulary = default_vocabulary()
+    marked = docs.withColumn("_sha256", F.sha2(F.coalesce("text", F.lit("")), 256))
+    found = decode(encode(marked, vocabulary, keep=("doc_id", "source", "_sha256")), vocabulary)
+    decoded = F.sha2("data", 256)
+    wrong = F.raise_error(F.concat(F.lit("ids do not decode to the text of doc_id "), F.coalesce(F.col("doc_id").cast("string"), F.lit("NULL"))))
+    return found.select(
+        "doc_id",
+        "source",
+        F.size("ids").cast("long").alias("n_tokens"),
+        "ids",
+        F.when(decoded == F.col("_sha256"), decoded).otherwise(wrong).alias("decoded_sha256"),
+    )
 
 
 STAGES = [

@@ -303,3 +303,17 @@ def test_rows_with_one_id_or_none_stay_or_go_by_their_own_text(spark):
         map(str, spark.createDataFrame(want, "doc_id long, text string").collect())
     )
     assert corpus_pipeline.near_duplicates(spark, empty(spark), SMALL).count() == 0
+
+
+def test_ids_of_the_pipeline_are_decoded_and_compared(spark, monkeypatch):
+    texts = ["Plain words,  and\tmore\n", "é　漢 \x1c x", "", None]
+    found = corpus_pipeline.token_ids(spark, documents(spark, texts), SMALL).collect()
+    digest = lambda text: hashlib.sha256((text or "").encode()).hexdigest()
+    assert {r.doc_id: r.decoded_sha256 for r in found} == {i: digest(t) for i, t in enumerate(texts)}
+
+    def wrong(docs, vocabulary, keep):
+        return bpe.encode(docs.withColumn("text", F.concat("text", F.lit("!"))), vocabulary, keep)
+
+    monkeypatch.setattr(corpus_pipeline, "encode", wrong)
+    with pytest.raises(Exception, match="ids do not decode to the text"):
+        corpus_pipeline.token_ids(spark, documents(spark, texts), SMALL).collect()
