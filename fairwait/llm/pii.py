@@ -2,7 +2,8 @@
 
 A document's candidate tokens, those with a digit or an at sign, are the nodes of a field. Each
 has a label: none or one of the four kinds. Neighbours in the text are linked as a chain, and
-each token is linked by a skip edge to the next one with the same letters and digits. Potentials
+each token is linked by skip edges to the next one with the same letters and digits and to the next similar one: of
+the same email domain, or with the same last four digits. Potentials
 of nodes, chain and skip edges are trained by pseudo-likelihood on a bounded sample of tokens
 that the patterns label. Loopy message passing then settles the labels of tokens that no
 pattern covers, with those that one covers held fixed.
@@ -135,6 +136,16 @@ def shape(word: str) -> list[int]:
 SHAPES = 15 + 11
 
 
+def alike(word: str) -> str:
+    """What similar tokens share: the domain of an email, else the last four digits; '' without either."""
+    bare = word.strip(".,;:!?()[]\"'")
+    domain = bare.rpartition("@")[2].lower()
+    if "@" in bare and "." in domain:
+        return f"@{domain}"
+    digits = digits_of(bare)
+    return digits[-4:] if len(digits) >= 4 else ""
+
+
 def field_of(text: str):
     """Spans of the patterns, tokens, shapes, fixed labels (-1: open), chain and skip edges."""
     spans, tokens = base_spans(text), tokens_of(text)
@@ -148,10 +159,10 @@ def field_of(text: str):
     last, skip = {}, []
     for i, (start, end) in enumerate(tokens):
         key = "".join(c for c in text[start:end].lower() if c.isalnum())
-        if len(key) > 3:
-            if key in last:
-                skip.append((last[key], i))
-            last[key] = i
+        near = alike(text[start:end])
+        keys = [("same", key)] * (len(key) > 3) + [("alike", near)] * bool(near)
+        skip += sorted({(last[k], i) for k in keys if k in last})
+        last.update(dict.fromkeys(keys, i))
     return spans, tokens, [shape(text[a:b]) for a, b in tokens], labels, chain, skip
 
 
@@ -272,8 +283,8 @@ def find_personal_data(docs: DataFrame, weights: np.ndarray | None = None) -> Da
     Spans are in code points, end exclusive, by start and then kind. NULL, empty and digit-free
     text has none; NULL and repeated ids are kept row by row; an empty table gives an empty one
     and trains nothing. The field of a document lies in its own row, so nothing is shuffled
-    but the bounded training sample. Edges link a token to the next of its kind only, so their
-    number is that of the tokens however often one repeats.
+    but the bounded training sample. Edges link a token to the next of its kinds only, so there
+    are at most three a token however often one repeats.
     """
     fitted = train(docs) if weights is None else weights
 

@@ -169,6 +169,14 @@ def test_the_field_carries_labels_to_repeated_tokens(spark):
     assert right >= 0.97 * total
 
 
+def test_similar_tokens_are_linked():
+    text = "card 4041894974608795 then x***8795 by a@mail.co and B@MAIL.co, in 1999 and 12"
+    *_, skip = pii.field_of(text)
+    assert skip == [(0, 1), (2, 3)]
+    *_, skip = pii.field_of("n12345 " * 500)
+    assert skip == [(i, i + 1) for i in range(499)]
+
+
 def test_personal_data_on_awkward_rows(spark):
     rows = pii.find_personal_data(awkward(spark)).collect()
     assert len(rows) == 11
