@@ -8,6 +8,7 @@ from fairwait.llm.mixing import OP4_SQL, op4_mix_sources
 from fairwait.llm.near_vectors import op1_near_vectors
 from fairwait.llm.pii import op9_find_personal_data
 from fairwait.llm.quality import op10_quality_rules
+from fairwait.llm.repeated_windows import OP11_SQL, op11_repeated_windows
 from fairwait.llm.secrets import op8_scan_secrets
 from fairwait.llm.token_files import op2_token_files
 
@@ -22,5 +23,6 @@ REGISTRY = {
     "op8_scan_secrets": op8_scan_secrets,
     "op9_find_personal_data": op9_find_personal_data,
     "op10_quality_rules": op10_quality_rules,
+    "op11_repeated_windows": op11_repeated_windows,
 }
-ORACLE = {"op4_mix_sources": OP4_SQL}
+ORACLE = {"op4_mix_sources": OP4_SQL, "op11_repeated_windows": OP11_SQL}
