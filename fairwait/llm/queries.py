@@ -1,6 +1,7 @@
 """The registered queries of this package, and SQL for those that SQL can state."""
 
 from fairwait.llm.bpe import op3_byte_bpe
+from fairwait.llm.collocations import OP13_SQL, op13_collocations
 from fairwait.llm.extraction import op7_extract_main_text
 from fairwait.llm.jaccard import op5_jaccard_join
 from fairwait.llm.line_runs import op6_line_runs
@@ -9,6 +10,7 @@ from fairwait.llm.near_vectors import op1_near_vectors
 from fairwait.llm.pii import op9_find_personal_data
 from fairwait.llm.quality import op10_quality_rules
 from fairwait.llm.repeated_windows import OP11_SQL, op11_repeated_windows
+from fairwait.llm.resampling import op12_importance_resampling
 from fairwait.llm.secrets import op8_scan_secrets
 from fairwait.llm.token_files import op2_token_files
 
@@ -24,5 +26,7 @@ REGISTRY = {
     "op9_find_personal_data": op9_find_personal_data,
     "op10_quality_rules": op10_quality_rules,
     "op11_repeated_windows": op11_repeated_windows,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_collocations": op13_collocations,
 }
-ORACLE = {"op4_mix_sources": OP4_SQL, "op11_repeated_windows": OP11_SQL}
+ORACLE = {"op4_mix_sources": OP4_SQL, "op11_repeated_windows": OP11_SQL, "op13_collocations": OP13_SQL}
