@@ -24,7 +24,7 @@ from fairwait.llm.common import staged, table
 from fairwait.operators.ranks import with_position
 
 WINDOW = 20
-BLOCK_WORDS = 2_000_000  # words that a task hashes at once
+BLOCK_WORDS = 750_000  # words that a task hashes at once
 PART_BYTES = 16 << 20  # text per partition of the sort
 MOST_PARTS = 20_000
 MARKS = 1 << 20  # bound on the rows that are broadcast to tell untouched documents
