@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -35,8 +36,10 @@ from fairwait.schemas import (
     TIME_ZONE,
 )
 from fairwait.sources import sinks
-from fairwait.sources.pages import Fetch, read_pages
+from fairwait.sources.landing import land_slices
+from fairwait.sources.pages import Fetch
 from fairwait.sources.scans import absent_fields, scan_json, scan_raw, scan_seed, scan_silver
+from fairwait.sources.snapshots import Folder, begin, commit, expire, replaced, state
 from fairwait.sources.windows import incremental_window, window_extract
 
 # The rules cleaned data must pass before it is loaded.
@@ -86,15 +89,22 @@ def land_windows(
 
     One scan and one write, however many windows there are. Windows are counted from 1970-01-01;
     records without a date have a folder of their own. Landing again replaces the windows that
-    have records and leaves the others. ``options`` go to ``to_json``.
+    have records and leaves the others: all are written before the first one changes, and each changes at once.
+    ``options`` go to ``to_json``.
     """
+    spark, folder = source.sparkSession, Folder(source.sparkSession, out)
     first = F.floor(F.datediff(F.col(on).cast("date"), F.lit("1970-01-01").cast("date")) / days) * days
     record = F.to_json(F.struct("*"), {"ignoreNullFields": "false", **options})
     windows = source.select(
         record.alias("value"), F.date_add(F.lit("1970-01-01").cast("date"), first.cast("int")).alias("window")
     )
-    writer = windows.hint("rebalance", "window").write.mode("overwrite").partitionBy("window")
-    writer.option("partitionOverwriteMode", "dynamic").text(out)
+    batch = f"_batch-{uuid.uuid4().hex}"
+    windows.hint("rebalance", "window").write.partitionBy("window").text(folder.at(batch))
+    for name in sorted(n for n, is_folder in folder.names(batch).items() if is_folder):
+        target = folder.at(name)
+        number, _ = begin(spark, target)
+        commit(spark, target, number, [f"../{batch}/{name}"])
+        expire(spark, target)
 
 
 def land_window(
@@ -111,9 +121,11 @@ def land_window(
 def land_pages(
     spark: SparkSession, fetch: Fetch, start: str, end: str, out: str, **options
 ) -> int:
-    """Land a window straight from a paged service, untouched; returns the number of records."""
-    records = read_pages(spark, fetch, start, end, **options)
-    return sinks.land_text(records, f"{out}/{start}_to_{end}")
+    """Land a window straight from a paged service, untouched; returns the number of records.
+
+    ``options`` are those of ``land_slices``. A repeated job fetches only what the one before did not.
+    """
+    return land_slices(spark, fetch, start, end, f"{out}/{start}_to_{end}", **options)
 
 
 def land_recent(
@@ -157,17 +169,26 @@ def gate(silver: DataFrame) -> DataFrame:
 def load(
     silver: DataFrame, table: str | None = None, path: str | None = None
 ) -> dict[str, int | bool]:
-    """Replace the raw table by silver in its declared shape, then compare row counts.
+    """Write silver in its declared shape, compare row counts, and only then make it the raw table.
 
-    A table that does not hold as many rows as were to be loaded raises ``LoadMismatch``.
+    Other than as many rows as were to be loaded raise ``LoadMismatch``; the raw table then stays as it was.
     """
-    target = sinks.upper_names(sinks.conform(silver))
-    sinks.replace_table(target, table=table, path=path)
-    spark = silver.sparkSession
-    counts = sinks.reconcile(silver, scan_raw(spark, table, path)).first().asDict()
-    if not counts["matches"]:
-        raise LoadMismatch(f"loaded {counts['target_rows']} of {counts['source_rows']} rows")
-    return counts
+    spark, target = silver.sparkSession, sinks.upper_names(sinks.conform(silver))
+
+    def compared(found: DataFrame) -> dict[str, int | bool]:
+        counts = sinks.reconcile(silver, found).first().asDict()
+        if not counts["matches"]:
+            raise LoadMismatch(f"loaded {counts['target_rows']} of {counts['source_rows']} rows")
+        return counts
+
+    if table is not None:
+        written = sinks.written_table(target, table)
+        counts = compared(written.read())
+        written.switch()
+        return counts
+    with replaced(spark, path) as folder:
+        target.write.parquet(folder)
+        return compared(spark.read.parquet(folder))
 
 
 def load_plan(silver: DataFrame) -> DataFrame:
@@ -183,10 +204,12 @@ def build_marts(
     at_least: int = HIGH_VOLUME,
     check: Callable[[dict[str, DataFrame]], bool] | None = None,
 ) -> dict[str, DataFrame]:
-    """All models by name. Tables are written below ``out`` or into ``database`` and read back.
+    """All models by name. Tables are written as one state of ``out``, or into ``database``, and read back.
 
-    ``check`` sees staging, dimensions and the fact before any mart is written. When it raises or
-    returns false, the marts stay as they were and are not among the models returned.
+    ``check`` sees staging, the written dimensions and the written fact before any of them is published. When it raises
+    or returns false, every model stays as it was; what was written is returned without marts, is nobody's state, and goes with
+    the next build. Below ``out`` all models change with one commit. In a database each changes at once, one
+    after the other, when all are written.
 
     Written dimensions have a known size, and each mart then reads the narrow fact. Tables
     that do not need each other are written at the same time. Without a target everything
@@ -194,14 +217,16 @@ def build_marts(
     """
     spark = raw.sparkSession
     staged, census = star.stg_requests(raw), star.stg_census(seed)
+    number, folder = begin(spark, out) if out is not None else (0, "")
+    beside: list[sinks.WrittenTable] = []
 
     def table(name: str, build: Callable[[], DataFrame]) -> DataFrame:
         if database is not None:
-            sinks.replace_table(build(), table=f"{database}.{name}")
-            return spark.table(f"{database}.{name}")
+            beside.append(sinks.written_table(build(), f"{database}.{name}"))
+            return beside[-1].read()
         if out is not None:
-            sinks.replace_table(build(), path=f"{out}/{name}")
-            return spark.read.parquet(f"{out}/{name}")
+            build().write.parquet(f"{out}/{folder}/{name}")
+            return spark.read.parquet(f"{out}/{folder}/{name}")
         return build()
 
     def tables(builds: dict[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -227,9 +252,22 @@ def build_marts(
             "mart_equity_by_type": lambda: equity.equity_by_type(facts, areas, at_least),
         }
     )
+    if out is not None:
+        commit(spark, out, number, [folder])
+        expire(spark, out)
+    for written in sorted(beside, key=lambda w: w.table):
+        written.switch()
+        models[written.table.rpartition(".")[2]] = spark.table(written.table)
     return models
 
 
+def read_models(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The models of the current state of ``out``, all from the same build."""
+    places = state(spark, out)
+    found = Folder(spark, places[0])
+    return {name: spark.read.parquet(found.at(name)) for name in sorted(found.names())}
+
+
 def create_views(models: dict[str, DataFrame]) -> None:
     """Make every model a temporary view of its name, for SQL."""
     for name, model in models.items():
@@ -260,14 +298,13 @@ def run_all(
 ) -> dict[str, DataFrame]:
     """Land (if a source is given), clean, gate, load, model and test.
 
-    A failing rule stops the run before the load, so the raw table keeps its last good state. Every
-    folder is replaced when its successor is complete. A load
-    that does not match stops it before the models, and a failing test before the marts.
+    A failing rule stops the run before the load, and a column that silver lacks ahead of it. The raw table then keeps its last
+    state. A load that does not match, and a failing test, stop it before any model is published.
     """
     if source is not None:
         land_window(source, settings.start, settings.end, settings.bronze)
     build_silver(spark, settings.bronze, settings.silver, settings.zone)
-    silver = scan_silver(spark, settings.silver).to(SILVER)
+    silver = scan_silver(spark, settings.silver)
     enforce(gate(silver))
     load(silver, path=settings.raw)
     raw = scan_raw(spark, path=settings.raw)

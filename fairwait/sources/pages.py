@@ -1,23 +1,29 @@
-"""Extraction from a paged JSON service, spread over tasks by time slice.
+"""Extraction from a paged JSON service, as a data source with one partition per slice of time.
 
-A service gives one ordered page per call. The window is cut into slices, and each task
-walks through the pages of its own slice with one page in memory. A task that is repeated
-fetches its slice again and replaces what it wrote.
+A service gives one ordered page per call. The window is cut into slices: where the service counts, by
+halving time until every slice holds few enough records, so a busy hour is many tasks. Each task
+walks through the pages of its own slice with one page in memory.
 """
 
 from __future__ import annotations
 
 import json
 import time
-from collections.abc import Callable, Iterator
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
 from datetime import datetime, timedelta
 from http.client import HTTPException
 from urllib.error import HTTPError, URLError
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
+from zlib import crc32
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 # How the service is asked.
 PAGE_SIZE = 50_000
@@ -26,6 +32,8 @@ LONGEST_WAIT = 30
 TIMEOUT = 60
 
 AT_ONCE = 16  # slices that are fetched at the same time
+SLICE_PAGES = 4  # pages that a slice holds at most, where the service counts
+SHORTEST = timedelta(milliseconds=1)  # the resolution of the service's times
 
 # Condition, offset and size of a page; gives its records.
 Fetch = Callable[[str, int, int], list[dict]]
@@ -37,6 +45,23 @@ class SliceIncomplete(RuntimeError):
     """The pages of a slice hold another number of records than the service counts."""
 
 
+@dataclass(frozen=True)
+class Slice:
+    """Records with ``low <= time < high``; with ``rows`` that many from ``offset`` on, else all there are."""
+
+    low: str
+    high: str
+    offset: int = 0
+    rows: int | None = None
+
+    def condition(self, on: str) -> str:
+        return f"{on} >= '{self.low}' AND {on} < '{self.high}'"
+
+
+def _text(at: datetime) -> str:
+    return at.isoformat(timespec="milliseconds" if at.microsecond else "auto")
+
+
 def time_slices(start: str, end: str, hours: float) -> list[tuple[str, str]]:
     """Consecutive half-open slices of ``start <= t < end`` in ISO form."""
     low, stop = datetime.fromisoformat(start), datetime.fromisoformat(end)
@@ -48,6 +73,37 @@ def time_slices(start: str, end: str, hours: float) -> list[tuple[str, str]]:
     return bounds
 
 
+def halved(count: Count, on: str, start: str, end: str, most: int, at_once: int = AT_ONCE) -> list[Slice]:
+    """Slices of ``start <= on < end`` with ``most`` records each at most, by the service's own counts.
+
+    A span with more is halved, and the left half is counted: the right half has the others. Spans of one depth are
+    counted at the same time. Records of a single instant are dealt by offset.
+    """
+    spans = [(datetime.fromisoformat(start), datetime.fromisoformat(end))]
+    spans = [span for span in spans if span[0] < span[1]]
+    done: list[Slice] = []
+
+    def ask(span: tuple[datetime, datetime]) -> int:
+        return count(Slice(_text(span[0]), _text(span[1])).condition(on))
+
+    with ThreadPoolExecutor(at_once) as pool:
+        sized = list(zip(spans, pool.map(ask, spans)))
+        while sized:
+            wide = []
+            for (low, high), n in sized:
+                if n <= most:
+                    done.append(Slice(_text(low), _text(high), 0, n))
+                elif high - low <= SHORTEST:
+                    done += [Slice(_text(low), _text(high), k, min(most, n - k)) for k in range(0, n, most)]
+                else:
+                    steps = max((high - low) // SHORTEST // 2, 1)
+                    wide.append((low, low + steps * SHORTEST, high, n))
+            halves = list(pool.map(ask, [(low, middle) for low, middle, _, _ in wide]))
+            sized = [((low, middle), left) for (low, middle, _, _), left in zip(wide, halves)]
+            sized += [((middle, high), max(n - left, 0)) for (_, middle, high, n), left in zip(wide, halves)]
+    return sorted(done, key=lambda s: (datetime.fromisoformat(s.low), s.offset))
+
+
 def walk(fetch: Fetch, condition: str, size: int) -> Iterator[list[dict]]:
     """Pages of one condition, up to and including the first short one."""
     offset = 0
@@ -58,6 +114,117 @@ def walk(fetch: Fetch, condition: str, size: int) -> Iterator[list[dict]]:
         offset += size
 
 
+def slice_pages(fetch: Fetch, part: Slice, on: str, size: int) -> Iterator[list[dict]]:
+    """Pages of one slice. Where its number of records is known, pages that are shorter than asked do not end it."""
+    if part.rows is None:
+        yield from walk(fetch, part.condition(on), size)
+        return
+    found = 0
+    while found < part.rows:
+        page = fetch(part.condition(on), part.offset + found, min(size, part.rows - found))
+        if not page:
+            return
+        found += len(page)
+        yield page
+
+
+class PagePartition(InputPartition):
+    def __init__(self, number: int, part: Slice):
+        super().__init__(number)
+        self.number, self.part = number, part
+
+
+class PageReader(DataSourceReader):
+    """One task per slice.
+
+    With the option ``report`` a task ends with a row that says how many records it found and their checksum, or why it
+    failed; it fails as a task only as long as Spark has attempts left. Such rows let the other tasks' work count.
+    """
+
+    def __init__(self, source: PageSource):
+        self.options = source.options
+        self.calls = source.calls
+
+    def partitions(self) -> Sequence[InputPartition]:
+        chosen = self.options.get("slices")
+        parts = [Slice(**s) for s in json.loads(chosen)] if chosen else self.planned()
+        return [PagePartition(number, part) for number, part in enumerate(parts)]
+
+    def planned(self) -> list[Slice]:
+        o, (_, count) = self.options, self.calls(self.options)
+        on, size = o.get("on", "created_date"), int(o.get("size", PAGE_SIZE))
+        return halved(count, on, o["start"], o["end"], size * int(o.get("slice_pages", SLICE_PAGES)))
+
+    def read(self, partition: PagePartition) -> Iterator[pa.RecordBatch]:
+        fetch, count = self.calls(self.options)
+        on, size = self.options.get("on", "created_date"), int(self.options.get("size", PAGE_SIZE))
+        reports = int(self.options.get("report", 0))
+        found, checksum = 0, 0
+
+        def batch(kind: str, lines: list[str]) -> pa.RecordBatch:
+            columns = [pa.array(lines, pa.string())]
+            if reports:
+                n = len(lines)
+                columns += [pa.array([partition.number] * n, pa.int32()), pa.array([kind] * n, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, names=["value", "slice", "kind"][: len(columns)])
+
+        try:
+            for page in slice_pages(fetch, partition.part, on, size):
+                lines = [json.dumps(record) for record in page]
+                found += len(lines)
+                checksum += sum(crc32(line.encode()) for line in lines)
+                yield batch("data", lines)
+            part = partition.part
+            # A part of an instant has its own number; any other slice is counted once more.
+            within = part.rows is not None and datetime.fromisoformat(part.high) - datetime.fromisoformat(part.low) <= SHORTEST
+            expected = part.rows if count is None or within else count(part.condition(on))
+            if expected is not None and expected != found:
+                raise SliceIncomplete(f"{found} of {expected} records where {part.condition(on)}")
+        except Exception as failed:
+            context = TaskContext.get()
+            if not reports or context is not None and context.attemptNumber() + 1 < reports:
+                raise
+            yield batch("failed", [json.dumps(f"{type(failed).__name__}: {failed}")])
+        else:
+            if reports:
+                yield batch("done", [json.dumps({"rows": found, "checksum": checksum})])
+
+
+class PageSource(DataSource):
+    """``spark.read.format("service_pages")`` with the options ``url``, ``start`` and ``end``, and if need be ``on``, ``size``
+    and ``slice_pages``: records as JSON text, untouched, in the column ``value``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "service_pages"
+
+    @staticmethod
+    def calls(options: dict) -> tuple[Fetch, Count | None]:
+        return http_fetch(options["url"]), http_count(options["url"])
+
+    def schema(self) -> str:
+        return "value string, slice int, kind string" if int(self.options.get("report", 0)) else "value string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return PageReader(self)
+
+
+def registered(spark: SparkSession, fetch: Fetch, count: Count | None) -> str:
+    """Name of a data source that asks by these two calls."""
+    name = f"service_pages_{uuid.uuid4().hex}"
+    members = {"name": classmethod(lambda cls: name), "calls": staticmethod(lambda options: (fetch, count))}
+    spark.dataSource.register(type("CalledPageSource", (PageSource,), members))
+    return name
+
+
+def read_slices(
+    spark: SparkSession, source: str, slices: Sequence[Slice], on: str, size: int, report: int = 0
+) -> DataFrame:
+    asked = json.dumps([asdict(s) for s in slices])
+    reader = spark.read.format(source).option("slices", asked).option("on", on).option("size", str(size))
+    return reader.option("report", str(report)).load()
+
+
 def read_pages(
     spark: SparkSession,
     fetch: Fetch,
@@ -66,31 +233,25 @@ def read_pages(
     on: str = "created_date",
     slice_hours: float = 24,
     size: int = PAGE_SIZE,
-    at_once: int = AT_ONCE,
     count: Count | None = None,
 ) -> DataFrame:
-    """Records with ``start <= on < end`` as JSON text, untouched.
+    """Records with ``start <= on < end`` as JSON text, untouched, a task per slice.
 
-    Take ``slice_hours`` short enough for the busiest time, below an hour if need be: a slice is
-    fetched in sequence. ``at_once`` tasks share the slices, so no more calls than that reach the
-    service together. With ``count`` every slice is compared with the service's own number,
-    since a walk ends early where the service gives shorter pages than it was asked for.
+    With ``count`` slices are halved until they hold ``SLICE_PAGES`` pages at most, and every slice is compared with the
+    service's own number, since a walk ends early where the service gives shorter pages than it was asked for. Without it
+    slices have ``slice_hours``, to be taken short enough for the busiest time. How many calls reach the service
+    together is bounded by ``landing.land_slices``, not here.
     """
-    slices = time_slices(start, end, slice_hours)
-
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for index in batch["id"]:
-                low, high = slices[index]
-                condition, found = f"{on} >= '{low}' AND {on} < '{high}'", 0
-                for page in walk(fetch, condition, size):
-                    found += len(page)
-                    yield pd.DataFrame({"value": [json.dumps(record) for record in page]})
-                if count is not None and (expected := count(condition)) != found:
-                    raise SliceIncomplete(f"{found} of {expected} records where {condition}")
-
-    dealt = spark.range(0, len(slices), 1, max(min(len(slices), at_once), 1))
-    return dealt.mapInPandas(extract, "value string")
+    slices = planned(start, end, on, slice_hours, size, count)
+    return read_slices(spark, registered(spark, fetch, count), slices, on, size)
+
+
+def planned(
+    start: str, end: str, on: str, slice_hours: float, size: int, count: Count | None, at_once: int = AT_ONCE
+) -> list[Slice]:
+    if count is not None:
+        return halved(count, on, start, end, size * SLICE_PAGES, at_once)
+    return [Slice(low, high) for low, high in time_slices(start, end, slice_hours)]
 
 
 def http_fetch(

@@ -1,27 +1,28 @@
-"""Sinks. Every one replaces its target, so a job can be run again."""
+"""Sinks. Every one replaces the state of its target when the new one is complete, so a job can be run again."""
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from fairwait.schemas import SILVER, SILVER_PARTITIONS
+from fairwait.sources.snapshots import Folder, begin, commit, commits, expire, is_target, replaced
 
 
 def land_text(lines: DataFrame, path: str) -> int:
-    """Write a column of JSON lines as they are; returns their number.
+    """Write a column of JSON lines as they are, as the new state of ``path``; returns their number.
 
     The number is taken while writing. For a source that is only filtered it is exact
     even when tasks are repeated.
     """
     written = Observation()
     counted = lines.observe(written, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").text(path)
+    with replaced(lines.sparkSession, path) as folder:
+        counted.write.text(folder)
     return written.get["rows"]
 
 
@@ -34,51 +35,71 @@ def land_json(df: DataFrame, path: str, **options: str) -> int:
     return land_text(df.select(record.alias("value")), path)
 
 
-@contextmanager
-def replaced(spark: SparkSession, path: str) -> Iterator[str]:
-    """A folder beside ``path`` that takes its place when the block ends without an error.
-
-    Until then, and when the block fails, ``path`` keeps its last good state. The switch is two
-    renames: at once on a file system that has folders, a copy on an object store without them.
-    """
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
-    target = jvm_path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    tag = f"{target.getName()}-{uuid.uuid4().hex}"
-    parent = target.getParent()
-    beside, old = jvm_path(parent, f"_new-{tag}"), jvm_path(parent, f"_old-{tag}")
-    try:
-        yield beside.toString()
-        if files.exists(target) and not files.rename(target, old):
-            raise OSError(f"cannot replace {path}")
-        if not files.rename(beside, target):
-            files.rename(old, target)
-            raise OSError(f"cannot replace {path}")
-        files.delete(old, True)
-    finally:
-        files.delete(beside, True)
-
-
 def write_partitioned(
     df: DataFrame,
     path: str,
     by: tuple[str, ...] = SILVER_PARTITIONS,
     check: Callable[[], None] | None = None,
+    **facts,
 ) -> None:
     """Parquet in one folder per value of ``by``; NULL goes to the default partition.
 
     The rebalance gathers a partition's rows into files of the advisory size. It splits
     a partition that holds many rows over many tasks and merges small ones. Partitions that
-    are not written again go away, whatever the session says about overwriting. The folder is
-    replaced when it is complete and ``check`` did not raise.
+    are not written again go away. The new state holds when it is complete and ``check`` did not raise; ``facts`` are noted with it.
     """
-    writer = df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by)
-    with replaced(df.sparkSession, path) as beside:
-        writer.option("partitionOverwriteMode", "static").parquet(beside)
+    writer = df.hint("rebalance", *by).write.partitionBy(*by)
+    with replaced(df.sparkSession, path, **facts) as folder:
+        writer.parquet(folder)
         if check is not None:
             check()
 
 
+def replace_partitions(
+    df: DataFrame, path: str, touched: Sequence[Row], by: tuple[str, ...] = SILVER_PARTITIONS, **facts
+) -> list[str]:
+    """A new state of ``path`` with the partitions in ``touched`` as ``df`` has them, and all others as they are; returns
+    the folders written anew.
+
+    ``touched`` has one row per partition that may differ, ``df`` all rows of those. Files of others are neither read nor
+    written: the commit lists their folders again. A partition that ``df`` has no row for goes away.
+    """
+    spark = df.sparkSession
+    folder, last = Folder(spark, path), commits(spark, path, 1)
+    if not last and folder.names() and not is_target(spark, path):
+        raise ValueError(f"{path} is a plain folder; write it once as a whole")
+    before = [leaf for state_path in (last[0].paths if last else ()) for leaf in _leaves(folder, state_path, by)]
+    left_out = {_leaf_name(row, by) for row in touched}
+    number, name = begin(spark, path)
+    try:
+        df.hint("rebalance", *by).write.partitionBy(*by).parquet(folder.at(name))
+        written = _leaves(folder, name, by)
+        kept = [leaf for leaf in before if leaf.partition("/")[2] not in left_out]
+        double = {leaf.partition("/")[2] for leaf in kept} & {leaf.partition("/")[2] for leaf in written}
+        if double:
+            raise ValueError(f"partitions with rows that were not said to differ: {sorted(double)}")
+    except BaseException:
+        folder.delete(name)
+        raise
+    commit(spark, path, number, kept + written, **facts)
+    expire(spark, path)
+    return written
+
+
+def _leaf_name(row: Row, by: tuple[str, ...]) -> str:
+    null = "__HIVE_DEFAULT_PARTITION__"
+    return "/".join(f"{c}={null if row[c] is None else row[c]}" for c in by)
+
+
+def _leaves(folder: Folder, path: str, by: tuple[str, ...]) -> list[str]:
+    """The folders of partitions at or below ``path``, relative to the target."""
+    missing = len(by) - path.count("/")
+    found = [path]
+    for _ in range(missing):
+        found = [f"{p}/{n}" for p in found for n, is_folder in folder.names(p).items() if is_folder and "=" in n]
+    return found
+
+
 def conform(df: DataFrame, schema: StructType = SILVER) -> DataFrame:
     """Names, order and types of the declared target; a column that is absent is an error."""
     absent = [c for c in schema.names if c not in df.columns]
@@ -106,17 +127,64 @@ def replace_table(
 ) -> None:
     """Full reload of a catalog table, a path, or another Spark sink.
 
-    For a database: ``source="jdbc", truncate="true", url=..., dbtable=...``. A path is replaced
-    when its successor is complete.
+    A path and a catalog table change when the new state is complete. For a database:
+    ``source="jdbc", truncate="true", url=..., dbtable=...``, which changes as its driver does it.
     """
-    writer = df.write.format(source).mode("overwrite").options(**options)
+    writer = df.write.format(source).options(**options)
     if table:
-        writer.saveAsTable(table)
+        written_table(df, table, source, **options).switch()
     elif path:
-        with replaced(df.sparkSession, path) as beside:
-            writer.save(beside)
+        with replaced(df.sparkSession, path) as folder:
+            writer.save(folder)
     else:
-        writer.save()
+        writer.mode("overwrite").save()
+
+
+@dataclass(frozen=True)
+class WrittenTable:
+    """The next state of a catalog table, complete in its folder, and not yet what the table's name stands for."""
+
+    spark: SparkSession
+    table: str
+    source: str
+    target: str
+    number: int
+    name: str
+
+    @property
+    def folder(self) -> str:
+        return f"{self.target}/{self.name}"
+
+    def read(self) -> DataFrame:
+        return self.spark.read.format(self.source).load(self.folder)
+
+    def switch(self) -> None:
+        """Make the table this state. With the columns as before the catalog takes it as one change of location; else the
+        table is made anew. A table that Spark kept in the warehouse itself is replaced by one over the snapshots.
+        """
+        spark, schema = self.spark, self.read().schema
+        commit(spark, self.target, self.number, [self.name])
+        location = self.folder.replace("'", "\\'")
+        known = spark.catalog.tableExists(self.table)
+        if known and spark.catalog.getTable(self.table).tableType == "EXTERNAL" and spark.table(self.table).schema == schema:
+            spark.sql(f"alter table {self.table} set location '{location}'")
+        else:
+            spark.sql(f"drop table if exists {self.table}")
+            spark.sql(f"create table {self.table} using {self.source} location '{location}'")
+        spark.catalog.refreshTable(self.table)
+        expire(spark, self.target)
+
+
+def written_table(df: DataFrame, table: str, source: str = "parquet", **options: str) -> WrittenTable:
+    """Write the next state of ``table`` beside the current one, below its database's location."""
+    spark = df.sparkSession
+    database, _, name = table.rpartition(".")
+    place = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri.rstrip("/")
+    target = f"{place}/_tables/{name}"
+    number, folder = begin(spark, target)
+    written = WrittenTable(spark, table, source, target, number, folder)
+    df.write.format(source).options(**options).save(written.folder)
+    return written
 
 
 def dry_run(df: DataFrame) -> DataFrame:
