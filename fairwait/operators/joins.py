@@ -26,19 +26,22 @@ def count_by_dimension(
     on: str,
     by: list[str],
     max_rows: int = BROADCAST_ROWS,
+    weight: str | None = None,
 ) -> DataFrame:
-    """Rows of ``facts`` per ``by`` columns, which may come from either side of the join.
+    """Rows of ``facts`` per ``by`` columns, which may come from either side of the join; or the sums of ``weight``, where
+    facts are counted already.
 
     Facts without a match drop out. A dimension within ``max_rows`` and ``BROADCAST_BYTES`` is broadcast, and
     the facts are counted before their only shuffle. A larger one is joined to facts
     that are already counted per join key, so a hot key meets it as few rows.
     """
+    n = (F.count(F.lit(1)) if weight is None else F.sum(weight)).alias("n")
     labels = dimension.select(on, *[c for c in by if c in dimension.columns and c != on])
     if fits_broadcast(labels, max_rows):
         joined = facts.join(F.broadcast(labels), on)
-        return joined.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+        return joined.groupBy(*by).agg(n)
     own = [c for c in by if c not in labels.columns]
-    counted = facts.groupBy(on, *own).agg(F.count(F.lit(1)).alias("n"))
+    counted = facts.groupBy(on, *own).agg(n)
     return counted.join(labels, on).groupBy(*by).agg(F.sum("n").alias("n"))
 
 

@@ -27,6 +27,16 @@ def _stats(facts: DataFrame, areas: DataFrame, keys: list[str]) -> DataFrame:
     return duration_stats(histogram, keys)
 
 
+def comparable_counts(facts: DataFrame) -> DataFrame:
+    """Comparable requests per area, type and duration: all that the comparisons need of the facts."""
+    return _comparable(facts).groupBy("community_area", "sr_type", "tick").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _stats_of(counts: DataFrame, areas: DataFrame, keys: list[str]) -> DataFrame:
+    histogram = count_by_dimension(counts, areas, on="community_area", by=[*keys, "tick"], weight="n")
+    return duration_stats(histogram, keys)
+
+
 def _summary(stats: DataFrame, keys: list[str]) -> DataFrame:
     return stats.select(
         *keys,
@@ -41,6 +51,11 @@ def equity_by_quartile(facts: DataFrame, areas: DataFrame) -> DataFrame:
     return _summary(_stats(facts, areas, [QUARTILE]), [QUARTILE])
 
 
+def equity_by_quartile_of(counts: DataFrame, areas: DataFrame) -> DataFrame:
+    """``equity_by_quartile`` from ``comparable_counts``."""
+    return _summary(_stats_of(counts, areas, [QUARTILE]), [QUARTILE])
+
+
 def high_volume_types(facts: DataFrame, areas: DataFrame, at_least: int = HIGH_VOLUME) -> DataFrame:
     """Types with at least ``at_least`` comparable requests over all quartiles."""
     per_type = count_by_dimension(_comparable(facts), areas, on="community_area", by=["sr_type"])
@@ -55,7 +70,10 @@ def _high_volume_stats(facts: DataFrame, areas: DataFrame, at_least: int) -> Dat
     A type's volume is the sum of its four counts, so the facts are read once.
     """
     known = facts.where(F.col("sr_type").isNotNull())
-    stats = _stats(known, areas, ["sr_type", QUARTILE])
+    return _of_volume(_stats(known, areas, ["sr_type", QUARTILE]), at_least)
+
+
+def _of_volume(stats: DataFrame, at_least: int) -> DataFrame:
     volume = F.sum("request_count").over(Window.partitionBy("sr_type"))
     return stats.withColumn("volume", volume).where(F.col("volume") >= at_least)
 
@@ -66,6 +84,13 @@ def equity_by_type(facts: DataFrame, areas: DataFrame, at_least: int = HIGH_VOLU
     return _summary(_high_volume_stats(facts, areas, at_least), keys)
 
 
+def equity_by_type_of(counts: DataFrame, areas: DataFrame, at_least: int = HIGH_VOLUME) -> DataFrame:
+    """``equity_by_type`` from ``comparable_counts``."""
+    keys = ["sr_type", QUARTILE]
+    known = counts.where(F.col("sr_type").isNotNull())
+    return _summary(_of_volume(_stats_of(known, areas, keys), at_least), keys)
+
+
 def equity_gap(facts: DataFrame, areas: DataFrame, at_least: int = HIGH_VOLUME) -> DataFrame:
     """Per type: median of the lowest and the highest quartile and the gap in percent.
 

@@ -1,0 +1,210 @@
+"""The levelled version log, months that are published, and marts kept by differences."""
+
+import os
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from fairwait.plans import equity, maintained, star
+from fairwait.plans.clean import clean
+from fairwait.plans.jobs import land_window
+from fairwait.schemas import SILVER
+from fairwait.sources import snapshots
+from fairwait.sources.scans import scan_json, scan_silver
+from fairwait.streaming import levels
+from fairwait.streaming.levels import Order
+from fairwait.streaming.upsert import VERSIONS, append_versions, current_silver, current_versions, publish_silver
+from fixtures import SIX, bronze, census, request, write_records
+from test_jobs import texts
+
+ORDER = Order(("k",), "t", ("v",))
+
+
+def versions(spark, rows):
+    return spark.createDataFrame(rows, "k string, t int, v string").repartition(3)
+
+
+def plain(rows):
+    best = {}
+    for k, t, v in rows:
+        rank = (t is not None, t or 0, v is not None, v or "")
+        if k not in best or rank > best[k][0]:
+            best[k] = (rank, (k, t, v))
+    return {row for _, row in best.values()}
+
+
+def dealt(seed, batches, size, keys):
+    pick = random.Random(seed)
+    return [
+        [(f"k{pick.randrange(keys)}", pick.choice([None, *range(6)]), pick.choice(["a", "b", None])) for _ in range(size)]
+        for _ in range(batches)
+    ]
+
+
+@pytest.mark.parametrize("ratio, every", [(2, 1), (2, 3), (3, 2), (100, 1)])
+def test_the_log_gives_the_latest_and_notes_every_change(spark, tmp_path, ratio, every):
+    log, seen, at = str(tmp_path / "log"), {}, 0
+    for number, batch in enumerate(dealt(ratio + every, 7, 25, 40)):
+        assert levels.append_run(spark, log, versions(spark, batch), ORDER, "s", number, buckets=4)
+        assert not levels.append_run(spark, log, versions(spark, batch), ORDER, "s", number)
+        seen[number] = batch
+        if number % every == 0:
+            state = levels.fold(spark, log, ORDER, ratio)
+            changes = levels.changes_since(spark, log, state, ["k"], state.folds - 1).collect()
+            before, now = plain(sum((seen[n] for n in range(at)), [])), plain(sum(seen.values(), []))
+            assert {tuple(c["new"]) for c in changes} == now - before
+            assert {tuple(c["old"]) for c in changes if c["old"]} == {r for r in before if r[0] in {x[0] for x in now - before}}
+            at = number + 1
+        assert {tuple(r) for r in levels.current(spark, log, ORDER).collect()} == plain(sum(seen.values(), []))
+    state = levels.fold(spark, log, ORDER, ratio)
+    per_level = [level for _, level in state.runs]
+    assert all(per_level.count(level) < ratio for level in per_level)
+    whole = levels.changes_since(spark, log, state, ["k"], 0)
+    assert {tuple(c["new"]) for c in whole.collect()} == plain(sum(seen.values(), []))
+    assert whole.where("old is not null").count() == 0
+    levels.forget_changes(spark, log, state.folds - 1)
+    kept = levels.log_state(spark, log)
+    assert levels.changes_since(spark, log, kept, ["k"], 0) is None
+    assert levels.changes_since(spark, log, kept, ["k"], state.folds - 1) is not None
+
+
+def test_nothing_to_fold(spark, tmp_path):
+    log = str(tmp_path / "log")
+    assert levels.fold(spark, log, ORDER) is None
+    with pytest.raises(snapshots.NoSnapshot):
+        levels.current(spark, log, ORDER)
+    levels.append_run(spark, log, versions(spark, []), ORDER, buckets=2)
+    state = levels.fold(spark, log, ORDER)
+    assert levels.fold(spark, log, ORDER) == state and levels.current(spark, log, ORDER).count() == 0
+
+
+def test_reading_and_folding_shuffle_nothing(spark, tmp_path, monkeypatch):
+    log = str(tmp_path / "log")
+    for number, batch in enumerate(dealt(1, 4, 30, 20)):
+        levels.append_run(spark, log, versions(spark, batch), ORDER, "s", number, buckets=4)
+        if number == 1:
+            levels.fold(spark, log, ORDER)
+    plans = []
+
+    def noted(frame, *args, write=levels.write_run):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        write(frame, *args)
+
+    current = levels.current(spark, log, ORDER)
+    plans.append(current._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(levels, "write_run", noted)
+    levels.fold(spark, log, ORDER, ratio=2)
+    assert len(plans) >= 3 and not any("Exchange" in plan for plan in plans)
+    assert "Bucketed: true" in plans[0]
+
+
+def test_a_writer_that_ends_before_its_commit_leaves_the_log(spark, tmp_path, monkeypatch):
+    log, (first, second) = str(tmp_path / "log"), dealt(3, 2, 30, 20)
+    levels.append_run(spark, log, versions(spark, first), ORDER, "s", 0, buckets=2)
+    for step in ("append", "fold"):
+        monkeypatch.setattr(levels, "_commit", lambda *_: (_ for _ in ()).throw(KeyboardInterrupt))
+        with pytest.raises(KeyboardInterrupt):
+            levels.append_run(spark, log, versions(spark, second), ORDER, "s", 1) if step == "append" else levels.fold(spark, log, ORDER)
+        monkeypatch.undo()
+        assert {tuple(r) for r in levels.current(spark, log, ORDER).collect()} == plain(first)
+    levels.append_run(spark, log, versions(spark, second), ORDER, "s", 1)
+    levels.fold(spark, log, ORDER)
+    assert {tuple(r) for r in levels.current(spark, log, ORDER).collect()} == plain(first + second)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("run_", "runs_"))]
+
+
+def months(seed, n=240):
+    """Versions of 60 requests over five months, some of which move between months, close, open again or lose a duration."""
+    pick = random.Random(seed)
+    rows = [
+        request(
+            f"N{pick.randrange(60)}",
+            sr_type=pick.choice(["Pothole in Street", "Tree Trim", None, "Aircraft Noise Complaint"]),
+            community_area=pick.choice(["5", "22", "8", "77", "", "99"]),
+            created_date=pick.choice([f"2024-0{pick.randrange(1, 6)}-02T08:00:00.000", None]) if pick.random() < 0.3 else "2024-03-02T08:00:00.000",
+            last_modified_date=f"2024-06-{pick.randrange(1, 29):02d}T10:00:00.000",
+            closed_date=pick.choice([None, "2024-02-20T08:00:00.000", f"2024-07-0{pick.randrange(1, 9)}T08:00:00.000"]),
+        )
+        for _ in range(n)
+    ]
+    return [rows[:200], rows[200:220], [], rows[220:]]
+
+
+def test_published_months_equal_a_rebuild_and_others_keep_files(spark, tmp_path):
+    landed, log, progress, out = (str(tmp_path / p) for p in ("landed", "log", "progress", "silver"))
+    written = []
+    for i, drop in enumerate(months(2)):
+        write_records(tmp_path / "landed" / f"{i}.ndjson", drop)
+        append_versions(spark, landed, log, progress, buckets=3)
+        before = {f: f.stat().st_mtime_ns for f in (tmp_path / "silver").rglob("*.parquet")} if i else {}
+        written.append(publish_silver(spark, log, out))
+        assert texts(scan_silver(spark, out)) == texts(clean(scan_json(spark, landed)).select(*scan_silver(spark, out).columns))
+        state = [path for path in snapshots.state(spark, out)]
+        if written[-1] is not None:
+            anew = {w.partition("/")[2] for w in written[-1]}
+            kept = [f for f in before if not any(f"/{a}/" in str(f) for a in anew) and any(str(f).startswith(p) for p in state)]
+            assert all(f.stat().st_mtime_ns == before[f] for f in kept)
+    assert written[0] is None and written[2] == [] and written[1] and written[3]
+    # One request of one month: one month is written.
+    write_records(tmp_path / "landed" / "z.ndjson", [request("Z1", created_date="2024-01-09T08:00:00.000")])
+    append_versions(spark, landed, log, progress)
+    assert [w.partition("/")[2] for w in publish_silver(spark, log, out)] == ["created_year=2024/created_month=1"]
+
+
+def test_publishing_goes_on_when_changes_were_forgotten(spark, tmp_path):
+    landed, log, progress, out = (str(tmp_path / p) for p in ("landed", "log", "progress", "silver"))
+    drops = months(5)
+    write_records(tmp_path / "landed" / "0.ndjson", drops[0])
+    append_versions(spark, landed, log, progress, buckets=2)
+    publish_silver(spark, log, out)
+    write_records(tmp_path / "landed" / "1.ndjson", drops[1])
+    append_versions(spark, landed, log, progress)
+    state = levels.fold(spark, log, VERSIONS)
+    levels.forget_changes(spark, log, state.folds)
+    assert publish_silver(spark, log, out) is None
+    assert texts(scan_silver(spark, out).select(*SILVER.names)) == texts(clean(scan_json(spark, landed)))
+
+
+@pytest.mark.parametrize("ratio", [2, 4])
+def test_marts_by_difference_equal_a_rebuild(spark, tmp_path, ratio):
+    landed, log, progress, counts = (str(tmp_path / p) for p in ("landed", "log", "progress", "counts"))
+    areas = star.dim_area(star.stg_census(census(spark)))
+    done = []
+    for i, drop in enumerate([*months(4), *months(6)[1:]] if ratio == 2 else months(4)):
+        write_records(tmp_path / "landed" / f"{i}.ndjson", drop)
+        append_versions(spark, landed, log, progress, buckets=2)
+        done.append(maintained.advance_counts(spark, log, counts, ratio=ratio))
+        facts = star.fct_requests(star.stg_requests(current_silver(spark, log)))
+        found = maintained.marts(spark, counts, areas, at_least=3)
+        assert texts(found["mart_service_equity"]) == texts(equity.equity_by_quartile(facts, areas))
+        assert texts(found["mart_equity_by_type"]) == texts(equity.equity_by_type(facts, areas, 3))
+    assert done[0] and not done[2] and done[3]
+    runs = snapshots.commits(spark, counts, 1)[0].facts["runs"]
+    assert len(runs) < 8 and all(n > 0 for (n,) in maintained.current_counts(spark, counts).select("n").collect())
+
+
+def test_a_stream_over_commits_takes_in_what_is_committed(spark, tmp_path):
+    """Windows landed as states; one is landed again, and one landing is left unfinished."""
+    out, log, progress = (str(tmp_path / p) for p in ("bronze", "log", "progress"))
+    source = bronze(spark, SIX)
+    land_window(source, "2024-01-01", "2024-01-11", out)
+    append_versions(spark, out, log, progress, buckets=2)
+    first = current_versions(spark, log).count()
+    land_window(source, "2024-01-11", "2024-02-01", out)
+    land_window(source.withColumn("status", F.lit("Open")), "2024-01-01", "2024-01-11", out)
+    left = tmp_path / "bronze" / "2024-01-01_to_2024-01-11" / "_snapshot=00000009-x"
+    write_records(left / "part.txt", [request("unfinished")])
+    append_versions(spark, out, log, progress)
+    found = current_versions(spark, log)
+    assert 0 < first < found.count() == 5 and found.where("sr_number = 'unfinished'").count() == 0
+    assert texts(current_silver(spark, log)) == texts(clean(scan_json(spark, out).union(source)))
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="driver tables not found")
+def test_the_published_log_is_read_without_an_exchange(spark):
+    from workload.queries import REGISTRY
+
+    plan = REGISTRY["incremental_upsert"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"\bExchange\b", plan)

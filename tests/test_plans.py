@@ -51,7 +51,7 @@ EXPECTED = {
     "expect_mostly": ["SinglePartition"],
     "expect_in_set": ["SinglePartition"],
     "resolution_flags": ["hashpartitioning"] * 2,
-    "incremental_upsert": ["hashpartitioning"],
+    "incremental_upsert": [],
 }
 
 
