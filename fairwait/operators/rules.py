@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fairwait.operators.joins import orphan_count
@@ -123,6 +123,35 @@ def report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def unexpected_values(df: DataFrame, rules: Sequence[Rule], most: int = 5) -> DataFrame:
+    """``rule, column, position, value, n``: the ``most`` frequent values that break each rule, ties by value.
+
+    Row rules share one scan; what they find wrong is counted per value ahead of the shuffle, so a frequent value is one row per
+    task and the shuffle carries unexpected values only. For ``unique`` the values are repeated keys, by a scan of its own. Values are
+    text; NULL is a value of its own, and columns of one key are joined by commas.
+    """
+    by_row = [(i, rule) for i, rule in enumerate(rules) if rule.kind != "unique"]
+    found = []
+    if by_row:
+        wrong = [
+            F.when(rule.judged() & rule.broken(), F.struct(F.lit(i).alias("_rule"), F.col(rule.columns[0]).cast("string").alias("value")))
+            for i, rule in by_row
+        ]
+        values = df.select(F.inline(F.filter(F.array(*wrong), lambda w: w.isNotNull())))
+        found.append(values.groupBy("_rule", "value").agg(F.count(F.lit(1)).alias("n")))
+    for i, rule in enumerate(rules):
+        if rule.kind == "unique":
+            counts = df.where(rule.judged()).groupBy(*rule.columns).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+            value = F.concat_ws(",", *[F.col(c).cast("string") for c in rule.columns])
+            found.append(counts.select(F.lit(i).alias("_rule"), value.alias("value"), F.col("_n").alias("n")))
+    order = Window.partitionBy("_rule").orderBy(F.col("n").desc(), F.col("value").asc_nulls_first())
+    ranked = reduce(DataFrame.unionByName, found).withColumn("position", F.row_number().over(order))
+    named = lambda f: F.element_at(F.array(*[F.lit(f(rule)) for rule in rules]), F.col("_rule") + 1)
+    return ranked.where(F.col("position") <= most).select(
+        named(lambda r: r.kind).alias("rule"), named(lambda r: r.label).alias("column"), "position", "value", "n"
+    )
+
+
 def verdict(results: DataFrame) -> DataFrame:
     """One row: number of rules, of failed rules, and whether no failed rule is an error."""
     failed = ~F.col("success")
