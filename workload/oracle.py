@@ -465,4 +465,44 @@ ORACLE: dict[str, str] = {
         relation("documents", "doc_id", "labels", "doc_id", "warn"),
         relation("labels", "doc_id", "documents", "doc_id"),
     ),
+    "landing_survives_a_failure": EVENTS,
+    "landing_resumed": f"{EVENTS} where ts >= timestamp '2024-01-01' and ts < timestamp '2024-02-01'",
+    "field_census": """with pulls as (
+            select o_orderpriority as pull, count(*) as records from orders group by o_orderpriority)
+        select pull, 'o_orderstatus' as field, 'absent' as finding, null::varchar as kind, 'STRING' as expected, records
+        from pulls where pull = '2-HIGH'
+        union all select pull, 'total', 'renamed', 'STRING', 'o_totalprice', records from pulls where pull = '3-MEDIUM'
+        union all select pull, 'o_orderkey', 'retyped', 'BIGINT', 'STRING', records from pulls where pull = '5-LOW'
+        union all select pull, 'o_custkey', 'additional', 'BIGINT', null, records from pulls where pull = '5-LOW'
+        union all select pull, 'total', 'absent', null, 'STRING', records from pulls where pull = '5-LOW'""",
+    "failed_build_keeps_models": f"{BASE} {BOTH_MARTS}",
+    "upsert_publish_delta": f"{SILVER_ALL_TIES} select {SILVER_COLUMNS} from silver",
+    "marts_by_difference": f"{BASE_ALL_TIES} {BOTH_MARTS}",
+    "reconcile_rows": f"""{SILVER}, changes as (
+            select sr_number, right(sr_number, 1) as line,
+                (right(sr_number, 1) = '7' and is_closed) or (sr_type = '2-HIGH' and right(sr_number, 1) = '5'
+                    and origin is not null) as is_changed
+            from silver)
+        select sr_number, 'changed' as change, 1::bigint as source_rows, 1::bigint as target_rows
+        from changes where is_changed and line <> '6'
+        union all select sr_number, 'missing', 1, 0 from changes where line = '6'
+        union all select sr_number || 'b', 'additional', 0, 1 from changes where line = '6'""",
+    "reconcile_partitions": f"""{SILVER}, dated as (
+            select year(created_ts)::integer as created_year, month(created_ts)::integer as created_month, count(*) as n
+            from typed group by all), kept as (
+            select created_year, created_month, count(*) as n from silver group by all)
+        select d.created_year, d.created_month, d.n as source_rows, coalesce(k.n, 0)::bigint as target_rows
+        from dated d left join kept k on d.created_year is not distinct from k.created_year
+            and d.created_month is not distinct from k.created_month
+        where d.n <> coalesce(k.n, 0)""",
+    "unexpected_values": """with wrong as (
+            select 'between' as rule, 'l_discount' as column, l_discount::varchar as value, count(*) as n
+            from lineitem where l_discount < 0.02 or l_discount > 0.08 group by l_discount
+            union all select 'in_set', 'l_returnflag', l_returnflag, count(*)
+            from lineitem where l_returnflag <> 'N' group by l_returnflag
+            union all select 'unique', 'l_orderkey', l_orderkey::varchar, count(*)
+            from lineitem where l_orderkey is not null group by l_orderkey having count(*) > 1)
+        select rule, "column", position::integer as position, value, n from (
+            select *, row_number() over (partition by rule, "column" order by n desc, value) as position from wrong)
+        where position <= 4""",
 }

@@ -6,6 +6,9 @@ from collections.abc import Callable
 from datetime import date, datetime
 from functools import reduce
 
+import pyarrow as pa
+from pyarrow import dataset
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
@@ -14,12 +17,12 @@ from fairwait.functions.flags import is_inside, is_real_request, is_valid_durati
 from fairwait.functions import text
 from fairwait.functions.text import to_double, to_int
 from fairwait.functions.time import elapsed_seconds, seconds_to_hours, wall_clock
-from fairwait.operators import rules, versions
-from fairwait.plans import equity, jobs, star
+from fairwait.operators import fingerprints, rules, versions
+from fairwait.plans import equity, jobs, maintained, star
 from fairwait.plans.clean import typed_versions, with_outcome
 from fairwait.schemas import LATITUDE_BOUNDS
 from fairwait.session import shared_path
-from fairwait.sources import scans, sinks, windows
+from fairwait.sources import census, landing, scans, sinks, windows
 from fairwait.streaming import upsert
 from workload.views import (
     LINE_KEY,
@@ -305,6 +308,80 @@ def bronze_landing_roundtrip(spark, sf_dir):
     return _typed_events(scans.scan_json(spark, path, EVENT_TEXT))
 
 
+@query
+def landing_survives_a_failure(spark, sf_dir):
+    """Events landed; then the same window is landed again and fails half way; what is read is the first landing."""
+    path, events = shared_path(spark, "windows"), table(spark, sf_dir, "events")
+    sinks.land_json(events, path, **EVENT_TIME)
+    broken = events.withColumn("value", F.when(F.col("event_id") % 7 == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("value")))
+    try:
+        sinks.land_json(broken, path, **EVENT_TIME)
+    except PySparkException:
+        pass
+    return _typed_events(scans.scan_json(spark, path, EVENT_TEXT))
+
+
+def _event_service(spark: SparkSession, sf_dir: str) -> tuple[Callable, Callable]:
+    """A stand-in for a paged service over the events, written by hour and read page by page where it is asked."""
+    path = shared_path(spark, "service")
+    stamp = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    records = table(spark, sf_dir, "events").where("ts is not null").withColumn("ts", stamp)
+    hours = records.withColumn("hour", F.translate(F.substring("ts", 1, 13), ":", "-"))
+    hours.hint("rebalance", "hour").sortWithinPartitions("hour", "ts", "event_id").write.partitionBy("hour").parquet(path)
+    local = path.removeprefix("file:")
+
+    def asked(condition: str) -> dataset.Scanner:
+        low, high = condition.split("'")[1::2]
+        within = (dataset.field("ts") >= low) & (dataset.field("ts") < high)
+        hours = (dataset.field("hour") >= low[:13]) & (dataset.field("hour") <= high[:13])
+        kind = dataset.partitioning(pa.schema([("hour", pa.string())]), flavor="hive")
+        return dataset.dataset(local, partitioning=kind).scanner(filter=within & hours)
+
+    def fetch(condition: str, offset: int, size: int) -> list[dict]:
+        found = asked(condition).to_table().sort_by([("ts", "ascending"), ("event_id", "ascending")]).drop(["hour"])
+        return [{k: None if v is None else str(v) for k, v in row.items()} for row in found.slice(offset, size).to_pylist()]
+
+    return fetch, lambda condition: asked(condition).count_rows()
+
+
+@query
+def landing_resumed(spark, sf_dir):
+    """January's events from a paged service that fails for one hour, then from one that does not: the second job
+    fetches what the first one did not."""
+    fetch, count = _event_service(spark, sf_dir)
+    out, days = shared_path(spark, "bronze"), ("2024-01-01", "2024-02-01")
+    options = {"on": "ts", "size": 1000, "at_once": 8, "count": count}
+
+    def failing(condition: str, offset: int, size: int) -> list[dict]:
+        page = fetch(condition, offset, size)
+        if any(record["ts"].startswith("2024-01-20T1") for record in page):
+            raise RuntimeError("gone")
+        return page
+
+    try:
+        jobs.land_pages(spark, failing, *days, out, **options)
+    except landing.LandingIncomplete:
+        pass
+    jobs.land_pages(spark, fetch, *days, out, **options)
+    return _typed_events(scans.scan_json(spark, out, EVENT_TEXT))
+
+
+@query
+def field_census(spark, sf_dir):
+    """Orders as four pulls by priority: as declared, one field left out, one renamed, one retyped beside a new one."""
+    path, orders = shared_path(spark, "pulls"), table(spark, sf_dir, "orders")
+    text = orders.select(*[F.col(c).cast("string").alias(c) for c in ORDER_TEXT.names], "o_custkey")
+    pulls = {
+        "1-URGENT": lambda df: df.drop("o_custkey"),
+        "2-HIGH": lambda df: df.drop("o_custkey", "o_orderstatus"),
+        "3-MEDIUM": lambda df: df.drop("o_custkey").withColumnRenamed("o_totalprice", "total"),
+        "5-LOW": lambda df: df.withColumn("o_orderkey", F.col("o_orderkey").cast("bigint")),
+    }
+    for priority, change in pulls.items():
+        sinks.land_json(change(text.where(F.col("o_orderpriority") == priority)), f"{path}/{priority}")
+    return census.field_census(spark, path, ORDER_TEXT)
+
+
 def _dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with year and month; those of status P have neither."""
     placed = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate"))
@@ -335,6 +412,9 @@ def silver_partition_scan(spark, sf_dir):
     )
 
 
+ORDER_TEXT = StructType(
+    [StructField(c, StringType()) for c in ("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")]
+)
 CUSTOMER_TEXT = StructType(
     [StructField(c, StringType()) for c in ("c_custkey", "c_name", "c_nationkey", "c_mktsegment")]
 )
@@ -411,6 +491,32 @@ def reconcile_difference(spark, sf_dir):
     return sinks.reconcile(table(spark, sf_dir, "lineitem"), scans.scan_raw(spark, path=path))
 
 
+@query
+def reconcile_rows(spark, sf_dir):
+    """The rows by which a loaded table of equal size differs from silver, by key.
+
+    Sixth lines got another number, seventh lines of closed requests another status, and one type of request lost a column.
+    """
+    path, cleaned = shared_path(spark, "raw"), sinks.conform(written_silver(spark, sf_dir))
+    number, closed = F.col("sr_number"), F.col("is_closed")
+    altered = cleaned.withColumns(
+        {
+            "status": F.when(number.endswith("-7") & closed, F.lower("status")).otherwise(F.col("status")),
+            "origin": F.when(F.col("sr_type") != "2-HIGH", F.col("origin")).when(number.endswith("-5"), None).otherwise(F.col("origin")),
+        }
+    ).withColumn("sr_number", F.when(number.endswith("-6"), F.concat(number, F.lit("b"))).otherwise(number))
+    sinks.replace_table(altered, path=path)
+    loaded = scans.scan_raw(spark, path=path)
+    return fingerprints.differing_rows(cleaned, loaded, ["sr_number"], by=["created_year", "created_month"])
+
+
+@query
+def reconcile_partitions(spark, sf_dir):
+    """Months in which versions and latest versions are not the same rows."""
+    everything = with_outcome(typed_versions(bronze_requests(spark, sf_dir)))
+    return fingerprints.differing_partitions(everything, silver(spark, sf_dir), ["created_year", "created_month"])
+
+
 @query
 def row_counts(spark, sf_dir):
     """Rows of every stage."""
@@ -485,6 +591,18 @@ def expect_in_set(spark, sf_dir):
     return rules.report(table(spark, sf_dir, "lineitem"), suite)
 
 
+@query
+def unexpected_values(spark, sf_dir):
+    """What breaks the rules most often; parts of several orders repeat, as do order numbers."""
+    suite = (
+        rules.between("l_discount", low=0.02, high=0.08),
+        rules.in_set("l_returnflag", ("N",)),
+        rules.not_null("l_orderkey"),
+        rules.unique("l_orderkey"),
+    )
+    return rules.unexpected_values(table(spark, sf_dir, "lineitem"), suite, 4)
+
+
 @query
 def model_tests(spark, sf_dir):
     """Staging, dimensions and the fact, written from silver, and the tests over them."""
@@ -528,6 +646,16 @@ def build_marts(spark, sf_dir):
     return _both_marts(_models(spark, scans.scan_raw(spark, path=raw), sf_dir))
 
 
+@query
+def failed_build_keeps_models(spark, sf_dir):
+    """All models built; then a build over half of the requests whose tests fail: the marts read back are the first ones."""
+    raw, out, seed = written_silver(spark, sf_dir), shared_path(spark, "models"), census_seed(spark, sf_dir)
+    jobs.build_marts(raw, seed, out=out, at_least=1)
+    half = raw.where(F.pmod(F.xxhash64("sr_number"), F.lit(2)) == 0)
+    jobs.build_marts(half, seed, out=out, at_least=1, check=lambda models: False)
+    return _both_marts(jobs.read_models(spark, out))
+
+
 @query
 def mart_views(spark, sf_dir):
     """SQL over the views of all models: types against all requests, with the areas of a quartile."""
@@ -587,3 +715,31 @@ def incremental_upsert(spark, sf_dir):
         sinks.land_json(drop.select(*[F.col(c).cast("string").alias(c) for c in kinds]), f"{landed}/{third}")
         upsert.append_versions(spark, landed, log, progress, schema=text, prepare=typed, **identity)
     return upsert.current_versions(spark, log, **identity)
+
+
+def _request_drops(spark: SparkSession, sf_dir: str, landed: str, log: str, progress: str):
+    """Versions of requests arrive in three drops, by a hash of the row; yields after each is in the log."""
+    records = bronze_requests(spark, sf_dir).drop(*LINE_TIES)
+    for third in range(3):
+        drop = records.where(F.pmod(F.xxhash64("sr_number", "last_modified_date", "closed_date"), F.lit(3)) == third)
+        sinks.land_json(drop, f"{landed}/{third}")
+        upsert.append_versions(spark, landed, log, progress)
+        yield third
+
+
+@query
+def upsert_publish_delta(spark, sf_dir):
+    """Silver published after each of three drops: the second and third time only months that changed are written."""
+    landed, log, progress, out = (shared_path(spark, p) for p in ("drops", "log", "progress", "silver"))
+    for _ in _request_drops(spark, sf_dir, landed, log, progress):
+        upsert.publish_silver(spark, log, out)
+    return dates_as_text(scans.scan_silver(spark, out))
+
+
+@query
+def marts_by_difference(spark, sf_dir):
+    """Counts of durations brought up to date after each of three drops, and the marts from them."""
+    landed, log, progress, counts = (shared_path(spark, p) for p in ("drops", "log", "progress", "counts"))
+    for _ in _request_drops(spark, sf_dir, landed, log, progress):
+        maintained.advance_counts(spark, log, counts, ratio=2)
+    return _both_marts(maintained.marts(spark, counts, areas(spark, sf_dir), at_least=1))
