@@ -14,14 +14,21 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
+    # What is small enough is broadcast by a hint, after its size was counted. A join that Spark turns
+    # into a broadcast on its own leaves rows where few row groups put them, and with them the work behind it.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.session.timeZone": "UTC",
 }
 
-# Shuffles of a full load carry some 10 TB: half a GB per partition, merged at run time where
-# there is less. A local session goes without.
-WIDE = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000"}
+# Shuffles of a full load carry some 10 TB from 100,000 scan tasks: 2.5 GB per partition, sorted with
+# spilling, so that a block from one task to another has 25 KB. Merged at run time where there is less. A local
+# session goes without.
+WIDE = {
+    "spark.sql.files.maxPartitionBytes": "1g",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
+}
 
 
 def build_session(app: str) -> SparkSession:
@@ -50,10 +57,10 @@ def shared_root(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        # Spark puts a folder of its own name below the one it is given.
-        current = (context.getCheckpointDir() or "").rstrip("/").rpartition("/")[0]
-        if _plain(current) != _plain(configured):
+        # Spark puts a folder of its own name below the one it is given, so it is given it once.
+        if getattr(context, "_fairwait_checkpoints", None) != configured:
             context.setCheckpointDir(configured)
+            context._fairwait_checkpoints = configured
         return configured
     if context.getCheckpointDir():
         return context.getCheckpointDir()
@@ -63,10 +70,6 @@ def shared_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def _plain(path: str) -> str:
-    return path.removeprefix("file:").replace("///", "/").rstrip("/")
-
-
 def shared_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has used before, deleted when the session ends."""
     place = f"{shared_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"

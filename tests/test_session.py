@@ -27,6 +27,12 @@ def test_the_configured_folder_is_used():
     assert spark.sparkContext.folder == "hdfs://shared/checkpoints"
 
 
+def test_the_configured_folder_is_set_once():
+    spark, given = session("yarn", "/shared"), []
+    spark.sparkContext.setCheckpointDir = given.append
+    assert [shared_root(spark) for _ in range(3)] == ["/shared"] * 3 and given == ["/shared"]
+
+
 def test_a_cluster_needs_a_shared_folder():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_root(session("yarn"))
