@@ -5,7 +5,10 @@
     gate   --input SILVER                exits with 1 when a rule fails
     load   --input SILVER (--table T | --path P) [--dry-run]
     build  (--table T | --path P) --seed CSV (--output MARTS | --database D)
-    upsert --input BRONZE --log LOG --progress DIR [--output SILVER]
+    upsert --input BRONZE --log LOG --progress DIR [--output SILVER] [--counts COUNTS]
+    marts  --counts COUNTS --seed CSV --output MARTS
+    census --input BRONZE                exits with 1 when a declared field is absent or has another type
+    compare --input SILVER (--table T | --path P)   exits with 1 when rows differ
 """
 
 from __future__ import annotations
@@ -14,13 +17,14 @@ import argparse
 import sys
 from datetime import datetime, timezone
 
-from fairwait.plans import jobs
+from fairwait.plans import jobs, maintained, star
 from fairwait.schemas import HIGH_VOLUME
 from fairwait.session import build_session
+from fairwait.sources.census import field_census
 from fairwait.sources.pages import AT_ONCE, http_count, http_fetch
 from fairwait.sources.scans import scan_raw, scan_seed, scan_silver
 from fairwait.sources.windows import incremental_window
-from fairwait.streaming.upsert import append_versions, publish_silver
+from fairwait.streaming.upsert import append_versions
 
 
 def parser() -> argparse.ArgumentParser:
@@ -58,7 +62,19 @@ def parser() -> argparse.ArgumentParser:
     written.add_argument("--database")
     build.add_argument("--at-least", type=int, default=HIGH_VOLUME)
 
-    for command in (load, build):
+    census = commands.add_parser("census")
+    census.add_argument("--input", required=True)
+
+    compare = commands.add_parser("compare")
+    compare.add_argument("--input", required=True)
+
+    marts = commands.add_parser("marts")
+    marts.add_argument("--counts", required=True)
+    marts.add_argument("--seed", required=True)
+    marts.add_argument("--output", required=True)
+    marts.add_argument("--at-least", type=int, default=HIGH_VOLUME)
+
+    for command in (load, build, compare):
         target = command.add_mutually_exclusive_group(required=True)
         target.add_argument("--table")
         target.add_argument("--path")
@@ -68,6 +84,8 @@ def parser() -> argparse.ArgumentParser:
     upsert.add_argument("--log", required=True)
     upsert.add_argument("--progress", required=True)
     upsert.add_argument("--output")
+    upsert.add_argument("--counts")
+    upsert.add_argument("--buckets", type=int, help="of a new log: some GB of versions each")
     return top
 
 
@@ -119,9 +137,20 @@ def main(argv: list[str] | None = None) -> int:
         )
         return 1 if any(test["status"] == "fail" for test in results) else 0
     elif args.job == "upsert":
-        append_versions(spark, args.input, args.log, args.progress)
-        if args.output:
-            publish_silver(spark, args.log, args.output)
+        append_versions(spark, args.input, args.log, args.progress, buckets=args.buckets)
+        maintained.advance(spark, args.log, args.output, args.counts)
+    elif args.job == "marts":
+        areas = star.dim_area(star.stg_census(scan_seed(spark, args.seed)))
+        jobs.publish_models(spark, maintained.marts(spark, args.counts, areas, args.at_least), args.output)
+    elif args.job == "census":
+        findings = field_census(spark, args.input).orderBy("pull", "field").collect()
+        for row in findings:
+            print(row["pull"], row["finding"], row["field"], row["kind"] or "-", row["expected"] or "-", row["records"])
+        return 1 if any(row["finding"] in ("absent", "renamed", "retyped") for row in findings) else 0
+    elif args.job == "compare":
+        differ = jobs.load_differences(scan_silver(spark, args.input), args.table, args.path)
+        differ.orderBy("SR_NUMBER").show(100, truncate=False)
+        return 0 if differ.isEmpty() else 1
     return 0
 
 

@@ -12,6 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from fairwait.operators.fingerprints import differing_rows
 from fairwait.operators.rules import (
     KeyTest,
     RelationTest,
@@ -32,7 +33,7 @@ from fairwait.schemas import (
     HIGH_VOLUME,
     LATITUDE_BOUNDS,
     LONGITUDE_BOUNDS,
-    SILVER,
+    SILVER_PARTITIONS,
     TIME_ZONE,
 )
 from fairwait.sources import sinks
@@ -191,6 +192,16 @@ def load(
         return compared(spark.read.parquet(folder))
 
 
+def load_differences(silver: DataFrame, table: str | None = None, path: str | None = None) -> DataFrame:
+    """The keys by which the raw table differs from what ``load`` would make it; none after a load.
+
+    Compared by month first, so months that agree are read once.
+    """
+    spark, wanted = silver.sparkSession, sinks.upper_names(sinks.conform(silver))
+    months = [c.upper() for c in SILVER_PARTITIONS]
+    return differing_rows(wanted, scan_raw(spark, table, path).select(*wanted.columns), [c.upper() for c in KEY], by=months)
+
+
 def load_plan(silver: DataFrame) -> DataFrame:
     """The dry run of ``load``: columns, types and number of rows, nothing written."""
     return sinks.dry_run(sinks.upper_names(sinks.conform(silver)))
@@ -261,6 +272,13 @@ def build_marts(
     return models
 
 
+def publish_models(spark: SparkSession, models: dict[str, DataFrame], out: str) -> None:
+    """Write ``models`` as one state of ``out``."""
+    with replaced(spark, out) as folder:
+        for name, model in models.items():
+            model.write.parquet(f"{folder}/{name}")
+
+
 def read_models(spark: SparkSession, out: str) -> dict[str, DataFrame]:
     """The models of the current state of ``out``, all from the same build."""
     places = state(spark, out)

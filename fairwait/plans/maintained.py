@@ -17,7 +17,7 @@ from fairwait.schemas import HIGH_VOLUME, TIME_ZONE
 from fairwait.sources import snapshots
 from fairwait.sources.snapshots import PREFIX, Folder
 from fairwait.streaming import levels
-from fairwait.streaming.upsert import VERSIONS, current_versions
+from fairwait.streaming.upsert import VERSIONS, current_versions, publish_silver
 
 COUNTED = "community_area int, sr_type string, tick long, n long"
 
@@ -87,3 +87,19 @@ def marts(spark: SparkSession, target: str, areas: DataFrame, at_least: int = HI
         "mart_service_equity": equity.equity_by_quartile_of(counts, areas),
         "mart_equity_by_type": equity.equity_by_type_of(counts, areas, at_least),
     }
+
+
+def advance(
+    spark: SparkSession, log: str, silver: str | None = None, counts: str | None = None, zone: str = TIME_ZONE
+) -> None:
+    """Bring silver and the counts up to the log, each by what changed; then drop the changes that both have taken in.
+
+    A job that ends in between is run again: what is up to date already costs nothing.
+    """
+    if silver is not None:
+        publish_silver(spark, log, silver, zone)
+    if counts is not None:
+        advance_counts(spark, log, counts, zone)
+    readers = [target for target in (silver, counts) if target is not None]
+    if readers:
+        levels.forget_changes(spark, log, min(snapshots.commits(spark, target, 1)[0].facts["folds"] for target in readers))
