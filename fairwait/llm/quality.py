@@ -21,7 +21,8 @@ BOILERPLATE = (
 )
 # Separators of menus and trails, and words that are signs or end in several of them.
 NAVIGATION = r"(?<![^\x20\x09-\x0D])[|>»›•·/]+(?![^\x20\x09-\x0D])"
-MARKED = r"[#*$%&|<>!?]{2,}(?![^\x20\x09-\x0D])"
+# A run is taken from its start and as a whole, so that a long one is read once.
+MARKED = r"(?<![#*$%&|<>!?])[#*$%&|<>!?]{2,}+(?![^\x20\x09-\x0D])"
 ENDS = r"""[.!?:;…。！？]["'”’»)\]]*[\x20\x09-\x0D]*$"""
 
 
@@ -144,14 +145,15 @@ def judged(docs: DataFrame, text: str = "text") -> DataFrame:
 def cleaned(docs: DataFrame) -> DataFrame:
     """Documents that the rules keep, without the lines that fail; blank lines stay.
 
-    ``n_chars``, where present, is counted again.
+    ``n_chars``, where present, is counted again. Other columns keep their values, whatever their names.
     """
+    whole = docs.select("text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_input"))
     # The row number keeps the filter above the measures. Pushed below, it would repeat each of
     # them inside the next, which takes the optimizer forever.
-    kept = judged(docs).withColumn("_row", F.monotonically_increasing_id()).where("kept and _row >= 0")
+    kept = judged(whole).withColumn("_row", F.monotonically_increasing_id()).where("kept and _row >= 0")
     good = F.filter(F.split("_body", "\n"), lambda x: ~x.rlike(WORD) | line_passes(x))
     text = F.array_join(good, "\n")
-    columns = [text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns]
+    columns = [(text if c == "text" else F.col(f"_input.`{c}`")).alias(c) for c in docs.columns]
     out = kept.select(*columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 

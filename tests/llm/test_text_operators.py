@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -72,6 +73,33 @@ def plain_secrets(text):
     return sorted(found, key=lambda s: (s[1], secrets.BASE_KINDS.index(s[0])))
 
 
+def test_long_runs_of_signs_are_read_once(spark):
+    """One line each: signs that end in a letter, signs alone, spaces, and signs of navigation."""
+    n = 500_000
+    lines = ["#" * n + "x", "!" * n, " " * n + "x", "|" * n + "x", "." * n + "x", "#x" * n, "# " * n]
+    started = time.perf_counter()
+    found = quality.judged(documents(spark, lines)).select("doc_id", "n_words", "n_symbols").orderBy("doc_id").collect()
+    assert time.perf_counter() - started < 30
+    assert [r.n_words for r in found] == [1, 1, 1, 1, 1, 1, n]
+    assert [r.n_symbols for r in found] == [n, 0, 0, n, 0, n, n]
+
+
+def test_marked_words_are_counted_as_before(spark):
+    pick = random.Random(8)
+    texts = ["".join(pick.choice("#!?ax \t.") for _ in range(pick.randrange(40))) for _ in range(300)]
+    frame = spark.createDataFrame([(t,) for t in texts], "t string")
+    before = r"[#*$%&|<>!?]{2,}(?![^\x20\x09-\x0D])"
+    differ = F.regexp_count("t", F.lit(before)) != F.regexp_count("t", F.lit(quality.MARKED))
+    assert frame.where(differ).count() == 0
+
+
+def test_columns_named_like_measures_stay(spark):
+    prose = "\n".join(" ".join(f"word{i}x{k}" for k in range(9)) + "." for i in range(8))
+    docs = documents(spark, [prose]).withColumn("kept", F.lit("mine")).withColumn("n_words", F.lit(7)).withColumn("_lost", F.lit(1))
+    row = quality.cleaned(docs).first()
+    assert (row["kept"], row["n_words"], row["_lost"], row["text"]) == ("mine", 7, 1, prose)
+
+
 def test_one_automaton_finds_what_expressions_find():
     rules = secrets.BASE + secrets.MORE
     scanner = secrets.scanner_of(rules)
@@ -150,6 +178,17 @@ def people(n, rng):
     return texts
 
 
+def test_a_million_digits_are_read_once():
+    started = time.perf_counter()
+    for text in ("1" * 1_000_000, "1" * 1_000_000 + ".1.1.1", "1." * 500_000, "1 " * 500_000, "+" * 1_000_000, "a@" * 300_000):
+        pii.base_spans(text)
+    assert time.perf_counter() - started < 30
+    pick = random.Random(3)
+    for _ in range(20_000):
+        text = "".join(pick.choice("12.. x") for _ in range(pick.randrange(24)))
+        assert [m.span() for m in pii.IP.finditer(text)] == [m.span() for m in re.finditer(r"[0-9]+(\.[0-9]+){3}", text)]
+
+
 def test_the_field_carries_labels_to_repeated_tokens(spark):
     texts = people(300, random.Random(3))
     weights = pii.train(documents(spark, texts))
