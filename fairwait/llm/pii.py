@@ -34,7 +34,8 @@ SURE = 0.9
 # Fixed by the contract.
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-IP = re.compile(r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
+# Runs of digits are taken whole and from their start, so that a long one is read once.
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]+")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
