@@ -100,6 +100,22 @@ def test_reading_and_folding_shuffle_nothing(spark, tmp_path, monkeypatch):
     assert "Bucketed: true" in plans[0]
 
 
+def test_a_hot_key_is_reduced_before_the_shuffle(spark, tmp_path, monkeypatch):
+    log, plans, write = str(tmp_path / "log"), [], levels.write_run
+
+    def noted(frame, *args):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        write(frame, *args)
+
+    monkeypatch.setattr(levels, "write_run", noted)
+    rows = [("hot" if i % 3 else f"k{i}", i % 7, "x") for i in range(300)]
+    levels.append_run(spark, log, versions(spark, rows), ORDER, "s", 0, buckets=5)
+    assert re.search(r"WindowGroupLimit.*Final.*Exchange hashpartitioning\(k#\d+, 5\).*WindowGroupLimit.*Partial", plans[0], re.S)
+    files = [f.name for f in (tmp_path / "log").rglob("*.parquet")]
+    assert len(files) <= 5 and len({f.split("_")[-1] for f in files}) == len(files)
+    assert {tuple(r) for r in levels.current(spark, log, ORDER).collect()} == plain(rows)
+
+
 def test_a_writer_that_ends_before_its_commit_leaves_the_log(spark, tmp_path, monkeypatch):
     log, (first, second) = str(tmp_path / "log"), dealt(3, 2, 30, 20)
     levels.append_run(spark, log, versions(spark, first), ORDER, "s", 0, buckets=2)
