@@ -1,7 +1,7 @@
 """Phrase mining over sorted count streams, in the layout of external language-model estimation.
 
 Every word starts one gram: itself and up to two words after it in its piece. Grams are counted in
-blocks, then range-partitioned and sorted, which is the prefix order: all grams that begin with the same
+blocks, then dealt by ranges and sorted, which is the prefix order: all grams that begin with the same
 words are neighbours. One pass over that stream in lockstep on its first one, two and three words counts
 words, pairs and triples at once. What reaches the threshold is kept in prefix order and, with its words
 turned, in suffix order; sorted streams are then merged for the counts of left parts, right parts
@@ -10,11 +10,13 @@ and longer phrases. No table of counts is held in memory, in tasks or in the dri
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
-from itertools import repeat
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,48 +27,85 @@ LEAST = 10
 TOP = 2000
 INSIDE_PERCENT = 50
 SCALE = 1_000_000
-BLOCK_GRAMS = 400_000  # distinct grams that a task counts before it hands them on
+BLOCK_WORDS = 1_000_000  # words whose grams a task counts before it hands them on
+SAMPLE_BYTES = 8 << 20  # text from which the ranges are taken
 
 # Fixed by the contract: what ends a piece.
 ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 TO_LINES = bytes.maketrans(ENDS, b"\n" * len(ENDS))
-MARK = b"\xff"  # between lang and gram; no byte of UTF-8
-
-
-def grams_of(text: bytes) -> Iterator[bytes]:
-    """Per word the gram that it starts: its piece's next three words or fewer, each with a space after it."""
-    for piece in text.lower().translate(TO_LINES).split(b"\n"):
-        words = piece.split()
-        if words:
-            yield from map(b" ".join, zip(words, words[1:], words[2:], repeat(b"")))
-            if len(words) > 1:
-                yield b" ".join((*words[-2:], b""))
-            yield words[-1] + b" "
-
-
-def gram_blocks(docs: DataFrame, block_grams: int = BLOCK_GRAMS) -> DataFrame:
-    """(key, n) from ``docs`` (lang, text): grams counted per block; the key leads with the lang."""
-
+# No byte of UTF-8: after the lang, and where a piece ends; a space within the lang.
+MARK, SPACE_IN_LANG = b"\xff", b"\xfe"
+
+
+def spaced(text: bytes) -> tuple[bytes, int]:
+    """The words of a text, each with a space after it, and two more spaces, two empty words, wherever a piece ends; and
+    how many words and marks there are."""
+    tokens = text.lower().translate(TO_LINES).replace(b"\n", b" " + MARK + b" ").split()
+    return b" ".join(tokens).replace(MARK, b" ") + b"   ", len(tokens)
+
+
+def grams_of(data: bytes) -> pa.StructArray:
+    """(values, counts) of the grams in ``data``: from each word on, three words with the space after each. Words
+    beyond the end of a piece are empty ones."""
+    text = np.frombuffer(data, np.uint8)
+    spaces = np.flatnonzero(text == 32)
+    starts = np.r_[0, spaces[:-1] + 1]
+    words = np.flatnonzero(spaces > starts)  # the last ones are empty, so each word has two after it
+    begin, end = starts[words], spaces[words + 2] + 1
+    offsets = np.zeros(len(words) + 1, np.int32)
+    np.cumsum(end - begin, out=offsets[1:])
+    at = np.arange(offsets[-1], dtype=np.int32) + np.repeat((begin - offsets[:-1]).astype(np.int32), end - begin)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(text[at])]
+    return pc.value_counts(pa.Array.from_buffers(pa.binary(), len(words), buffers))
+
+
+def gram_blocks(docs: DataFrame, bounds: Sequence[bytes] = (), block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(part, key, n) from ``docs`` (lang, text): grams counted per block, with the range of ``bounds`` they are in."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def handed_on() -> Iterator[pa.RecordBatch]:
-            for lang, counts in held.items():
-                keys, n = list(counts), list(counts.values())
+            for lang, texts in held.items():
+                counted = grams_of(b"".join(texts))
+                # Sorted runs are half of the sort that follows.
+                counted = counted.take(pc.array_sort_indices(counted.field("values")))
+                lead, none = pa.scalar(lang + MARK, pa.binary()), pa.scalar(b"", pa.binary())
+                keys = pc.binary_join_element_wise(lead, counted.field("values"), none)
+                cuts = [bisect_left(range(len(keys)), cut, key=lambda k: keys[k].as_py()) for cut in bounds]  # noqa: B023
+                parts = np.repeat(np.arange(len(bounds) + 1, dtype=np.int32), np.diff([0, *cuts, len(keys)]))
+                whole = pa.RecordBatch.from_arrays([pa.array(parts), keys, counted.field("counts")], names=["part", "key", "n"])
                 for k in range(0, len(keys), 50_000):
-                    named = pa.array([lang + MARK + key for key in keys[k : k + 50_000]], pa.binary())
-                    yield pa.RecordBatch.from_arrays([named, pa.array(n[k : k + 50_000], pa.int64())], names=["key", "n"])
+                    yield whole.slice(k, 50_000)
             held.clear()
 
-        held: dict[bytes, Counter] = {}
+        held: dict[bytes, list[bytes]] = {}
+        words = 0
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
-                counts = held.setdefault(lang.as_py(), Counter())
-                counts.update(grams_of(text.as_py() or b""))
-                if sum(map(len, held.values())) >= block_grams:
+                data, n = spaced(text.as_py() or b"")
+                held.setdefault(lang.as_py().replace(b" ", SPACE_IN_LANG), []).append(data)
+                words += n
+                if words >= block_words:
                     yield from handed_on()
+                    words = 0
         yield from handed_on()
 
     lang = F.coalesce("lang", F.lit("und")).cast("binary").alias("lang")
-    return docs.select(lang, F.col("text").cast("binary").alias("text")).mapInArrow(count, "key binary, n long")
+    texts = docs.select(lang, F.col("text").cast("binary").alias("text"))
+    return texts.mapInArrow(count, "part int, key binary, n long")
+
+
+def ranges(docs: DataFrame, parts: int, size: int | None) -> list[bytes]:
+    """At most ``parts`` - 1 keys between which there are about as many grams each, from a sample of texts by their hash.
+
+    They only say which task a gram goes to. The driver gets these keys alone.
+    """
+    if parts == 1:
+        return []
+    share = max(1, (size or 0) // SAMPLE_BYTES)
+    sample = docs.where(F.pmod(F.xxhash64("text"), F.lit(share)) == 0)
+    grams = gram_blocks(sample).select("key").sample(min(1.0, 200 * parts * share / max(size, 1)), seed=1)
+    tile = F.ntile(parts).over(Window.orderBy("key"))
+    firsts = grams.withColumn("tile", tile).groupBy("tile").agg(F.min("key").alias("key"))
+    return sorted({bytes(row["key"]) for row in firsts.where("tile > 1").collect()})
 
 
 def prefix_counts(sorted_grams: DataFrame, least: int) -> DataFrame:
@@ -77,66 +116,81 @@ def prefix_counts(sorted_grams: DataFrame, least: int) -> DataFrame:
     """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Depth by depth the open prefix, its count, and whether it began with the partition.
-        opened: list[list | None] = [None] * 4
-        out: list[tuple] = []
-
-        def close(depth: int, at_end: bool) -> None:
-            prefix, n, at_start = opened[depth]
-            if n >= least or at_start or at_end or depth == 0:
-                lang, _, gram = prefix.rpartition(MARK)
-                out.append((lang, gram[:-1], depth, n))
-            opened[depth] = None
-
+        totals: Counter = Counter()
+        opened: list[tuple[bytes, int, bool] | None] = [None] * 3  # prefix, count, whether the partition began with it
         first = True
         for batch in batches:
-            for key, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                mark = key.rindex(MARK) + 1
-                ends, at = [mark], mark
-                while len(ends) < 4 and (at := key.find(b" ", at) + 1):
-                    ends.append(at)
-                same = True
-                for depth in range(4):
-                    now = opened[depth]
-                    if same and depth < len(ends) and now is not None and key.startswith(now[0]) and len(now[0]) == ends[depth]:
-                        now[1] += n
-                        continue
-                    if same:  # what is open from here on has ended
-                        for deeper in range(3, depth - 1, -1):
-                            if opened[deeper] is not None:
-                                close(deeper, False)
-                        same = False
-                    if depth < len(ends):
-                        opened[depth] = [key[: ends[depth]], n, first]
-                first = False
-            if len(out) >= 10_000:
-                yield written(out)
-                out.clear()
-        for depth in range(3, -1, -1):
-            if opened[depth] is not None:
-                close(depth, True)
-        yield written(out)
-
-    def written(rows: list[tuple]) -> pa.RecordBatch:
-        columns = zip(*rows) if rows else [[]] * 4
+            if not batch.num_rows:
+                continue
+            rows, n = batch.num_rows, batch.column(1).to_numpy()
+            fields = pc.split_pattern(batch.column(0), pattern=b" ").flatten()
+            words = [fields.take(pa.array(np.arange(k, 4 * rows, 4))) for k in range(3)]  # the first one with its lang
+            out: list[tuple[bytes, int, int]] = []
+            begins = np.zeros(rows, bool)
+            begins[0] = True
+            for depth, word in enumerate(words):
+                if rows > 1:
+                    begins[1:] |= pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)
+                starts = np.flatnonzero(begins)
+                sums = np.add.reduceat(n, starts)
+
+                def prefix(at: int, depth: int = depth) -> bytes:
+                    return b" ".join(w[at].as_py() for w in words[: depth + 1])
+
+                # The first run may go on with the one that was open, and the last one stays open.
+                head, found = prefix(0), opened[depth]
+                at_start = first
+                count = int(sums[0])
+                if found is not None:
+                    if found[0] == head:
+                        count, at_start = count + found[1], found[2]
+                    elif found[1] >= least or found[2]:
+                        out.append((found[0], depth + 1, found[1]))
+                if len(starts) == 1:
+                    opened[depth] = (head, count, at_start)
+                else:
+                    if count >= least or at_start:
+                        out.append((head, depth + 1, count))
+                    for k in np.flatnonzero(sums[1:-1] >= least) + 1:
+                        out.append((prefix(int(starts[k])), depth + 1, int(sums[k])))
+                    opened[depth] = (prefix(int(starts[-1])), int(sums[-1]), False)
+                if depth == 0:
+                    langs = [words[0][int(at)].as_py().partition(MARK)[0] for at in (starts[0], starts[-1])]
+                    if langs[0] == langs[1]:
+                        totals[langs[0]] += int(n.sum())
+                    else:
+                        for at, s in zip(starts, sums):
+                            totals[words[0][int(at)].as_py().partition(MARK)[0]] += int(s)
+            first = False
+            yield written(out)
+        ends = [(found[0], depth + 1, found[1]) for depth, found in enumerate(opened) if found is not None]
+        yield written(ends + [(lang + MARK, 0, n) for lang, n in totals.items()])
+
+    def written(rows: list[tuple[bytes, int, int]]) -> pa.RecordBatch:
+        # A prefix that ends in a space has an empty word: its piece ended before.
+        split = [
+            (*prefix.replace(SPACE_IN_LANG, b" ").split(MARK), words, n) for prefix, words, n in rows if not prefix.endswith(b" ")
+        ]
+        columns = zip(*split) if split else [[]] * 4
         arrays = [pa.array(c, t) for c, t in zip(columns, [pa.binary(), pa.binary(), pa.int32(), pa.int64()])]
         return pa.RecordBatch.from_arrays(arrays, names=["lang", "phrase", "words", "n"])
 
-    return sorted_grams.mapInArrow(merge, "lang binary, phrase binary, words int, n long")
+    return sorted_grams.select("key", "n").mapInArrow(merge, "lang binary, phrase binary, words int, n long")
 
 
-def counts(docs: DataFrame, least: int = LEAST, block_grams: int = BLOCK_GRAMS) -> DataFrame:
-    """(lang, w, words, n): words, pairs and triples that occur ``least`` times or more, ``w`` an array of binary, and
+def counts(docs: DataFrame, least: int = LEAST, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """(lang, phrase, words, n): words, pairs and triples that occur ``least`` times or more, as binary, and
     per lang one row with no words that counts all."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
-    grams = gram_blocks(docs, block_grams)
-    prefix_order = grams.repartitionByRange(parts_for(size), "key").sortWithinPartitions("key")
-    partial = staged(prefix_counts(prefix_order, least), "prefixes")
-    whole = partial.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
+    bounds = ranges(docs, parts_for(size), size)
+    grams = gram_blocks(docs, bounds, block_words)
+    prefix_order = grams.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("key")
+    partial_counts = staged(prefix_counts(prefix_order, least), "prefixes")
+    whole = partial_counts.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
     return whole.where((F.col("n") >= least) | (F.col("words") == 0))
 
 
-def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside_percent: int = INSIDE_PERCENT, block_grams: int = BLOCK_GRAMS) -> DataFrame:
+def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside_percent: int = INSIDE_PERCENT, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Per lang the ``top`` phrases of two or three words of ``docs`` (lang, text): lang, rank, phrase, a, l, r, n, score.
 
     * A to Z are lower-cased; pieces end at ``ENDS`` and line ends, words at space and tab. ``a`` counts a phrase within pieces,
@@ -148,7 +202,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, inside_per
     * NULL, empty and blank texts have no words; a NULL lang counts as ``und``. Repeated rows count as often as they
       occur. A lang without candidates has no row, nor has an empty table. Other columns are not read, whatever their names.
     """
-    found = staged(counts(docs, least, block_grams).withColumn("phrase", F.col("phrase").cast("string")), "counts")
+    found = staged(counts(docs, least, block_words).withColumn("phrase", F.col("phrase").cast("string")), "counts")
     of = lambda k: found.where(F.col("words") == k)
     word = lambda k: F.split_part("phrase", F.lit(" "), F.lit(k))
     # Prefix order: by lang, first words, last word. Suffix order: by lang, last words, first word.

@@ -213,14 +213,14 @@ def chatter(seed, n=80):
     for _ in range(n):
         parts = [pick.choice(["new york city", "New York", "a b", pick.choice(words), pick.choice(words)]) for _ in range(12)]
         texts.append("".join(p + pick.choice([" ", " ", "\t", "  ", ".", "!\n", "\v"]) for p in parts))
-    return [(pick.choice(["en", "en", "de", None, "und", "e\nn", "en\n"]), t) for t in texts] + [("en", None), (None, ""), ("fr", " . ")]
+    return [(pick.choice(["en", "en", "de", None, "und", "e\nn", "en\n", "e n", ""]), t) for t in texts] + [("en", None), (None, ""), ("fr", " . ")]
 
 
 @pytest.mark.parametrize("least, top, block", [(10, 2000, 400_000), (2, 7, 5), (1, 2000, 40)])
 def test_collocations_as_by_brute_force(spark, least, top, block):
     rows = chatter(least)
     docs = spark.createDataFrame(rows, "lang string, text string").withColumn("n", F.lit("mine")).repartition(3)
-    found = collocations.collocations(docs, least, top, block_grams=block)
+    found = collocations.collocations(docs, least, top, block_words=block)
     assert {tuple(r) for r in found.collect()} == plain_collocations(rows, least, top)
     assert found.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
 
@@ -229,7 +229,8 @@ def test_prefixes_that_partitions_cut(spark):
     """One word begins nearly all grams, and its grams lie in many partitions."""
     text = " ".join(f"the k{i % 50} the" for i in range(600))
     docs = spark.createDataFrame([("en", text)] * 3, "lang string, text string")
-    grams = collocations.gram_blocks(docs).repartitionByRange(7, "key").sortWithinPartitions("key")
+    cuts = [b"en\xffthe k1 ", b"en\xffthe k2 the ", b"en\xffthe k3 ", b"en\xffthe k30"]
+    grams = collocations.gram_blocks(docs, cuts).repartitionById(5, "part").sortWithinPartitions("key")
     found = collocations.prefix_counts(grams, 10).groupBy("phrase", "words").agg(F.sum("n").alias("n"))
     counts = {(bytes(r.phrase), r.words): r.n for r in found.collect()}
     assert counts[(b"the", 1)] == 3600 and counts[(b"", 0)] == 5400 and counts[(b"the the", 2)] == 3 * 599
