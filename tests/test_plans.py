@@ -19,7 +19,9 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables
 @pytest.fixture(autouse=True, scope="module")
 def nothing_is_small(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # whole paths
     yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
