@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from fairwait.llm.common import components, in_pieces, runs, staged, table
+from fairwait.llm.common import components, in_pieces, staged, table
 
 WORDS = 5
 # 100 * intersection >= 80 * union, in terms of the two sizes: 9 * intersection >= 4 * (a + b).
@@ -316,6 +316,29 @@ def bounded(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def cell_runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[dict[str, list]]:
+    """Groups of consecutive rows with equal ``keys``, across batches, as ``runs`` gives them; lists stay arrays."""
+    rest: dict[str, list] = {}
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = {}
+        for name, column in zip(batch.schema.names, batch.columns):
+            if pa.types.is_list(column.type):
+                values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+                held = [values[start:end] for start, end in zip(ends.tolist(), ends[1:].tolist())]
+            else:
+                held = column.to_pylist()
+            columns[name] = rest.get(name, []) + held
+        rows = list(zip(*[columns[k] for k in keys]))
+        bounds = [0] + [i for i in range(1, len(rows)) if rows[i] != rows[i - 1]]
+        for start, end in zip(bounds, bounds[1:]):
+            yield {name: values[start:end] for name, values in columns.items()}
+        rest = {name: values[bounds[-1] :] for name, values in columns.items()}
+    if rest:
+        yield rest
+
+
 def across(cells: DataFrame, groups: DataFrame, sets: DataFrame, id_type: str, cell_rows: int) -> DataFrame:
     """Candidate pairs (src, dst) between different components within cells, by the tree.
 
@@ -348,29 +371,33 @@ def across(cells: DataFrame, groups: DataFrame, sets: DataFrame, id_type: str, c
     kind = to_arrow_type(cells.schema["id"].dataType)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in runs(batches, keys):
+        for rows in cell_runs(batches, keys):
             ids, component, piece, sizes = rows["id"], rows["component"], rows["piece"], rows["n"]
-            if len(ids) < 2 or len(set(component)) < 2:
+            if len(ids) < 2 or component.count(component[0]) == len(component):
                 continue
-            two = rows["low"][0] != rows["high"][0]
-            points = [np.frombuffer(p, np.uint8) for p in rows["point"]]
-            if len(ids) <= FEW:  # a leaf
+            two, cell, own = rows["low"][0] != rows["high"][0], rows["cell"][0], rows["own"]
+            few = len(ids) <= FEW  # a leaf
+            if few:
+                points = rows["point"]
                 order, near = range(len(ids)), lambda i: range(i + 1, len(ids))  # noqa: B023
             else:
+                points = [np.frombuffer(p, np.uint8) for p in rows["point"]]
                 tree = Tree(folded(points, TREE_GROUPS), np.array(sizes))
                 order, near = tree.order.tolist(), lambda i: tree.near(i).tolist()  # noqa: B023
-            pairs, cell = [], rows["cell"][0]
-            lower = [frozenset(x for x in own if x < cell) for own in rows["own"]]
+            pairs, lower = [], {}
             for i, a in enumerate(order):
                 for b in (order[k] for k in near(i)):
                     n, m = sizes[a], sizes[b]
-                    if (
-                        component[a] != component[b]
-                        and lower[a].isdisjoint(lower[b])
-                        and not (two and piece[a] == piece[b])
-                        and 9 * min(n, m) >= 4 * (n + m)
-                        and 9 * overlap(points[a], points[b]) >= 4 * (n + m)
-                    ):
+                    if component[a] == component[b] or 9 * min(n, m) < 4 * (n + m) or two and piece[a] == piece[b]:
+                        continue
+                    # What a row lists below this cell is made a set when a pair first asks for it.
+                    for k in (a, b):
+                        if k not in lower:
+                            lower[k] = set(own[k][own[k] < cell].tolist())
+                    if not lower[a].isdisjoint(lower[b]):
+                        continue
+                    p, q = (np.frombuffer(points[k], np.uint8) if few else points[k] for k in (a, b))
+                    if 9 * overlap(p, q) >= 4 * (n + m):
                         pairs.append((min(ids[a], ids[b]), max(ids[a], ids[b])))
             if pairs:
                 yield pa.RecordBatch.from_arrays(
