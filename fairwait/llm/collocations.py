@@ -20,8 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fairwait.llm.common import staged, table
-from fairwait.llm.repeated_windows import parts_for
+from fairwait.llm.common import parts_for, staged, table
 
 LEAST = 10
 TOP = 2000

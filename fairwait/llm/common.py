@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,6 +28,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def parts_for(size: int | None, each: int = 16 << 20, most: int = 20_000) -> int:
+    """Partitions for ``size`` bytes; beyond ``most`` they grow, and sort with spilling."""
+    return max(1, min(math.ceil((size or 0) / each), most))
+
+
+def width(spark: SparkSession, size: int | None) -> int:
+    """Partitions of a shuffle of ``size`` bytes: those of the session, and more where they would pass 64 MB each."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(size, 64 << 20))
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) for every node of ``edges`` (src, dst; any order, repeats allowed);
     the component is the smallest node reachable.

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from fairwait.llm.common import components, in_pieces, staged, table
+from fairwait.llm.common import components, in_pieces, staged, table, width
 
 WORDS = 5
 # 100 * intersection >= 80 * union, in terms of the two sizes: 9 * intersection >= 4 * (a + b).
@@ -258,7 +258,8 @@ def shared_cells(sets: DataFrame, id_type: str) -> DataFrame:
                 names=["cell", "first", "id"],
             )
 
-    parts = int(sets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    listings = sets.agg(F.sum(F.size("cells"))).first()[0]
+    parts = width(sets.sparkSession, 24 * (listings or 0))
     return (
         sets.select(F.explode("cells").alias("cell"), "id")
         .repartition(parts, "cell")
@@ -404,7 +405,8 @@ def across(cells: DataFrame, groups: DataFrame, sets: DataFrame, id_type: str, c
                     [pa.array([p[k] for p in pairs], kind) for k in (0, 1)], names=["src", "dst"]
                 )
 
-    parts = int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A row has its point and its own cells, about a kilobyte.
+    parts = width(cells.sparkSession, left.count() << 10)
     return (
         dealt.repartition(parts, *keys)
         .sortWithinPartitions(*keys)

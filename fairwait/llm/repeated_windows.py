@@ -11,7 +11,6 @@ their document.
 from __future__ import annotations
 
 import hashlib
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,13 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from fairwait.llm.common import staged, table
+from fairwait.llm.common import parts_for, staged, table
 from fairwait.operators.ranks import with_position
 
 WINDOW = 20
 BLOCK_WORDS = 750_000  # words that a task hashes at once
-PART_BYTES = 16 << 20  # text per partition of the sort
-MOST_PARTS = 20_000
 MARKS = 1 << 20  # bound on the rows that are broadcast to tell untouched documents
 
 # Odd multipliers of the two polynomials and their inverses, modulo 2^64. They are 3 modulo 8, so that
@@ -35,11 +32,6 @@ MULTIPLIERS = (0x9E3779B97F4A7C13, 0xC2B2AE3D27D4EB4B)
 INVERSES = tuple(pow(m, -1, 1 << 64) for m in MULTIPLIERS)
 
 
-def parts_for(size: int | None, each: int = PART_BYTES, most: int = MOST_PARTS) -> int:
-    """Partitions for ``size`` bytes; beyond ``most`` they grow, and sort with spilling."""
-    return max(1, min(math.ceil((size or 0) / each), most))
-
-
 def rolling(values: np.ndarray, family: int, window: int) -> np.ndarray:
     """The polynomial of each window: the sum of value[i + j] * m^j, modulo 2^64."""
     n = len(values)
