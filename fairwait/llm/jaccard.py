@@ -470,3 +470,34 @@ def grouped(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
 
 def op5_jaccard_join(spark, sf_dir):
     return grouped(table(spark, sf_dir, "documents"))
+
+
+OP5_SQL = r"""
+with recursive worded as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+), listed as (
+    select doc_id, unnest(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else [array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)] end) as shingle
+    from worded
+), shingles as (
+    select distinct doc_id, md5_number_lower(shingle) as shingle from listed
+), sizes as (
+    select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+    select a.doc_id as i, b.doc_id as j, count(*) as c
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id group by a.doc_id, b.doc_id
+), links as (
+    select i, j from shared join sizes a on a.doc_id = i join sizes b on b.doc_id = j where 100 * c >= 80 * (a.n + b.n - c)
+), edges as (
+    select i, j from links union all select j, i from links
+), reached as (
+    select doc_id as node, doc_id as seen from documents
+    union
+    select r.node, e.j from reached r join edges e on r.seen = e.i
+)
+select d.doc_id, coalesce(s.n, 0) as n_shingles, c.component_id
+from documents d left join sizes s on s.doc_id = d.doc_id
+join (select node, min(seen) as component_id from reached group by node) c on c.node = d.doc_id
+"""

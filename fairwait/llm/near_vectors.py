@@ -211,3 +211,26 @@ def linked(
 def op1_near_vectors(spark, sf_dir):
     found = linked(table(spark, sf_dir, "embeddings"))
     return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
+OP1_SQL = r"""
+with recursive vectors as (
+    select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings
+    where embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), units as (
+    select vec_id, list_transform(e, lambda x: x / sqrt(list_inner_product(e, e))) as u from vectors
+    where list_inner_product(e, e) > 0
+), links as (
+    select a.vec_id as i, b.vec_id as j from units a join units b on a.vec_id <> b.vec_id
+    where list_inner_product(a.u, b.u) >= 0.95
+), reached as (
+    select vec_id as node, vec_id as seen from embeddings
+    union
+    select r.node, l.j from reached r join links l on r.seen = l.i
+), components as (
+    select node, min(seen) as component_id from reached group by node
+)
+select e.vec_id, (select count(*) from links l where l.i = e.vec_id) as n_links, c.component_id, e.vec_id = c.component_id as kept
+from embeddings e join components c on c.node = e.vec_id
+"""

@@ -3,10 +3,10 @@
 from fairwait.llm.bpe import op3_byte_bpe
 from fairwait.llm.collocations import OP13_SQL, op13_collocations
 from fairwait.llm.extraction import op7_extract_main_text
-from fairwait.llm.jaccard import op5_jaccard_join
-from fairwait.llm.line_runs import op6_line_runs
+from fairwait.llm.jaccard import OP5_SQL, op5_jaccard_join
+from fairwait.llm.line_runs import OP6_SQL, op6_line_runs
 from fairwait.llm.mixing import OP4_SQL, op4_mix_sources
-from fairwait.llm.near_vectors import op1_near_vectors
+from fairwait.llm.near_vectors import OP1_SQL, op1_near_vectors
 from fairwait.llm.pii import op9_find_personal_data
 from fairwait.llm.quality import op10_quality_rules
 from fairwait.llm.repeated_windows import OP11_SQL, op11_repeated_windows
@@ -29,4 +29,11 @@ REGISTRY = {
     "op12_importance_resampling": op12_importance_resampling,
     "op13_collocations": op13_collocations,
 }
-ORACLE = {"op4_mix_sources": OP4_SQL, "op11_repeated_windows": OP11_SQL, "op13_collocations": OP13_SQL}
+ORACLE = {
+    "op1_near_vectors": OP1_SQL,
+    "op4_mix_sources": OP4_SQL,
+    "op5_jaccard_join": OP5_SQL,
+    "op6_line_runs": OP6_SQL,
+    "op11_repeated_windows": OP11_SQL,
+    "op13_collocations": OP13_SQL,
+}

@@ -267,6 +267,8 @@ def test_registered_queries_read_whole_tables(spark):
     count = lambda name: spark.read.parquet(f"{SMALL}/{name}.parquet").count()
     tables = {"op1": "embeddings", "op7": "pages"}
     for name, query in queries.REGISTRY.items():
+        if name.startswith("op13"):  # a row per phrase
+            continue
         assert query(spark, SMALL).count() == count(tables.get(name.split("_")[0], "documents")), name
 
 

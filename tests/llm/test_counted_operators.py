@@ -246,7 +246,7 @@ def test_no_documents_no_collocations(spark):
     assert collocations.collocations(awkward(spark), least=1).where("lang = 'en'").count() > 0
 
 
-@pytest.mark.parametrize("name", ["op11_repeated_windows", "op13_collocations"])
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_registered_query_and_sql(spark, name):
     with compare.connect(SF_DIR) as con:
         assert compare.differences(queries.REGISTRY[name](spark, SF_DIR), con, queries.ORACLE[name]) == []
