@@ -3,7 +3,8 @@
 The fingerprint of a set of rows is the sum of two 64-bit hashes of each row, 128 bits that neither depend on the order of
 rows nor lose repeated ones. Rows of the second table count negative, so equal sets sum to zero and a single
 aggregation compares both tables. Only groups that do not are looked at again, cut finer by a hash of the
-key, until so few rows are left that they can be compared whole.
+key, until so few rows are left that they can be compared whole, or until cutting tells no more apart: where differences are
+everywhere, rows meet by key as their two hashes, in the only shuffle of rows.
 """
 
 from __future__ import annotations
@@ -67,13 +68,15 @@ def differing_rows(
 
     ``by`` are columns to compare by first, such as those a table is partitioned by: later steps read differing ones alone. A key that moved
     from one partition to another differs in both, and is a changed one. Repeated rows count as often as they occur.
-    Each step is one pass over what still differs.
+    Each step is one pass over what still differs, and shuffles one row per task and group. Steps end as soon as a cut leaves
+    more than half of the rows in groups that differ, or finds more groups than can be broadcast; so no step shuffles
+    rows, and what is left is counted by key and both hashes of a row.
     """
     spark, columns = source.sparkSession, source.columns
     rows = signed(source, target)
     base = {f"_by{i}": F.col(f"`{c}`") for i, c in enumerate(by)}
     cut = F.xxhash64(F.lit(3), *[F.col(f"`{c}`") for c in key])
-    depth, groups = 0, base
+    depth, groups, before = 0, base, None
     left = rows
     while True:
         path = shared_path(spark, "differences")
@@ -81,19 +84,24 @@ def differing_rows(
         found = spark.read.parquet(path)
         n = found.agg(F.sum(F.col("source_rows") + F.col("target_rows"))).first()[0] or 0
         names = list(groups)
+        labels = found.select(*names)
+        if names and not fits_broadcast(labels):
+            break
         if names:
-            labels = found.select(*names)
-            side = F.broadcast(labels) if fits_broadcast(labels) else labels.hint("merge")
-            tagged = left.withColumns(groups)
+            tagged, side = left.withColumns(groups), F.broadcast(labels)
             same = [tagged[name].eqNullSafe(side[name]) for name in names]
             left = tagged.join(side, same, "left_semi").drop(*names)
-        if n <= exact_rows or depth >= MOST_BITS:
+        if n <= exact_rows or depth >= MOST_BITS or depth and 2 * n > before:
             break
-        depth += bits
+        depth, before = depth + bits, n
         groups = {**base, "_cut": F.shiftrightunsigned(cut, 64 - depth)}
-    whole = left.groupBy(*[F.col(f"`{c}`") for c in columns]).agg(F.sum("_sign").alias("_sign")).where("_sign <> 0")
-    keys = whole.groupBy(*[F.col(f"`{c}`") for c in key]).agg(
+    by_key, told_by = [F.col(f"`{c}`") for c in key], [F.col(f"`{c}`") for c in columns]
+    if n > exact_rows:
+        told_by = [*by_key, F.col("_row1"), F.col("_row2")]
+        left = left.select(*by_key, *[row_hash(columns, seed).alias(f"_row{seed}") for seed in (1, 2)], "_sign")
+    whole = left.groupBy(*told_by).agg(F.sum("_sign").alias("_sign")).where("_sign <> 0")
+    keys = whole.groupBy(*by_key).agg(
         F.sum(F.greatest("_sign", F.lit(0))).alias("source_rows"), F.sum(F.greatest(-F.col("_sign"), F.lit(0))).alias("target_rows")
     )
     change = F.when(F.col("target_rows") == 0, "missing").when(F.col("source_rows") == 0, "additional").otherwise("changed")
-    return keys.select(*[F.col(f"`{c}`") for c in key], change.alias("change"), "source_rows", "target_rows")
+    return keys.select(*by_key, change.alias("change"), "source_rows", "target_rows")

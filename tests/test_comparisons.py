@@ -46,6 +46,22 @@ def test_rows_that_differ(spark, by, bits, exact):
     assert {tuple(r) for r in found.collect()} == plain_differences(left, right)
 
 
+def test_differences_everywhere_shuffle_rows_once_and_as_hashes(spark, monkeypatch):
+    rows = [(f"k{i}", i % 3, float(i), "x" * (i % 5)) for i in range(4000)]
+    source = spark.createDataFrame(rows, SCHEMA)
+    target = source.withColumn("w", F.when(F.col("v") % 2 == 0, F.lit("y")).otherwise(F.col("w")))
+    steps, one = [], fingerprints.differing_groups
+    monkeypatch.setattr(fingerprints, "differing_groups", lambda *given: steps.append(given) or one(*given))
+    found = fingerprints.differing_rows(source, target, ["k"], ["p"], bits=4, exact_rows=100)
+    assert len(steps) == 2  # months, and a cut that tells no more
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if " Exchange " in line]
+    assert plan.count("SortMergeJoin") == 0 and len(shuffles) == 2 and not any("hashpartitioning(w" in line for line in shuffles)
+    assert {(r["k"], r["change"], r["source_rows"], r["target_rows"]) for r in found.collect()} == {
+        (f"k{i}", "changed", 1, 1) for i in range(0, 4000, 2)
+    }
+
+
 def test_equal_tables_and_a_null_that_moved(spark):
     rows = rows_of(3)
     one = spark.createDataFrame(rows, SCHEMA)
