@@ -1,6 +1,7 @@
 """Landing a window from a paged service so that a repeated job fetches only what is missing.
 
-Slices are fetched in waves. What a wave completes is written beside the last landing and noted in a ledger: bounds,
+Slices are fetched in waves, which double in length up to a number of records, so that a large job is not
+very many small waves. What a wave completes is written beside the last landing and noted in a ledger: bounds,
 number of records and checksum per slice. When the ledger covers the window, one commit makes its slices the
 window's state; until then readers see the last landing. A job that is repeated goes on with the ledger
 of the one before, as far as the service still counts the same.
@@ -20,10 +21,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairwait.sources import snapshots
-from fairwait.sources.pages import AT_ONCE, PAGE_SIZE, Count, Fetch, Slice, planned, read_slices, registered
+from fairwait.sources.pages import AT_ONCE, PAGE_SIZE, SLICE_PAGES, Count, Fetch, Slice, planned, read_slices, registered
 from fairwait.sources.snapshots import PREFIX, Folder
 
 LEDGER = "_ledger"
+ROWS_IN_TURN = 500_000  # records that a task of a wave fetches, sorts and writes, in one slice or several
 
 
 class LandingIncomplete(RuntimeError):
@@ -94,8 +96,9 @@ def land_slices(
 ) -> int:
     """Land ``start <= on < end`` as the new state of ``target``; returns the number of records.
 
-    A wave is ``at_once`` slices, so no more calls than that reach the service together. A slice that fails does not undo
-    the others of its wave; ``LandingIncomplete`` is raised after it, and ``target`` stays as it was.
+    A wave is ``at_once`` tasks, so no more calls than that reach the service together. A task of the first wave fetches one
+    slice, and where the service counts, tasks of each further wave twice as many, up to ``ROWS_IN_TURN``. A slice that fails does
+    not undo the others of its wave; ``LandingIncomplete`` is raised after it, and ``target`` stays as it was.
     """
     folder = Folder(spark, target)
     number, name = snapshots.begin(spark, target)
@@ -104,10 +107,12 @@ def land_slices(
     entries = still_true(read_ledger(folder, name), count, on, at_once)
     slices = [s for low, high in gaps(start, end, entries) for s in planned(low, high, on, slice_hours, size, count, at_once)]
     source, tries = registered(spark, fetch, count), attempts(spark)
-    for first in range(0, len(slices), at_once):
+    first, in_turn = 0, 1
+    most = 1 if count is None else max(1, ROWS_IN_TURN // (size * SLICE_PAGES))
+    while first < len(slices):
         wave = f"wave-{uuid.uuid4().hex[:12]}"
-        asked = slices[first : first + at_once]
-        fetched = read_slices(spark, source, asked, on, size, report=tries)
+        asked = slices[first : first + at_once * in_turn]
+        fetched = read_slices(spark, source, asked, on, size, report=tries, tasks=at_once)
         fetched.write.partitionBy("slice", "kind").text(folder.at(f"{name}/{wave}"))
         told = spark.read.text(folder.at(f"{name}/{wave}")).where("kind <> 'data'").collect()
         said = {row["slice"]: json.loads(row["value"]) for row in told if row["kind"] == "done"}
@@ -123,6 +128,7 @@ def land_slices(
         if failed:
             left = len(slices) - first - len(asked) + len(failed)
             raise LandingIncomplete(f"{left} of {len(slices)} slices left to fetch: {failed[0]}")
+        first, in_turn = first + len(asked), min(2 * in_turn, most)
     rows = sum(entry.rows for entry in entries)
     notes = [[f"{name}/{e.path}", e.rows, e.checksum] for e in entries if e.rows]
     snapshots.commit(spark, target, number, [path for path, _, _ in notes], rows=rows, slices=notes)

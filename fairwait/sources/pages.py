@@ -129,16 +129,18 @@ def slice_pages(fetch: Fetch, part: Slice, on: str, size: int) -> Iterator[list[
 
 
 class PagePartition(InputPartition):
-    def __init__(self, number: int, part: Slice):
+    """Slices, with their numbers, that one task walks through one after the other."""
+
+    def __init__(self, number: int, parts: Sequence[tuple[int, Slice]]):
         super().__init__(number)
-        self.number, self.part = number, part
+        self.parts = parts
 
 
 class PageReader(DataSourceReader):
-    """One task per slice.
+    """One task per slice; with the option ``tasks`` that many tasks, which are dealt the slices in turn.
 
-    With the option ``report`` a task ends with a row that says how many records it found and their checksum, or why it
-    failed; it fails as a task only as long as Spark has attempts left. Such rows let the other tasks' work count.
+    With the option ``report`` a slice ends with a row that says how many records it found and their checksum, or why it
+    failed; it fails as a task only as long as Spark has attempts left. Such rows let the other slices' work count.
     """
 
     def __init__(self, source: PageSource):
@@ -148,7 +150,8 @@ class PageReader(DataSourceReader):
     def partitions(self) -> Sequence[InputPartition]:
         chosen = self.options.get("slices")
         parts = [Slice(**s) for s in json.loads(chosen)] if chosen else self.planned()
-        return [PagePartition(number, part) for number, part in enumerate(parts)]
+        tasks = int(self.options.get("tasks", 0)) or len(parts)
+        return [PagePartition(k, list(enumerate(parts))[k::tasks]) for k in range(min(tasks, len(parts)))]
 
     def planned(self) -> list[Slice]:
         o, (_, count) = self.options, self.calls(self.options)
@@ -156,6 +159,10 @@ class PageReader(DataSourceReader):
         return halved(count, on, o["start"], o["end"], size * int(o.get("slice_pages", SLICE_PAGES)))
 
     def read(self, partition: PagePartition) -> Iterator[pa.RecordBatch]:
+        for number, part in partition.parts:
+            yield from self.read_slice(number, part)
+
+    def read_slice(self, number: int, part: Slice) -> Iterator[pa.RecordBatch]:
         fetch, count = self.calls(self.options)
         on, size = self.options.get("on", "created_date"), int(self.options.get("size", PAGE_SIZE))
         reports = int(self.options.get("report", 0))
@@ -165,16 +172,15 @@ class PageReader(DataSourceReader):
             columns = [pa.array(lines, pa.string())]
             if reports:
                 n = len(lines)
-                columns += [pa.array([partition.number] * n, pa.int32()), pa.array([kind] * n, pa.string())]
+                columns += [pa.array([number] * n, pa.int32()), pa.array([kind] * n, pa.string())]
             return pa.RecordBatch.from_arrays(columns, names=["value", "slice", "kind"][: len(columns)])
 
         try:
-            for page in slice_pages(fetch, partition.part, on, size):
+            for page in slice_pages(fetch, part, on, size):
                 lines = [json.dumps(record) for record in page]
                 found += len(lines)
                 checksum += sum(crc32(line.encode()) for line in lines)
                 yield batch("data", lines)
-            part = partition.part
             # A part of an instant has its own number; any other slice is counted once more.
             within = part.rows is not None and datetime.fromisoformat(part.high) - datetime.fromisoformat(part.low) <= SHORTEST
             expected = part.rows if count is None or within else count(part.condition(on))
@@ -218,11 +224,11 @@ def registered(spark: SparkSession, fetch: Fetch, count: Count | None) -> str:
 
 
 def read_slices(
-    spark: SparkSession, source: str, slices: Sequence[Slice], on: str, size: int, report: int = 0
+    spark: SparkSession, source: str, slices: Sequence[Slice], on: str, size: int, report: int = 0, tasks: int = 0
 ) -> DataFrame:
     asked = json.dumps([asdict(s) for s in slices])
     reader = spark.read.format(source).option("slices", asked).option("on", on).option("size", str(size))
-    return reader.option("report", str(report)).load()
+    return reader.option("report", str(report)).option("tasks", str(tasks)).load()
 
 
 def read_pages(

@@ -100,6 +100,15 @@ def test_other_slices_of_a_wave_count_though_one_fails(spark, tmp_path):
     assert numbers(spark, out) == sorted(r["sr_number"] for r in rows)
 
 
+def test_a_large_job_is_few_waves(spark, tmp_path, monkeypatch):
+    rows, out, waves, read = records(300), str(tmp_path / "bronze"), [], landing.read_slices
+    monkeypatch.setattr(landing, "read_slices", lambda *given, **more: waves.append(len(given[2])) or read(*given, **more))
+    monkeypatch.setattr(landing, "ROWS_IN_TURN", 32)
+    assert land_pages(spark, service(rows), *DAYS, out, size=1, count=counting(rows), at_once=2) == 300
+    assert waves[:4] == [2, 4, 8, 16] and max(waves) == 16 and sum(waves) >= 75 and len(waves) < sum(waves) / 8
+    assert numbers(spark, out) == sorted(r["sr_number"] for r in rows)
+
+
 def test_slices_that_changed_meanwhile_are_fetched_again(spark, tmp_path):
     rows, out = records(20), str(tmp_path / "bronze")
     whole = service(rows)
