@@ -158,7 +158,7 @@ class Page(HTMLParser):
 def statistics(html: str, key: int = 0) -> set[tuple]:
     """What a page adds to its site's tree: per branch its parent, its depth, its children's tags and its texts.
 
-    A page without an article also names, with its ``key``, the branches above its text.
+    It also names, with its ``key``, the branches above its text.
     """
     page, rows = Page(html), set()
     for node in page.nodes[1:]:
@@ -167,31 +167,32 @@ def statistics(html: str, key: int = 0) -> set[tuple]:
         rows.add((node.path, node.parent.path, "style", number(*runs)))
         for text in node.texts:
             rows.add((node.path, node.parent.path, "text", number(text)))
-    clear = [node for node, _ in page.blocks if not node.chrome]
-    if not any(node.core for node in clear):
-        for node in clear:
-            while node.parent and (row := (node.path, node.parent.path, "page", key)) not in rows:
-                rows.add(row)
-                node = node.parent
+    for node in {node for node, _ in page.blocks if not node.chrome}:
+        while node.parent and (row := (node.path, node.parent.path, "page", key)) not in rows:
+            rows.add(row)
+            node = node.parent
     return rows
 
 
 def extract(html: str, low: frozenset[int]) -> str:
-    """Blocks of the article, or without one of all branches that the site's tree finds important."""
+    """Blocks of the article, or without one of the whole page, but those of branches that the site's tree finds unimportant.
+
+    Within an article such a branch lies below the article itself, and some text is left beside it: where a site repeats a
+    whole article, all of its branches are unimportant, and all stay.
+    """
     page = Page(html)
     clear = [(node, text) for node, text in page.blocks if not node.chrome]
-    core = [text for node, text in clear if node.core]
-    if core:
-        return "\n".join(core)
+    core = [(node, text) for node, text in clear if node.core]
 
-    def kept(node):
-        while node is not None:
+    def kept(node, article):
+        while node is not None and not (article and node.tag in CORE):
             if node.path in low:
                 return False
             node = node.parent
         return True
 
-    return "\n".join(text for node, text in clear if kept(node))
+    left = [text for node, text in core or clear if kept(node, bool(core))]
+    return "\n".join(left or [text for _, text in core])
 
 
 def low_branches(branches: DataFrame) -> DataFrame:
@@ -234,8 +235,8 @@ def host_of(url: Column) -> Column:
 
 
 def site_trees(pages: DataFrame) -> DataFrame:
-    """(_host, _key, _low): for pages without an article the branches of low importance on their site
-    that they have, by number. ``_key`` is the hash of the html.
+    """(_host, _key, _low): for pages the branches of low importance on their site that they have, by
+    number. ``_key`` is the hash of the html.
 
     Pages are merged by counting: a row per branch and distinct feature with its number of
     pages, aggregated before the shuffle, so a site with a third of all pages is many keys, and no
@@ -302,16 +303,16 @@ STATISTICS = pa.schema(
 def main_text(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every row of ``pages`` (page_id, url, html, any others).
 
-    * The text is that of ``article`` and ``main`` without the chrome inside them. A page with
-      neither gives what is left of its body without chrome and without the branches that
-      are of low importance on its site. NULL or empty html, or nothing left, gives ''.
-    * Importance never removes a part of an article: pages that repeat one article would make
-      it look like boilerplate.
+    * The text is that of ``article`` and ``main`` without the chrome inside them, or of a page with
+      neither what is left of its body without chrome. The site's tree judges both: branches of low importance on
+      the site go. NULL or empty html, or nothing left, gives ''.
+    * Pages that repeat one article would make it look like boilerplate, so an article whose branches are all
+      of low importance stays whole.
     * NULL urls, and urls without a host, are one site. Repeated rows and ids are kept row by
       row. An empty table gives an empty one.
 
     Two passes read the html, and only counts are shuffled. What the trees say of each page
-    without an article is written first, so the join to the pages is a broadcast where its size on
+    that has such branches is written first, so the join to the pages is a broadcast where its size on
     disk allows it, and else a shuffle that splits a page that very many rows repeat.
     """
     trees = staged(site_trees(pages), "site-trees")

@@ -264,6 +264,14 @@ def test_copies_of_an_article_stay(spark):
     assert texts_of(spark, [(f"http://c.example/{i}", html) for i in range(20)]) == ["The same article"] * 20
 
 
+def test_the_style_tree_judges_branches_within_articles(spark):
+    page = lambda i: (
+        f"http://e.example/{i}",
+        f"<article><h1>Story {i}</h1><div class='box'><p>Same slogan everywhere</p></div><p>It tells {i * 7}</p></article>",
+    )
+    assert texts_of(spark, [page(i) for i in range(12)]) == [f"Story {i}\nIt tells {i * 7}" for i in range(12)]
+
+
 def plain_low(pages):
     """Low branches of one site by plain recursion over its branches."""
     kinds = defaultdict(lambda: defaultdict(Counter))
