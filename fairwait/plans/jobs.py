@@ -27,7 +27,7 @@ from fairwait.operators.rules import (
 )
 from fairwait.operators.versions import latest_version
 from fairwait.plans import equity, star
-from fairwait.plans.clean import KEY, LATEST, SEEN, TIES, typed_versions, with_outcome
+from fairwait.plans.clean import KEY, LATEST, SEEN, TIES, typed_versions, with_months, with_outcome
 from fairwait.schemas import (
     AREA_BOUNDS,
     HIGH_VOLUME,
@@ -100,7 +100,7 @@ def land_windows(
         record.alias("value"), F.date_add(F.lit("1970-01-01").cast("date"), first.cast("int")).alias("window")
     )
     batch = f"_batch-{uuid.uuid4().hex}"
-    windows.hint("rebalance", "window").write.partitionBy("window").text(folder.at(batch))
+    windows.hint("rebalance", "window").write.partitionBy("window").options(**sinks.PACKED).text(folder.at(batch))
     for name in sorted(n for n, is_folder in folder.names(batch).items() if is_folder):
         target = folder.at(name)
         number, _ = begin(spark, target)
@@ -147,8 +147,10 @@ def build_silver(
     """
     raw_counts, clean_counts = Observation(), Observation()
     versions = typed_versions(scan_json(spark, bronze), rejects=raw_counts)
-    silver = with_outcome(latest_version(versions, KEY, LATEST, TIES), zone)
-    counted = silver.observe(clean_counts, F.count(F.lit(1)).alias("silver_rows"))
+    latest = latest_version(versions, KEY, LATEST, TIES)
+
+    def counted(dealt: DataFrame) -> DataFrame:
+        return with_outcome(dealt, zone).observe(clean_counts, F.count(F.lit(1)).alias("silver_rows"))
 
     def no_absent_field() -> None:
         seen = {name.removeprefix(SEEN): yes for name, yes in raw_counts.get.items() if name.startswith(SEEN)}
@@ -157,7 +159,7 @@ def build_silver(
         if absent:
             raise AbsentField(f"in no record below {bronze}: {', '.join(absent)}")
 
-    sinks.write_partitioned(counted, out, check=no_absent_field)
+    sinks.write_partitioned(with_months(latest), out, check=no_absent_field, derive=counted)
     counts = {**raw_counts.get, **clean_counts.get}
     return {name: n for name, n in counts.items() if not name.startswith(SEEN)}
 

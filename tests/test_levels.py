@@ -13,7 +13,7 @@ from fairwait.plans.jobs import land_window
 from fairwait.schemas import SILVER
 from fairwait.sources import snapshots
 from fairwait.sources.scans import scan_json, scan_silver
-from fairwait.streaming import levels
+from fairwait.streaming import levels, upsert
 from fairwait.streaming.levels import Order
 from fairwait.streaming.upsert import VERSIONS, append_versions, current_silver, current_versions, publish_silver
 from fixtures import SIX, bronze, census, request, write_records
@@ -224,3 +224,24 @@ def test_the_published_log_is_read_without_an_exchange(spark):
 
     plan = REGISTRY["incremental_upsert"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"\bExchange\b", plan)
+
+
+def test_many_changed_keys_are_published_without_shuffling_rows_to_find_them(spark, tmp_path, monkeypatch):
+    landed, log, progress = (str(tmp_path / name) for name in ("landed", "log", "progress"))
+    monkeypatch.setattr(upsert, "fits_broadcast", lambda keys: False)
+    joined, write = [], upsert.replace_partitions
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(upsert, "replace_partitions", lambda df, *rest, **more: joined.append("Join" in plan(df)) or write(df, *rest, **more))
+    later = {"last_modified_date": "2024-03-01T00:00:00.000"}
+    drops = [
+        [request("A"), request("B", created_date="2024-02-02T00:00:00.000"), request("C", created_date="2023-01-01T00:00:00.000")],
+        [request("A", created_date=None, **later), request("D"), request("B", status="Open", **later)],
+    ]
+    for i, records in enumerate(drops):
+        write_records(tmp_path / "landed" / f"{i}" / "x.json", records)
+        upsert.append_versions(spark, landed, log, progress)
+        upsert.publish_silver(spark, log, str(tmp_path / "silver"))
+        found = scan_silver(spark, str(tmp_path / "silver"))
+        wanted = upsert.current_silver(spark, log).select(*found.columns)
+        assert found.exceptAll(wanted).count() == wanted.exceptAll(found).count() == 0 and wanted.count() == 3 + i
+    assert joined == [False]

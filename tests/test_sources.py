@@ -361,3 +361,15 @@ def test_a_folder_is_replaced_only_when_its_successor_is_complete(spark, tmp_pat
     assert scans.scan_raw(spark, path=path).count() == 3
     sinks.replace_table(spark.range(4), path=path)
     assert scans.scan_raw(spark, path=path).count() == 4 and [p.name for p in tmp_path.iterdir() if p.is_dir()] == ["t"]
+
+
+def test_landed_text_is_packed_and_cut(spark, tmp_path, monkeypatch):
+    monkeypatch.setitem(sinks.PACKED, "maxRecordsPerFile", 100)
+    records = spark.range(1000).selectExpr("concat('n', id) as sr_number", "'2024-01-05T00:00:00.000' as created_date").coalesce(1)
+    assert sinks.land_json(records, str(tmp_path / "one")) == 1000
+    jobs.land_windows(records, str(tmp_path / "windows"), 31)
+    for name in ("one", "windows"):
+        files = [f for f in (tmp_path / name).rglob("part-*")]
+        assert len(files) >= 10 and all(f.name.endswith(".txt.gz") for f in files)
+        found = scan_json(spark, str(tmp_path / name))
+        assert found.select("sr_number").distinct().count() == found.count() == 1000
