@@ -108,6 +108,10 @@ def clean(bronze: DataFrame, ties: Sequence[str] = TIES, zone: str = TIME_ZONE)
     Text is typed before the shuffle, where it is smaller; what can be derived is
     derived after it.
     """
+    return with_outcome(latest_typed(bronze, ties), zone)
+
+
+def latest_typed(bronze: DataFrame, ties: Sequence[str] = TIES) -> DataFrame:
+    """The latest version per request number, typed and without outcome."""
     extra = [c for c in ties if c not in TIES]
-    latest = latest_version(typed_versions(bronze, extra), KEY, LATEST, ties)
-    return with_outcome(latest, zone)
+    return latest_version(typed_versions(bronze, extra), KEY, LATEST, ties)

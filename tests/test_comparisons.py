@@ -11,6 +11,7 @@ from fairwait.schemas import BRONZE
 from fairwait.sources import census
 from fairwait.sources.scans import absent_fields
 from fixtures import SIX, request, write_records
+from workload.queries import REGISTRY
 
 SCHEMA = "k string, p int, v double, w string"
 
@@ -145,3 +146,9 @@ def test_values_that_break_rules(spark):
         ("between", "n", 1, "9", 3), ("between", "n", 2, "8", 1), ("in_set", "s", 1, "b", 4), ("in_set", "s", 2, "c", 1),
         ("not_null", "n", 1, None, 1), ("unique", "n,s", 1, "9,b", 2),
     }
+
+
+def test_versions_are_typed_once_for_both_sides(spark):
+    found = REGISTRY["reconcile_partitions"](spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window") > 0

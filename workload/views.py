@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fairwait.plans import star
-from fairwait.plans.clean import clean
+from fairwait.plans.clean import clean, latest_typed, with_months, with_outcome
 from fairwait.session import shared_path
 from fairwait.sources.scans import scan_silver
 from fairwait.sources.sinks import write_partitioned
@@ -98,7 +98,8 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def written_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver as gate, load and models find it: written once, then scanned by each rule."""
     path = shared_path(spark, "silver")
-    write_partitioned(silver(spark, sf_dir), path)
+    latest = with_months(latest_typed(bronze_requests(spark, sf_dir), LINE_TIES))
+    write_partitioned(latest, path, derive=with_outcome)
     return scan_silver(spark, path)
 
 
