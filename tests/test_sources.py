@@ -371,5 +371,5 @@ def test_landed_text_is_packed_and_cut(spark, tmp_path, monkeypatch):
     for name in ("one", "windows"):
         files = [f for f in (tmp_path / name).rglob("part-*")]
         assert len(files) >= 10 and all(f.name.endswith(".txt.gz") for f in files)
-        found = scan_json(spark, str(tmp_path / name))
+        found = scans.scan_json(spark, str(tmp_path / name))
         assert found.select("sr_number").distinct().count() == found.count() == 1000
