@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -168,6 +169,30 @@ def test_line_runs_on_awkward_rows(spark):
     assert line_runs.without_repeats(empty(spark)).count() == 0
 
 
+def test_suffixes_are_ranked_by_doubling_and_long_runs_found_whole(spark, monkeypatch):
+    """Each round orders the suffixes that share twice as many lines; a copy of 13 lines takes four of them."""
+    rng, levels, ranked = random.Random(9), [], line_runs.ranked
+    monkeypatch.setattr(line_runs, "ranked", lambda *given: levels.append(ranked(*given)) or levels[-1])
+    passage = [rng.choice("abc") * 3 + f" {k}" for k in range(13)]
+    texts = ["\n".join(x) for x in (["x", *passage, "y"], ["z", *passage], ["abc 1", "q"], passage[3:5], ["same"] * 6)]
+    docs = documents(spark, texts).withColumn("_row", F.col("doc_id") + 10)
+    runs = {tuple(r) for r in line_runs.repeated_runs(docs).collect()}
+    assert {(11, 1, 8), (11, 6, 13), (13, 0, 1), (14, 1, 4), (14, 2, 5)} <= runs
+    assert not [r for r in runs if r[0] in (10, 12)]
+    found = {r["_row"]: r["_runs"] for r in line_runs.repeated(docs).collect()}
+    assert found == {11: [(1, 13)], 13: [(0, 1)], 14: [(1, 5)]}
+    lines = {k + 10: [line_runs.digest(x.encode()) for x in t.split("\n")] for k, t in enumerate(texts)}
+    want = [(row, at) for row, own in lines.items() for at in range(len(own))]
+    levels = levels[:5]  # those of the first call
+    for k, level in enumerate(levels):
+        own = {(r["_row"], r["at"]): r["rank"] for r in level.collect()}
+        prefix = {(r, a): tuple(lines[r][a : a + 2**k]) for r, a in want if a + 2**k <= len(lines[r])}
+        shared = Counter(prefix.values())
+        order = sorted(x for x, n in shared.items() if n > 1)
+        assert own == {place: order.index(x) for place, x in prefix.items() if shared[x] > 1}
+    assert [level.isEmpty() for level in levels] == [False] * 4 + [True]
+
+
 def test_mix_matches_sql(spark, tmp_path):
     rng = random.Random(5)
     sources = [rng.choice(["a", "b", "é", None, "big", "big", "big"]) for _ in range(400)]
