@@ -17,10 +17,12 @@ import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -30,7 +32,9 @@ from pyspark.sql.types import (
 from fairwait.llm.common import table
 from fairwait.session import shared_path
 
-BLOCK_CHARS = 14_000_000  # a task holds the words of a block several times over
+BLOCK_CHARS = 10_000_000  # a task holds the words of a block several times over
+BATCH_BYTES = 8 << 20  # texts that go to a Python worker at once; it and the JVM hold a batch or two beside the block
+DECODED_IDS = 1_000_000  # ids that are turned into bytes at once
 
 
 class Vocabulary:
@@ -89,8 +93,17 @@ def from_planes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
+def squeezed(data: bytes) -> bytes:
+    return pa.Codec("zstd", compression_level=9).compress(data, asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    with pa.CompressedInputStream(pa.BufferReader(data), "zstd") as stream:
+        return stream.read()
+
+
 def packed(words: list[str]) -> bytes:
-    return zlib.compress(json.dumps(words).encode(), 1)
+    return squeezed(json.dumps(words).encode())
 
 
 def numbered() -> defaultdict[str, int]:
@@ -123,6 +136,8 @@ class Block:
         Words are numbered by frequency, so that most places are small numbers. The block
         remembers to which part each went; a part holds them in the order of their numbers.
         """
+        # A factory that refers to its dictionary would keep the words of blocks that are done.
+        self.index.default_factory = self.heads.default_factory = None
         words = [" " + w for w in self.index] + list(self.heads)
         places = np.concatenate(
             [x for head, rest in zip(self.first, self.places) for x in ([len(self.index) + head], rest)]
@@ -149,6 +164,22 @@ class Block:
         }
 
 
+@contextmanager
+def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
+    """Arrow batches of ``size`` bytes at most, or of what the session says where that is less, as long as it lasts."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    bound = int(before.rstrip("bB")) if before.rstrip("bB").lstrip("-").isdigit() else None
+    if bound is not None and 0 < bound <= size:
+        yield
+        return
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def blocks_of(docs: DataFrame, keep: Sequence[str], parts: int) -> DataFrame:
     """Blocks and their distinct words, written once to the shared folder, bucketed by block."""
     from pyspark import TaskContext
@@ -185,14 +216,15 @@ def blocks_of(docs: DataFrame, keep: Sequence[str], parts: int) -> DataFrame:
     )
     spark = docs.sparkSession
     name = f"bpe_blocks_{uuid.uuid4().hex}"
-    (
-        docs.select(*[F.col(f"`{c}`") for c in keep], "text")
-        .mapInArrow(cut, schema)
-        .write.bucketBy(parts, "block")
-        .option("path", shared_path(spark, name))
-        .option("compression", "zstd")
-        .saveAsTable(name)
-    )
+    with batches_of(spark, BATCH_BYTES):
+        (
+            docs.select(*[F.col(f"`{c}`") for c in keep], "text")
+            .mapInArrow(cut, schema)
+            .write.bucketBy(parts, "block")
+            .option("path", shared_path(spark, name))
+            .option("compression", "zstd")
+            .saveAsTable(name)
+        )
     return spark.table(name)
 
 
@@ -210,13 +242,13 @@ def encoded_words(blocks: DataFrame, vocabulary: Vocabulary, parts: int) -> Data
             sizes, ids = [], []
             for words in batch.column(2):
                 found = []
-                for word in json.loads(zlib.decompress(words.as_py())):
+                for word in json.loads(unsqueezed(words.as_py())):
                     tokens = known.get(word)
                     if tokens is None:
                         tokens = known[word] = encoder(word)
                     found.append(tokens)
-                sizes.append(zlib.compress(planes(np.fromiter(map(len, found), np.int64, len(found))), 1))
-                ids.append(zlib.compress(planes(np.array(list(chain.from_iterable(found)), np.int64)), 1))
+                sizes.append(squeezed(planes(np.fromiter(map(len, found), np.int64, len(found)))))
+                ids.append(squeezed(planes(np.array(list(chain.from_iterable(found)), np.int64))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sizes, pa.binary()), pa.array(ids, pa.binary())],
                 names=["block", "part", "sizes", "ids"],
@@ -262,7 +294,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: Sequence[str] = ("doc_
     def join(left: pa.Table, right: pa.Table) -> pa.Table:
         def column(name):
             by_part = sorted(zip(right.column("part").to_pylist(), right.column(name)), key=lambda x: x[0])
-            return np.concatenate([from_planes(zlib.decompress(x.as_py())) for _, x in by_part])
+            return np.concatenate([from_planes(unsqueezed(x.as_py())) for _, x in by_part])
 
         sizes, ids = column("sizes"), column("ids").astype(np.int32)
         tables = []
@@ -281,6 +313,17 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, keep: Sequence[str] = ("doc_
     return whole.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(join, schema)
 
 
+def slices(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` by rows, ``DECODED_IDS`` numbers of its list column ``at`` or a single row at a time."""
+    sizes = np.nan_to_num(pc.list_value_length(batch.column(at)).to_numpy(zero_copy_only=False)).astype(np.int64)
+    ends, first = np.cumsum(sizes), 0
+    while first < len(sizes):
+        before = int(ends[first] - sizes[first])
+        last = max(first + 1, int(np.searchsorted(ends, before + DECODED_IDS, side="right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def decode(tokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``tokens`` with ``data``, the bytes of its ``ids`` by the table of tokens.
 
@@ -295,14 +338,15 @@ def decode(tokens: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         by_rank = [b""] * (max(ranks.values()) + 1)
         for token, rank in ranks.items():
             by_rank[rank] = token
-        for batch in batches:
-            data = [
-                None if not ids.is_valid else b"".join(map(by_rank.__getitem__, ids.values.to_numpy().tolist()))
-                for ids in batch.column(at)
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(data, pa.binary())], names=[*columns, "data"]
-            )
+        for whole in batches:
+            for batch in slices(whole, at):
+                data = [
+                    None if not ids.is_valid else b"".join(map(by_rank.__getitem__, ids.values.to_numpy().tolist()))
+                    for ids in batch.column(at)
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array(data, pa.binary())], names=[*columns, "data"]
+                )
 
     schema = StructType([*tokens.schema.fields, StructField("data", BinaryType())])
     return tokens.mapInArrow(look_up, schema)
