@@ -17,7 +17,6 @@ import uuid
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
 from itertools import chain
 
 import numpy as np
@@ -29,11 +28,10 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, IntegerType, LongType, StructField, StructType,
 )
 
-from fairwait.llm.common import table
+from fairwait.llm.common import BATCH_BYTES, batches_of, table
 from fairwait.session import shared_path
 
 BLOCK_CHARS = 10_000_000  # a task holds the words of a block several times over
-BATCH_BYTES = 8 << 20  # texts that go to a Python worker at once; it and the JVM hold a batch or two beside the block
 DECODED_IDS = 1_000_000  # ids that are turned into bytes at once
 
 
@@ -164,22 +162,6 @@ class Block:
         }
 
 
-@contextmanager
-def batches_of(spark: SparkSession, size: int) -> Iterator[None]:
-    """Arrow batches of ``size`` bytes at most, or of what the session says where that is less, as long as it lasts."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    bound = int(before.rstrip("bB")) if before.rstrip("bB").lstrip("-").isdigit() else None
-    if bound is not None and 0 < bound <= size:
-        yield
-        return
-    spark.conf.set(key, str(size))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
-
-
 def blocks_of(docs: DataFrame, keep: Sequence[str], parts: int) -> DataFrame:
     """Blocks and their distinct words, written once to the shared folder, bucketed by block."""
     from pyspark import TaskContext
