@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from fairwait.llm.common import components, in_pieces, staged, table, width
+from fairwait.llm.common import BATCH_BYTES, batches_of, components, in_pieces, staged, table, width
 
 WORDS = 5
 # 100 * intersection >= 80 * union, in terms of the two sizes: 9 * intersection >= 4 * (a + b).
@@ -431,29 +431,30 @@ def grouped(docs: DataFrame, cell_rows: int = CELL_ROWS) -> DataFrame:
     many equal sets are represented by one of them; which sets are equal is aggregated before.
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    sets = staged(measured(docs), "shingles")
-    known = sets.where("n > 0 and id is not null")
-    classes = known.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("members"))
-    crowds = staged(classes.where(f"members > {MANY_COPIES}").select("digest", "least"), "crowds")
-    with_crowd = known.join(crowds, "digest", "left")
-    alone = with_crowd.where("least is null or least = id").drop("least")
-    copies = with_crowd.where("least <> id").select(F.col("id").alias("src"), F.col("least").alias("dst"))
-
-    cells = staged(shared_cells(alone, id_type), "cells")
-    firsts = (
-        cells.where("first <> id")
-        .groupBy("id", "first")
-        .agg(F.count("*").alias("shared"))
-        .groupBy("id")
-        .agg(F.max(F.struct("shared", "first"))["first"].alias("src"))
-        .select("src", F.col("id").alias("dst"))
-    )
-    sides = known.select("id", "n", "digest", "point")
-    near = staged(bounded(firsts, sides), "bounded")
-    sure = near.where("same").select("src", "dst")
-    links = staged(verified(near.where("not same"), docs).union(sure).union(copies), "links")
-    once = components(links)
-    more = staged(verified(staged(across(cells, once, sides, id_type, cell_rows), "across"), docs), "links")
+    with batches_of(docs.sparkSession, BATCH_BYTES):  # texts, points and pairs of texts; 64 MB at once otherwise
+        sets = staged(measured(docs), "shingles")
+        known = sets.where("n > 0 and id is not null")
+        classes = known.groupBy("digest").agg(F.min("id").alias("least"), F.count("*").alias("members"))
+        crowds = staged(classes.where(f"members > {MANY_COPIES}").select("digest", "least"), "crowds")
+        with_crowd = known.join(crowds, "digest", "left")
+        alone = with_crowd.where("least is null or least = id").drop("least")
+        copies = with_crowd.where("least <> id").select(F.col("id").alias("src"), F.col("least").alias("dst"))
+
+        cells = staged(shared_cells(alone, id_type), "cells")
+        firsts = (
+            cells.where("first <> id")
+            .groupBy("id", "first")
+            .agg(F.count("*").alias("shared"))
+            .groupBy("id")
+            .agg(F.max(F.struct("shared", "first"))["first"].alias("src"))
+            .select("src", F.col("id").alias("dst"))
+        )
+        sides = known.select("id", "n", "digest", "point")
+        near = staged(bounded(firsts, sides), "bounded")
+        sure = near.where("same").select("src", "dst")
+        links = staged(verified(near.where("not same"), docs).union(sure).union(copies), "links")
+        once = components(links)
+        more = staged(verified(staged(across(cells, once, sides, id_type, cell_rows), "across"), docs), "links")
     renamed = more.join(once.toDF("src", "a"), "src", "left").join(once.toDF("dst", "b"), "dst", "left")
     bridges = renamed.select(F.coalesce("a", "src").alias("src"), F.coalesce("b", "dst").alias("dst"))
     joined = components(bridges).toDF("component", "final")

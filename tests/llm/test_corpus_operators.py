@@ -103,6 +103,17 @@ def test_many_exact_copies_are_one_group(spark, monkeypatch):
     assert set(found.values()) == {0, 50}
 
 
+def test_jaccard_works_on_batches_of_bounded_size(spark, monkeypatch):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen, stage = spark.conf.get(key), {}, jaccard.staged
+    monkeypatch.setattr(
+        jaccard, "staged", lambda df, label: seen.setdefault(label, set()).add(spark.conf.get(key)) or stage(df, label)
+    )
+    assert jaccard.grouped(documents(spark, ["a b c d e f g", "a b c d e f g", None])).count() == 3
+    assert {"shingles", "cells", "bounded", "links", "across"} <= set(seen)
+    assert set().union(*seen.values()) == {str(common.BATCH_BYTES)} and spark.conf.get(key) == before
+
+
 def test_jaccard_on_awkward_rows(spark):
     found = sorted(map(tuple, jaccard.grouped(awkward(spark)).where("doc_id is not null").collect()))
     assert [f for f in found if f[0] in (1, 2, 3)] == [(1, 0, 1), (2, 0, 2), (3, 0, 3)]
