@@ -100,6 +100,49 @@ def test_reading_and_folding_shuffle_nothing(spark, tmp_path, monkeypatch):
     assert "Bucketed: true" in plans[0]
 
 
+def test_changes_are_found_in_one_read_of_the_runs(spark, tmp_path):
+    """Versions that several runs hold alike count once, and a run that only repeats changes nothing."""
+    log = str(tmp_path / "log")
+    first, second = [("a", 1, "x"), ("b", 2, "x"), ("c", None, None)], [("a", 1, "x"), ("b", 2, "x"), ("a", 0, "y"), ("c", None, "z")]
+    for number, batch in enumerate((first, second)):
+        levels.append_run(spark, log, versions(spark, batch), ORDER, "s", number, buckets=3)
+        levels.fold(spark, log, ORDER, ratio=9)
+    levels.append_run(spark, log, versions(spark, [("a", 1, "x"), ("b", 3, "w"), ("c", None, None), ("d", 1, None)]), ORDER, "s", 2)
+    state = levels.log_state(spark, log)
+    changed = levels.changes_of(spark, log, state, ORDER)
+    plan = changed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "Join" not in plan
+    found = {r["k"]: (r["old"] and tuple(r["old"]), tuple(r["new"])) for r in changed.collect()}
+    assert found == {"b": (("b", 2, "x"), ("b", 3, "w")), "d": (None, ("d", 1, None))}
+    state = levels.fold(spark, log, ORDER, ratio=9)
+    times = levels.changes_since(spark, log, state, ["k"], state.folds - 1).select("new.t")
+    read = re.search(r"ReadSchema: (.*)", times._jdf.queryExecution().executedPlan().toString())[1]
+    assert "t:int" in read and "v:" not in read and "old" not in read
+
+
+def test_months_that_changed_are_looked_up(spark):
+    """Not compared one after another, which took most of the time that publishing many months did."""
+    months = ("created_year", "created_month")
+    rows = spark.range(0, 120).selectExpr("cast(id div 12 + 2000 as int) created_year", "cast(id % 12 + 1 as int) created_month")
+    rows = rows.unionByName(spark.createDataFrame([(None, None)], "created_year int, created_month int"))
+    some = [r for r in rows.collect() if r.created_month != 7]
+    found = rows.where(upsert._is_one_of(some, months))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert " OR " not in plan
+    assert {tuple(r) for r in found.collect()} == {tuple(r) for r in some}
+    assert upsert._is_one_of(some[:3], months) is not None and rows.where(upsert._is_one_of(some[-1:], months)).count() == 1
+
+
+def test_a_log_that_begins_with_no_file_does_not_write_its_first_batch_again(spark, tmp_path):
+    log = str(tmp_path / "log")
+    levels.append_run(spark, log, versions(spark, []), ORDER, buckets=2)
+    levels.append_run(spark, log, versions(spark, [("a", 1, "x"), ("a", 2, "x"), ("b", 1, "x")]), ORDER, "s", 0)
+    batch = levels.log_state(spark, log).recent[-1]
+    state = levels.fold(spark, log, ORDER)
+    assert [path for path, _ in state.runs] == [batch]
+    assert {tuple(r) for r in levels.current(spark, log, ORDER).collect()} == {("a", 2, "x"), ("b", 1, "x")}
+
+
 def test_a_hot_key_is_reduced_before_the_shuffle(spark, tmp_path, monkeypatch):
     log, plans, write = str(tmp_path / "log"), [], levels.write_run
 
